@@ -44,9 +44,9 @@ def rate_series(
     if window % step:
         raise ValueError("the window has to be a multiple of the step")
     counted = df.groupBy(bucket_ceil(F.col(ts), step).alias("_step"), *keys).agg(F.count(F.lit(1)).alias("_cnt"))
-    shifts = F.sequence(F.lit(0), F.lit(window - step), F.lit(step))
+    shifts = F.sequence(*[F.lit(seconds * 1_000_000).cast("bigint") for seconds in (0, window - step, step)])
     spread = counted.select(*keys, "_step", "_cnt", F.explode(shifts).alias("_shift"))
-    at = F.timestamp_micros(F.unix_micros("_step") + F.col("_shift") * F.lit(1_000_000))
+    at = F.timestamp_micros(F.unix_micros("_step") + F.col("_shift"))
     return (
         spread.groupBy(at.alias("at"), *keys)
         .agg(F.sum("_cnt").alias("_cnt"))

@@ -48,7 +48,8 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_events(spark: SparkSession, folder: str) -> DataFrame:
-    return use_utc(spark).readStream.schema(EVENTS_LAYOUT).parquet(f"{folder}/events.parquet")
+    # The pattern lets the stream read the table as one file or as a folder of files.
+    return use_utc(spark).readStream.schema(EVENTS_LAYOUT).parquet(f"{folder}/events.parquet*")
 
 
 def readings_of(events_frame: DataFrame) -> DataFrame:
