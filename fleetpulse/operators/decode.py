@@ -13,12 +13,19 @@ MALFORMED = "_malformed"
 # Fields whose JSON type matters (a number is no machine id, but a valid instant).
 _TYPED_BY_JSON = ("event_id", "turbine_id", "recorded_at", "producer_ts")
 
+# Strict JSON as a standard parser reads it: no single quotes. NaN is let through
+# and fails the range check later.
+_STRICT = {"allowSingleQuotes": "false", "columnNameOfCorruptRecord": MALFORMED}
+
 
 def legacy(name: str) -> str:
     """Name of a field of the older layout inside ``doc``."""
     return f"legacy_{name}"
 
 
+NUMBER_FIELDS = tuple(NUMERIC_BOUNDS) + tuple(legacy(c) for c in NUMERIC_BOUNDS if c in LEGACY_NAMES)
+
+
 def _document_schema(number_type: T.DataType, as_sent: bool) -> T.StructType:
     """Fields of both layouts, under the names as sent or as used here."""
     layout = {name: T.VariantType() for name in _TYPED_BY_JSON}
@@ -36,9 +43,22 @@ def _parse(raw: Column, number_type: T.DataType) -> Column:
     return parsed.cast(_document_schema(number_type, as_sent=False))
 
 
-# Strict JSON as a standard parser reads it: no single quotes; NaN is let through
-# and fails the range check later.
-_STRICT = {"allowSingleQuotes": "false", "columnNameOfCorruptRecord": MALFORMED}
+def _numbers_read_from_text() -> Column:
+    """The document of ``loose`` with its numbers cast; NULL where a cast fails."""
+    fields = []
+    for field in _document_schema(T.DoubleType(), as_sent=False):
+        column = F.col(f"loose.{field.name}")
+        fields.append((column.try_cast("double") if field.name in NUMBER_FIELDS else column).alias(field.name))
+    return F.struct(*fields)
+
+
+def _unreadable_numbers() -> Column:
+    texts = [F.col(f"loose.{name}") for name in NUMBER_FIELDS]
+    failed = [
+        F.when(text.isNotNull() & text.try_cast("double").isNull(), F.lit(name))
+        for name, text in zip(NUMBER_FIELDS, texts)
+    ]
+    return F.array_compact(F.array(*failed))
 
 
 def _is_json(raw: Column) -> Column:
@@ -53,33 +73,46 @@ def _is_json(raw: Column) -> Column:
 
 
 def decode(messages: DataFrame, payload: str = "value") -> DataFrame:
-    """Add ``doc``, ``loose``, ``null_keys`` and ``shape`` to the messages.
+    """Add ``doc``, ``mentioned``, ``unreadable`` and ``shape`` to the messages.
 
-    ``doc`` reads the numbers as doubles in one pass. Only a message that does
-    not fit (say, numbers sent as text) is read again as strings into ``loose``,
-    and only one that mentions ``null`` gets the list of its keys, which is what
-    tells an explicit null from an absent field.
+    ``doc`` holds the fields of both layouts. Its numbers are read as doubles in
+    one pass. Only a message that does not fit (say, numbers sent as text) is
+    read again as strings; ``unreadable`` then lists numbers that are none. The
+    keys of a message, ``mentioned``, tell an explicit null from an absent field
+    and are read only where a NULL in ``doc`` may be either.
 
     ``shape`` is ``document``, ``broken`` (no JSON) or ``other`` (JSON, no object).
     """
     raw = F.col(payload)
+    misfit = F.col(f"strict.{MALFORMED}").isNotNull()
     keys = F.map_keys(F.from_json(raw, T.MapType(T.StringType(), T.StringType()), {"allowSingleQuotes": "false"}))
-    misfit = F.col(f"doc.{MALFORMED}").isNotNull()
-    parsed = (
-        messages.withColumn("doc", _parse(raw, T.DoubleType()))
-        .withColumn("loose", F.when(misfit, _parse(raw, T.StringType())))
-        .withColumn("null_keys", F.when(raw.contains("null"), keys))
+    names = F.transform(keys, lambda k: F.coalesce(F.element_at(_shown_names(), k), k))
+    parsed = messages.withColumn("strict", _parse(raw, T.DoubleType())).withColumns(
+        {
+            "loose": F.when(misfit, _parse(raw, T.StringType())),
+            "mentioned": F.when(misfit | raw.contains("null"), names),
+        }
     )
     # A single closing brace at the very end leaves no room for trailing text.
     may_trail = raw.rlike(r"\}\s*\S")
-    opens_object = F.ltrim(raw).startswith("{") | raw.rlike(r"^\s*\{")
-    unreadable = F.col("doc").isNull() | (misfit & F.col(f"loose.{MALFORMED}").isNotNull())
+    opens_object = raw.startswith("{") | raw.rlike(r"^\s*\{")
+    broken = raw.isNull() | F.col("strict").isNull() | F.col(f"loose.{MALFORMED}").isNotNull()
     shape = (
-        F.when(raw.isNull(), F.lit("broken"))
-        .when(opens_object & unreadable, F.lit("broken"))
+        F.when(opens_object & broken, F.lit("broken"))
         .when(opens_object & ~may_trail, F.lit("document"))
-        .when(~_is_json(raw), F.lit("broken"))
+        .when(raw.isNull() | ~_is_json(raw), F.lit("broken"))
         .when(opens_object, F.lit("document"))
         .otherwise(F.lit("other"))
     )
-    return parsed.withColumn("shape", shape)
+    return parsed.withColumns(
+        {
+            "doc": F.when(misfit, _numbers_read_from_text()).otherwise(F.col("strict")),
+            "unreadable": F.when(misfit, _unreadable_numbers()),
+            "shape": shape,
+        }
+    ).drop("strict", "loose")
+
+
+def _shown_names() -> Column:
+    pairs = [F.lit(part) for name, sent in LEGACY_NAMES.items() for part in (sent, legacy(name))]
+    return F.create_map(*pairs)

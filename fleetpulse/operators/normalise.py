@@ -7,37 +7,26 @@ from pyspark.sql import functions as F
 
 from fleetpulse.functions.text import message_id, round_exact, strip
 from fleetpulse.functions.times import epoch_instant, parse_instant
-from fleetpulse.operators.decode import MALFORMED, legacy
-from fleetpulse.schemas import NUMERIC_BOUNDS
+from fleetpulse.operators.decode import legacy
+from fleetpulse.schemas import EXTENDED_BOUNDS, NUMERIC_BOUNDS
 
 
-def _fits() -> Column:
-    return F.col(f"doc.{MALFORMED}").isNull()
+def _doc(name: str) -> Column:
+    return F.col(f"doc.{name}")
 
 
-def _raw_field(name: str) -> Column:
-    """A variant or string field from whichever reading of the message holds."""
-    return F.when(_fits(), F.col(f"doc.{name}")).otherwise(F.col(f"loose.{name}"))
-
-
-def _number(name: str) -> Column:
-    return F.when(_fits(), F.col(f"doc.{name}")).otherwise(F.col(f"loose.{name}").try_cast("double"))
-
-
-def _not_a_number(name: str) -> Column:
-    text = F.col(f"loose.{name}")
-    return ~_fits() & text.isNotNull() & text.try_cast("double").isNull()
+def _mentioned(name: str) -> Column:
+    """The key occurs with a null or an unreadable value; NULL or false otherwise."""
+    return F.array_contains("mentioned", name)
 
 
 def _present(name: str) -> Column:
-    """The key occurs, be it with an explicit null."""
-    mentioned = F.coalesce(F.array_contains("null_keys", name), F.lit(False))
-    return F.when(_fits(), F.col(f"doc.{name}").isNotNull()).otherwise(F.col(f"loose.{name}").isNotNull()) | mentioned
+    return _doc(name).isNotNull() | F.coalesce(_mentioned(name), F.lit(False))
 
 
 def _current_or_legacy(name: str, current: Column, older: Column) -> Column:
     """The older name counts only where the current one is absent."""
-    return F.when(_present(name), current).otherwise(older)
+    return F.when(_doc(name).isNotNull(), current).when(_mentioned(name), F.lit(None)).otherwise(older)
 
 
 def _json_text(field: Column) -> Column:
@@ -46,10 +35,12 @@ def _json_text(field: Column) -> Column:
 
 
 def _json_instant(field: Column) -> Column:
+    """Instant from a JSON string or number. No number is spelled like a date."""
     kind = F.schema_of_variant(field)
     numeric = (kind == "BIGINT") | (kind == "DOUBLE") | kind.startswith("DECIMAL")
-    return F.when(kind == "STRING", parse_instant(F.try_variant_get(field, "$", "string"))).when(
-        numeric, epoch_instant(F.try_variant_get(field, "$", "double"))
+    return F.coalesce(
+        parse_instant(F.try_variant_get(field, "$", "string")),
+        F.when(numeric, epoch_instant(F.try_variant_get(field, "$", "double"))),
     )
 
 
@@ -68,57 +59,65 @@ def _pitch(angle: Column) -> Column:
     return F.least(F.lit(90.0), F.greatest(F.lit(0.0), wrapped))
 
 
+def _numbers() -> dict[str, Column]:
+    converted = {
+        "rotor_rpm": round_exact(_doc(legacy("rotor_rpm")) / 10, 2),
+        "blade_pitch_deg": _pitch(_doc(legacy("blade_pitch_deg"))),
+        "vibration_mms": F.lit(0.0),
+    }
+    return {
+        name: _current_or_legacy(name, _doc(name), converted[name] if name in converted else _doc(legacy(name)))
+        for name in NUMERIC_BOUNDS
+    }
+
+
+def _wrong_types() -> Column:
+    """Fields that may be absent but are there with an unusable value."""
+    unreadable = {
+        name: F.array_contains("unreadable", name)
+        | (~_present(name) & F.array_contains("unreadable", legacy(name)))
+        for name in EXTENDED_BOUNDS
+    }
+    event, published = _doc("event_id"), _doc("producer_ts")
+    unusable = {
+        "event_id": _present("event_id") & _json_text(event).isNull(),
+        "producer_ts": published.isNotNull() & ~F.is_variant_null(published) & _json_instant(published).isNull(),
+        "vibration_mms": _doc("vibration_mms").isNull() & _mentioned("vibration_mms"),
+    }
+    always = [F.when(bad, F.lit(name)) for name, bad in unusable.items()]
+    rarely = [F.when(bad, F.lit(name)) for name, bad in unreadable.items()]
+    found = F.when(F.size("unreadable") > 0, F.array(*always, *rarely)).otherwise(F.array(*always))
+    return F.filter(found, lambda name: name.isNotNull())
+
+
 def normalise(decoded: DataFrame) -> DataFrame:
     """Replace the parsed documents by reading columns, not yet checked.
 
-    Adds ``id_text`` (machine id before trimming), ``wrong_type`` (names of
-    fields whose value has an unusable type, as text) and keeps the message
-    columns and ``shape``.
+    Adds ``id_text`` (machine id before trimming) and ``wrong_types`` (names of
+    fields with a value of an unusable type), and keeps the message columns and
+    ``shape``.
     """
-    converted = {
-        "rotor_rpm": round_exact(_number(legacy("rotor_rpm")) / 10, 2),
-        "blade_pitch_deg": _pitch(_number(legacy("blade_pitch_deg"))),
-    }
-    numbers, unusable = {}, {}
-    for name in NUMERIC_BOUNDS:
-        if name == "vibration_mms":
-            numbers[name] = _current_or_legacy(name, _number(name), F.lit(0.0))
-            unusable[name] = _present(name) & _number(name).isNull()
-            continue
-        older = legacy(name)
-        numbers[name] = _current_or_legacy(name, _number(name), converted.get(name, _number(older)))
-        unusable[name] = _current_or_legacy(name, _not_a_number(name), _not_a_number(older))
-
-    id_field, time_field = _raw_field("turbine_id"), _raw_field("recorded_at")
-    event_field, publish_field = _raw_field("event_id"), _raw_field("producer_ts")
-    id_text = _current_or_legacy(
-        "turbine_id", _json_text(id_field), _legacy_machine_id(_raw_field(legacy("turbine_id")))
-    )
+    id_text = _current_or_legacy("turbine_id", _json_text(_doc("turbine_id")), _legacy_machine_id(_doc(legacy("turbine_id"))))
     recorded_at = _current_or_legacy(
-        "recorded_at", _json_instant(time_field), _json_instant(_raw_field(legacy("recorded_at")))
+        "recorded_at", _json_instant(_doc("recorded_at")), _json_instant(_doc(legacy("recorded_at")))
     )
-    unusable["event_id"] = _present("event_id") & _json_text(event_field).isNull()
-    unusable["producer_ts"] = (
-        publish_field.isNotNull() & ~F.is_variant_null(publish_field) & _json_instant(publish_field).isNull()
-    )
-
-    kept = [c for c in decoded.columns if c not in ("doc", "loose", "null_keys")]
+    kept = [c for c in decoded.columns if c not in ("doc", "mentioned", "unreadable")]
     fields = decoded.select(
         *kept,
-        F.when(_present("event_id"), _json_text(event_field))
-        .otherwise(message_id(decoded))
-        .alias("event_id"),
+        F.when(_present("event_id"), _json_text(_doc("event_id"))).otherwise(message_id(decoded)).alias("event_id"),
         id_text.alias("id_text"),
-        strip(id_text).alias("turbine_id"),
         recorded_at.alias("recorded_at"),
-        *[numbers[c].alias(c) for c in NUMERIC_BOUNDS],
-        F.when(_present("status"), F.coalesce(_raw_field("status"), F.lit("null")))
+        *[column.alias(name) for name, column in _numbers().items()],
+        F.when(_doc("status").isNotNull(), _doc("status"))
+        .when(_mentioned("status"), F.lit("null"))
         .otherwise(F.lit("online"))
         .alias("status"),
-        F.when(_present("producer_ts"), _json_instant(publish_field)).otherwise(F.col("timestamp")).alias("producer_ts"),
-        F.concat_ws(", ", *[F.when(bad, F.lit(name)) for name, bad in unusable.items()]).alias("wrong_type"),
+        F.when(_present("producer_ts"), _json_instant(_doc("producer_ts")))
+        .otherwise(F.col("timestamp"))
+        .alias("producer_ts"),
+        _wrong_types().alias("wrong_types"),
     )
-    return fields.withColumn("status", corrected_status())
+    return fields.withColumns({"turbine_id": strip(F.col("id_text")), "status": corrected_status()})
 
 
 def corrected_status() -> Column:

@@ -23,9 +23,10 @@ from fleetpulse.schemas import (
 )
 
 
-def _faults() -> list[Column]:
+def _faults() -> Column:
+    """All faults of a reading, so that it can be mended in one go."""
     found = [
-        F.when(F.col("wrong_type") != "", F.concat(F.lit("wrong type: "), F.col("wrong_type"))),
+        F.when(F.size("wrong_types") > 0, F.concat(F.lit("wrong type: "), F.array_join("wrong_types", ", "))),
         F.when(F.col("turbine_id").isNull(), F.lit("turbine_id: missing or not text"))
         .when(F.col("turbine_id") == "", F.lit("turbine_id: blank"))
         .when(F.length("id_text") > MACHINE_ID_LENGTH, F.lit(f"turbine_id: over {MACHINE_ID_LENGTH} characters")),
@@ -36,23 +37,21 @@ def _faults() -> list[Column]:
         found.append(F.when(F.col(name).isNull(), F.lit(f"{name}: missing or not a number")))
     for name, (low, high) in NUMERIC_BOUNDS.items():
         found.append(F.when(~F.col(name).between(low, high), F.lit(f"{name}: outside {low:g}..{high:g}")))
-    return found
+    return F.filter(F.array(*found), lambda fault: fault.isNotNull())
 
 
 def validate(normalised: DataFrame) -> DataFrame:
     """Add ``error_type`` and ``error_message``; both NULL for a good reading."""
-    described = normalised.withColumn("faults", F.concat_ws("; ", *_faults()))
+    described = normalised.withColumn("faults", _faults())
     broken, other = F.col("shape") == "broken", F.col("shape") == "other"
-    faulty = F.col("faults") != ""
-    checked = described.withColumn(
-        "error_type",
-        F.when(broken, F.lit(JSON_ERROR)).when(other | faulty, F.lit(SCHEMA_ERROR)),
-    ).withColumn(
-        "error_message",
-        F.when(broken, F.lit("payload is not valid JSON"))
+    faulty = F.size("faults") > 0
+    verdict = {
+        "error_type": F.when(broken, F.lit(JSON_ERROR)).when(other | faulty, F.lit(SCHEMA_ERROR)),
+        "error_message": F.when(broken, F.lit("payload is not valid JSON"))
         .when(other, F.lit("payload is not a JSON object"))
-        .when(faulty, F.col("faults")),
-    ).drop("faults", "wrong_type", "id_text", "shape")
+        .when(faulty, F.array_join("faults", "; ")),
+    }
+    checked = described.withColumns(verdict).drop("faults", "wrong_types", "id_text", "shape")
     return computed_once(checked)
 
 
