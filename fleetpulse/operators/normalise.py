@@ -50,13 +50,14 @@ def _legacy_machine_id(field: Column) -> Column:
     digits = strip(F.replace(F.replace(shown, F.lit("Turbine_")), F.lit("turbine-")))
     number = F.when(digits.rlike(r"^[+-]?\d+$"), digits.try_cast("bigint"))
     respelled = F.replace(F.lower(shown), F.lit("_"), F.lit("-"))
-    return F.coalesce(F.format_string("turbine-%02d", number), respelled)
+    return F.when(number.isNotNull(), F.format_string("turbine-%02d", number)).otherwise(respelled)
 
 
 def _pitch(angle: Column) -> Column:
     """Angles over a quarter turn wrap by 90 degrees (95 becomes 5), then stay in 0..90."""
     wrapped = F.when(angle > 90, angle % 90).otherwise(angle)
-    return F.least(F.lit(90.0), F.greatest(F.lit(0.0), wrapped))
+    # least and greatest pass over NULL, so a missing angle has to be kept out.
+    return F.when(angle.isNotNull(), F.least(F.lit(90.0), F.greatest(F.lit(0.0), wrapped)))
 
 
 def _numbers() -> dict[str, Column]:
