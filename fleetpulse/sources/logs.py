@@ -9,21 +9,29 @@ from fleetpulse.functions.text import strip
 
 
 def _as_lines(df: DataFrame, topic: str, received_at: Column | None) -> DataFrame:
-    # The position is unique per run; ``origin`` keeps lines of different files apart.
     stamp = F.current_timestamp() if received_at is None else received_at
     return df.select(
         F.lit(topic).alias("topic"),
         F.lit(None).cast("int").alias("partition"),
-        F.monotonically_increasing_id().alias("offset"),
+        F.lit(None).cast("bigint").alias("offset"),
         stamp.cast("timestamp").alias("timestamp"),
         strip(F.col("value")).alias("value"),
         F.col("_metadata.file_path").alias("origin"),
     )
 
 
+def number_lines(lines: DataFrame) -> DataFrame:
+    """Give every line of a batch a position of its own.
+
+    Positions are unique per run and equal when the same files are read again in
+    the same split. ``origin`` keeps lines of different runs apart.
+    """
+    return lines.withColumn("offset", F.monotonically_increasing_id())
+
+
 def read_log(spark: SparkSession, path: str, topic: str = "raw", received_at: Column | None = None) -> DataFrame:
     """All lines of the files as messages; blank lines have an empty ``value``."""
-    return _as_lines(spark.read.text(path), topic, received_at)
+    return number_lines(_as_lines(spark.read.text(path), topic, received_at))
 
 
 def stream_log(
@@ -33,7 +41,7 @@ def stream_log(
     max_files: int | None = None,
     received_at: Column | None = None,
 ) -> DataFrame:
-    """New log files as they arrive."""
+    """New log files as they arrive; lines are numbered per micro-batch."""
     reader = spark.readStream.format("text")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)

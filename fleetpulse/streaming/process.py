@@ -18,6 +18,7 @@ from fleetpulse.operators.dedup import ALERT_KEY, DLQ_KEY, READING_KEY
 from fleetpulse.operators.rules import RULES, Rule, detect
 from fleetpulse.operators.validate import accepted, check_messages, rejected
 from fleetpulse.schemas import ALERT_COLUMNS, ALERT_SCHEMA, BATCH_STATS_SCHEMA, DLQ_SCHEMA, TELEMETRY_SCHEMA, with_day
+from fleetpulse.sources.logs import number_lines
 from fleetpulse.sources.messages import alerts_from_messages
 from fleetpulse.sources.tables import EVENT_DAY, file_by_day, insert_if_absent, read_table
 
@@ -94,9 +95,15 @@ class MessageProcessor:
     extra_sinks: dict[str, Sequence[Sink]] = field(default_factory=dict)
 
     def __call__(self, messages: DataFrame, batch_id: int) -> None:
-        spark = messages.sparkSession
-        checked = check_messages(messages).withColumn("processed_at", self.clock())
-        checked = checked.persist(StorageLevel.MEMORY_AND_DISK)
+        """Check and store a batch of raw messages or of log lines."""
+        if "origin" in messages.columns:
+            messages = number_lines(messages)
+        self.store_checked(check_messages(messages), batch_id)
+
+    def store_checked(self, checked: DataFrame, batch_id: int) -> None:
+        """Store a batch that was checked already."""
+        spark = checked.sparkSession
+        checked = checked.withColumn("processed_at", self.clock()).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             readings = accepted(checked, keep=[*ARRIVAL, F.col("processed_at").alias("ingested_at")])
             alerts = detect(readings, self.rules, F.col("ingested_at"))
@@ -111,7 +118,8 @@ class MessageProcessor:
                 ("dlq", dlq, self.store.insert_dlq),
             ):
                 began = time.monotonic()
-                insert(frame)
+                if rows[table]:
+                    insert(frame)
                 stats.append((table, rows[table], time.monotonic() - began))
                 for sink in self.extra_sinks.get(table, ()):
                     sink(frame)
@@ -148,8 +156,14 @@ def process_stream(
 
     Batches are bounded by the source (``max_offsets`` or ``max_files``) and by
     the flush interval. ``drain`` works off what is there and ends.
+
+    Messages are checked on the stream itself, so the plan of the checks is
+    built once. Log lines get their position per batch and are checked there.
     """
-    return _writer(messages, processor, processor.name, checkpoint, drain, flush_seconds)
+    if "origin" in messages.columns:
+        return _writer(messages, processor, processor.name, checkpoint, drain, flush_seconds)
+    checked = check_messages(messages)
+    return _writer(checked, processor.store_checked, processor.name, checkpoint, drain, flush_seconds)
 
 
 def alert_writer_stream(

@@ -1,0 +1,178 @@
+"""Streams against the batch operators, restarts and replays."""
+
+from __future__ import annotations
+
+import json
+from dataclasses import replace
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import CURRENT, LEGACY
+from fleetpulse.operators import dlq as letters
+from fleetpulse.operators.dedup import dedup_readings
+from fleetpulse.operators.rollups import FIVE_MINUTES, build_rollup
+from fleetpulse.operators.rules import detect
+from fleetpulse.operators.validate import accepted, check_messages, rejected
+from fleetpulse.plans import event_feed
+from fleetpulse.schemas import ALERT_COLUMNS, DLQ_SCHEMA, TELEMETRY_SCHEMA
+from fleetpulse.sources import tables
+from fleetpulse.sources.logs import skip_blank, stream_log
+from fleetpulse.sources.messages import alert_messages, publish_to_files, stream_message_files
+from fleetpulse.sources.rollup_tables import rollup_schema
+from fleetpulse.streaming.process import MessageProcessor, Store, alert_writer_stream, process_stream
+from fleetpulse.streaming.windows import dedup_stream, rollup_stream, stream_telemetry
+
+
+def rows_of(df):
+    return sorted(map(tuple, df.select(sorted(df.columns)).collect()), key=repr)
+
+
+@pytest.fixture(scope="module")
+def feed(spark, sf_dir, tmp_path_factory):
+    """The raw messages of the smallest tables as four files in order of arrival."""
+    path = str(tmp_path_factory.mktemp("raw"))
+    messages = event_feed.messages(spark, sf_dir).persist()
+    for part in range(4):
+        low, high = part * 250, part * 250 + 250
+        messages.where(F.col("offset").between(low, high - 1)).coalesce(1).write.mode("append").parquet(path)
+    return path, messages
+
+
+def processor(root, **options):
+    return MessageProcessor(Store(str(root), files_per_day=1), clock=lambda: F.col("timestamp"), **options)
+
+
+def run(messages, processed, checkpoint):
+    process_stream(messages, processed, str(checkpoint), drain=True).start().awaitTermination()
+
+
+def expected(messages):
+    checked = check_messages(messages)
+    good = accepted(checked, keep=["partition", "offset", F.col("timestamp").alias("ingested_at")])
+    return (
+        dedup_readings(good).select(*TELEMETRY_SCHEMA.fieldNames()),
+        detect(good, alert_ts=F.col("ingested_at")),
+        rejected(checked, F.col("timestamp")),
+    )
+
+
+def check_store(spark, store, messages):
+    telemetry, alerts, dlq = expected(messages)
+    assert rows_of(store.telemetry(spark).select(*TELEMETRY_SCHEMA.fieldNames())) == rows_of(telemetry)
+    assert rows_of(store.alerts(spark).select(*ALERT_COLUMNS)) == rows_of(alerts)
+    assert rows_of(store.dlq(spark).select(*DLQ_SCHEMA.fieldNames())) == rows_of(dlq)
+
+
+def test_stream_equals_batch_and_survives_replay(spark, feed, tmp_path):
+    path, messages = feed
+    processed = processor(tmp_path / "tables")
+    run(stream_message_files(spark, path, max_files=1), processed, tmp_path / "checkpoint")
+    check_store(spark, processed.store, messages)
+    batches = processed.store.batch_stats(spark).where("table_name = 'messages'")
+    assert batches.count() == 4 and batches.agg(F.sum("row_count")).first()[0] == 1000
+
+    # Restart with the checkpoint: nothing is left to do.
+    run(stream_message_files(spark, path, max_files=1), processed, tmp_path / "checkpoint")
+    assert processed.store.batch_stats(spark).where("table_name = 'messages'").count() == 4
+
+    # A lost checkpoint replays everything: the tables stay as they are.
+    run(stream_message_files(spark, path), processed, tmp_path / "other-checkpoint")
+    check_store(spark, processed.store, messages)
+
+
+def test_batch_rerun_after_failure(spark, feed, tmp_path):
+    """A sink that fails after the first tables are written: the retried batch completes them."""
+    _, messages = feed
+    calls = []
+
+    def fail_once(frame):
+        calls.append(1)
+        if len(calls) == 1:
+            raise RuntimeError("sink lost")
+
+    processed = processor(tmp_path / "tables", extra_sinks={"alerts": [fail_once]})
+    with pytest.raises(RuntimeError):
+        processed(messages, 0)
+    assert processed.store.telemetry(spark).count() > 0 and processed.store.dlq(spark).count() == 0
+    processed(messages, 0)
+    check_store(spark, processed.store, messages)
+
+
+def test_alert_topic_is_written_by_its_own_stream(spark, feed, tmp_path):
+    path, messages = feed
+    topic = tmp_path / "alert-topic"
+
+    def publish(alerts):
+        rows = alert_messages(alerts).selectExpr(
+            "'alerts' AS topic", "0 AS partition", "0L AS offset", "current_timestamp() AS timestamp", "value"
+        )
+        publish_to_files(rows, str(topic))
+
+    processed = processor(tmp_path / "tables", extra_sinks={"alerts": [publish]})
+    run(stream_message_files(spark, path, max_files=2), processed, tmp_path / "checkpoint")
+    second = Store(str(tmp_path / "second"), files_per_day=1)
+    for checkpoint in ("one", "two"):
+        writer = alert_writer_stream(stream_message_files(spark, str(topic)), second, str(tmp_path / checkpoint), drain=True)
+        writer.start().awaitTermination()
+        assert rows_of(second.alerts(spark).select(*ALERT_COLUMNS)) == rows_of(expected(messages)[1])
+
+
+def test_log_files_as_a_stream(spark, tmp_path):
+    logs = tmp_path / "logs"
+    logs.mkdir()
+    (logs / "a.log").write_text("\n".join([json.dumps(LEGACY), "", "{broken"]))
+    processed = processor(tmp_path / "tables")
+    run(skip_blank(stream_log(spark, str(logs), max_files=1)), processed, tmp_path / "checkpoint")
+    (logs / "b.log").write_text("\n".join([json.dumps(LEGACY), json.dumps(CURRENT), "{broken"]))
+    run(skip_blank(stream_log(spark, str(logs), max_files=1)), processed, tmp_path / "checkpoint")
+    store = processed.store
+    assert sorted(r["turbine_id"] for r in store.telemetry(spark).collect()) == ["turbine-01", "turbine-03"]
+    # Equal broken lines of two files are two dead letters.
+    assert [r["raw_payload"] for r in store.dlq(spark).collect()] == ["{broken", "{broken"]
+
+
+def test_rollup_stream_follows_the_table(spark, feed, tmp_path):
+    path, messages = feed
+    processed = processor(tmp_path / "tables")
+    telemetry_path = processed.store.path("telemetry")
+    rollup = replace(FIVE_MINUTES, start_offset=40 * 86400)
+    target = str(tmp_path / "rollup")
+    for part in range(2):
+        run(stream_message_files(spark, path, max_files=2).where(f"offset >= {part * 500} OR {part} = 0"), processed, tmp_path / "checkpoint")
+        stream = rollup_stream(stream_telemetry(spark, telemetry_path, max_files=8), rollup, target, str(tmp_path / "r"), drain=True)
+        stream.start().awaitTermination()
+    stored = tables.read_table(spark, target, rollup_schema(spark, rollup)).drop("bucket_date")
+    built = build_rollup(processed.store.telemetry(spark), rollup)
+    columns = ["bucket", "turbine_id", "sample_count", "max_power_kw", "max_temp_c"]
+    assert rows_of(stored.select(*columns)) == rows_of(built.select(*columns))
+    assert stored.agg(F.sum("sample_count")).first()[0] == processed.store.telemetry(spark).count()
+
+
+def test_dedup_stream_across_batches(spark, tmp_path):
+    source = str(tmp_path / "in")
+    rows = spark.range(20).selectExpr(
+        "'turbine-01' AS turbine_id", "timestamp_seconds(1718461920 + id * 60) AS recorded_at", "id AS seq"
+    )
+    for copy in range(2):
+        rows.coalesce(1).withColumn("copy", F.lit(copy)).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(spark.read.parquet(source).schema).option("maxFilesPerTrigger", 1).parquet(source)
+    writer = dedup_stream(stream).writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c"))
+    writer.trigger(availableNow=True).start(str(tmp_path / "out")).awaitTermination()
+    kept = spark.read.parquet(str(tmp_path / "out"))
+    assert kept.count() == 20 and kept.select("recorded_at").distinct().count() == 20
+
+
+def test_replay_after_a_fix(spark, messages):
+    """Dead letters whose payload is fine by now are recovered, others counted up, broken ones left."""
+    dlq = rejected(check_messages(messages("{cut", CURRENT | {"status": "odd"}, CURRENT | {"rotor_rpm": 99})), F.col("timestamp"))
+    mended = F.when(F.col("original_offset") == 1, F.lit(json.dumps(CURRENT))).otherwise(F.col("raw_payload"))
+    replayed = letters.replay(dlq.withColumn("raw_payload", mended))
+    assert letters.replay_summary(replayed).first().asDict() == {"replayed": 2, "skipped": 1}
+    assert letters.replay_messages(replayed).count() == 2
+    assert [r["turbine_id"] for r in letters.recovered_readings(replayed).collect()] == ["turbine-01"]
+    outcome = {r["original_offset"]: r for r in letters.replay_outcome(replayed, F.col("failed_at")).collect()}
+    assert [(outcome[i]["resolved"], outcome[i]["retry_count"]) for i in range(3)] == [(False, 0), (True, 1), (False, 1)]
+    assert outcome[1]["resolved_at"] is not None and outcome[2]["resolved_at"] is None
+    settled = letters.replay_outcome(replayed, F.col("failed_at"))
+    assert letters.replay(settled).count() == 2
