@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,28 +25,42 @@ from fleetpulse.schemas import (
 )
 
 
-def _faults() -> Column:
-    """All faults of a reading, so that it can be mended in one go."""
-    found = [
-        F.when(F.size("wrong_types") > 0, F.concat(F.lit("wrong type: "), F.array_join("wrong_types", ", "))),
-        F.when(F.col("turbine_id").isNull(), F.lit("turbine_id: missing or not text"))
-        .when(F.col("turbine_id") == "", F.lit("turbine_id: blank"))
-        .when(F.length("id_text") > MACHINE_ID_LENGTH, F.lit(f"turbine_id: over {MACHINE_ID_LENGTH} characters")),
-        F.when(F.col("recorded_at").isNull(), F.lit("recorded_at: missing or no instant")),
-        F.when(~F.col("status").isin(*STATUSES), F.lit(f"status: none of {', '.join(STATUSES)}")),
-    ]
+def _checks() -> dict[str, Column]:
+    """Conditions a reading has to meet, by the fault found where one is not met."""
+    size = F.length("id_text")
+    checks = {
+        "event_id: not text": F.col("event_id").isNotNull(),
+        "turbine_id: missing or not text": F.col("turbine_id").isNotNull(),
+        "turbine_id: blank": F.col("turbine_id") != "",
+        f"turbine_id: over {MACHINE_ID_LENGTH} characters": size <= MACHINE_ID_LENGTH,
+        "recorded_at: missing or no instant": F.col("recorded_at").isNotNull(),
+        f"status: none of {', '.join(STATUSES)}": F.col("status").isin(*STATUSES),
+        "vibration_mms: not a number": F.col("vibration_mms").isNotNull(),
+    }
     for name in REQUIRED_NUMBERS:
-        found.append(F.when(F.col(name).isNull(), F.lit(f"{name}: missing or not a number")))
+        checks[f"{name}: missing or not a number"] = F.col(name).isNotNull()
     for name, (low, high) in NUMERIC_BOUNDS.items():
-        found.append(F.when(~F.col(name).between(low, high), F.lit(f"{name}: outside {low:g}..{high:g}")))
-    return F.filter(F.array(*found), lambda fault: fault.isNotNull())
+        checks[f"{name}: outside {low:g}..{high:g}"] = F.col(name).isNull() | F.col(name).between(low, high)
+    return checks
+
+
+def _faults() -> Column:
+    """All faults of a reading, so that it can be mended in one go; NULL if there are none.
+
+    One plain condition clears good readings. The list is made for the others.
+    """
+    checks = _checks()
+    types = F.when(F.size("wrong_types") > 0, F.concat(F.lit("wrong type: "), F.array_join("wrong_types", ", ")))
+    found = F.array(types, *[F.when(~met, F.lit(fault)) for fault, met in checks.items()])
+    good = reduce(and_, [F.coalesce(met, F.lit(False)) for met in checks.values()], F.col("wrong_types").isNull())
+    return F.when(~good, F.filter(found, lambda fault: fault.isNotNull()))
 
 
 def validate(normalised: DataFrame) -> DataFrame:
     """Add ``error_type`` and ``error_message``; both NULL for a good reading."""
     described = normalised.withColumn("faults", _faults())
     broken, other = F.col("shape") == "broken", F.col("shape") == "other"
-    faulty = F.size("faults") > 0
+    faulty = F.col("faults").isNotNull()
     verdict = {
         "error_type": F.when(broken, F.lit(JSON_ERROR)).when(other | faulty, F.lit(SCHEMA_ERROR)),
         "error_message": F.when(broken, F.lit("payload is not valid JSON"))

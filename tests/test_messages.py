@@ -139,13 +139,13 @@ REJECTED = {
     "wind null": (CURRENT | {"wind_speed_ms": None, "Wind_Speed": 5}, SCHEMA_ERROR, "wind_speed_ms: missing"),
     "wind text": (CURRENT | {"wind_speed_ms": "fast"}, SCHEMA_ERROR, "wind_speed_ms: missing or not a number"),
     "wind list": (CURRENT | {"wind_speed_ms": [1]}, SCHEMA_ERROR, "wind_speed_ms: missing or not a number"),
-    "vibration null": (CURRENT | {"vibration_mms": None}, SCHEMA_ERROR, "wrong type: vibration_mms"),
+    "vibration null": (CURRENT | {"vibration_mms": None}, SCHEMA_ERROR, "vibration_mms: not a number"),
     "sensor text": (CURRENT | {"bearing_temp_c": "hot"}, SCHEMA_ERROR, "wrong type: bearing_temp_c"),
     "legacy sensor text": (LEGACY | {"Bearing_Temp": "hot"}, SCHEMA_ERROR, "wrong type: bearing_temp_c"),
     "legacy rpm null": (LEGACY | {"Generator_Speed": None}, SCHEMA_ERROR, "rotor_rpm: missing"),
     "legacy pitch null": (LEGACY | {"BladePitchAngle": None}, SCHEMA_ERROR, "blade_pitch_deg: missing"),
-    "event id null": (CURRENT | {"event_id": None}, SCHEMA_ERROR, "wrong type: event_id"),
-    "event id number": (CURRENT | {"event_id": 7}, SCHEMA_ERROR, "wrong type: event_id"),
+    "event id null": (CURRENT | {"event_id": None}, SCHEMA_ERROR, "event_id: not text"),
+    "event id number": (CURRENT | {"event_id": 7}, SCHEMA_ERROR, "event_id: not text"),
     "publish time": (CURRENT | {"producer_ts": "soon"}, SCHEMA_ERROR, "wrong type: producer_ts"),
     "empty object": ("{}", SCHEMA_ERROR, "turbine_id"),
     "list": ("[1, 2]", SCHEMA_ERROR, "not a JSON object"),
