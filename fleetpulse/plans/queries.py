@@ -17,7 +17,7 @@ from fleetpulse.operators.rollups import FIVE_MINUTES, HOURLY, build_rollup, ref
 from fleetpulse.operators.rules import RULES, Rule, detect
 from fleetpulse.operators.validate import accepted, check_messages, ingest_summary, rejected
 from fleetpulse.plans import event_feed as feed
-from fleetpulse.schemas import READING_COLUMNS, TELEMETRY_SCHEMA, with_day
+from fleetpulse.schemas import NUMERIC_BOUNDS, READING_COLUMNS, TELEMETRY_SCHEMA, with_day
 from fleetpulse.session import scratch_folder
 from fleetpulse.sources import extracts, logs, tables
 from fleetpulse.sources.messages import (
@@ -51,9 +51,15 @@ def alerts(spark: SparkSession, folder: str) -> DataFrame:
     return detect(feed.readings(spark, folder), alert_ts=F.col("producer_ts"))
 
 
-def stored(spark: SparkSession, folder: str) -> DataFrame:
-    """Readings as the telemetry table holds them."""
-    return dedup_readings(feed.readings(spark, folder), ("seq",))
+def stored(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    """Readings as the telemetry table holds them, or some columns of them.
+
+    Deduplication carries whole rows, so columns are cut before it, not after.
+    """
+    arriving = feed.readings(spark, folder)
+    if columns:
+        arriving = arriving.select("turbine_id", "recorded_at", "seq", *columns)
+    return dedup_readings(arriving, ("seq",))
 
 
 def checked(spark: SparkSession, folder: str) -> DataFrame:
@@ -204,7 +210,7 @@ def compact(spark, folder):
 
 
 def partition_report(spark, folder):
-    return comparable(reports.partition_report(stored(spark, folder)))
+    return comparable(reports.partition_report(stored(spark, folder, "event_id")))
 
 
 def storage_report(spark, folder):
@@ -213,7 +219,7 @@ def storage_report(spark, folder):
 
 
 def retention_7d(spark, folder):
-    kept = tables.retain(stored(spark, folder), latest_event(spark, folder), keep_days=7)
+    kept = tables.retain(stored(spark, folder, "event_id"), latest_event(spark, folder), keep_days=7)
     return comparable(kept.select("event_id", "turbine_id", "recorded_at"))
 
 
@@ -221,16 +227,16 @@ def retention_7d(spark, folder):
 
 
 def rollup_5min(spark, folder):
-    return comparable(build_rollup(stored(spark, folder), FIVE_MINUTES))
+    return comparable(build_rollup(stored(spark, folder, *NUMERIC_BOUNDS, "status"), FIVE_MINUTES))
 
 
 def rollup_1h(spark, folder):
-    return comparable(build_rollup(stored(spark, folder), HOURLY))
+    return comparable(build_rollup(stored(spark, folder, *NUMERIC_BOUNDS, "status"), HOURLY))
 
 
 def _refreshed(spark, folder, rollup, known_until: int, **offsets) -> DataFrame:
     """A summary of what was stored ``known_until`` seconds ago, refreshed now."""
-    telemetry, as_of = stored(spark, folder), latest_event(spark, folder)
+    telemetry, as_of = stored(spark, folder, *NUMERIC_BOUNDS, "status", "ingested_at"), latest_event(spark, folder)
     before = telemetry.where(F.col("ingested_at") <= seconds_before(as_of, known_until))
     return comparable(refresh_rollup(telemetry, build_rollup(before, rollup), rollup, as_of, **offsets))
 
@@ -244,7 +250,7 @@ def rollup_refresh_5min(spark, folder):
 
 
 def rollup_coverage_report(spark, folder):
-    telemetry = stored(spark, folder)
+    telemetry = stored(spark, folder, *NUMERIC_BOUNDS, "status")
     summaries = {r.name: build_rollup(telemetry, r) for r in (FIVE_MINUTES, HOURLY)}
     return comparable(rollup_coverage(summaries))
 
@@ -258,7 +264,7 @@ def _latest(spark, folder):
 
 def _thermal(spark, folder):
     # A copy of a reading that arrived later may have a bearing temperature the stored one lacks.
-    return status.thermal_health(stored(spark, folder))
+    return status.thermal_health(stored(spark, folder, *NUMERIC_BOUNDS))
 
 
 def latest_status(spark, folder):
@@ -266,7 +272,7 @@ def latest_status(spark, folder):
 
 
 def latest_status_stored(spark, folder):
-    return comparable(status.latest_status(stored(spark, folder)))
+    return comparable(status.latest_status(stored(spark, folder, *NUMERIC_BOUNDS, "status")))
 
 
 def fleet_status(spark, folder):
@@ -293,18 +299,22 @@ def alert_summary_by_severity(spark, folder):
     return reports.alert_summary(alerts(spark, folder), latest_event(spark, folder))
 
 
+def _power(spark, folder) -> DataFrame:
+    return stored(spark, folder, "power_output_kw", "wind_speed_ms")
+
+
 def fleet_snapshot(spark, folder):
-    return reports.fleet_snapshot(stored(spark, folder), alerts(spark, folder), latest_event(spark, folder))
+    return reports.fleet_snapshot(_power(spark, folder), alerts(spark, folder), latest_event(spark, folder))
 
 
 def fleet_snapshot_24h(spark, folder):
     as_of = latest_event(spark, folder)
-    return reports.fleet_snapshot(stored(spark, folder), alerts(spark, folder), as_of, window=DAY, alert_window=DAY)
+    return reports.fleet_snapshot(_power(spark, folder), alerts(spark, folder), as_of, window=DAY, alert_window=DAY)
 
 
 def table_counts(spark, folder):
     return reports.table_counts(
-        stored(spark, folder), alerts(spark, folder), dlq(spark, folder), latest_event(spark, folder)
+        stored(spark, folder, "ingested_at"), alerts(spark, folder), dlq(spark, folder), latest_event(spark, folder)
     )
 
 
@@ -361,7 +371,7 @@ def events_per_minute_series(spark, folder):
 
 
 def inserts_per_minute(spark, folder):
-    return rates.inserts_per_minute(stored(spark, folder), latest_event(spark, folder))
+    return rates.inserts_per_minute(stored(spark, folder, "ingested_at"), latest_event(spark, folder))
 
 
 def alert_window_counts(spark, folder):
