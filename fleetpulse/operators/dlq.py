@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -85,7 +87,7 @@ def recovered_readings(replayed: DataFrame) -> DataFrame:
     return replayed.where(F.col("action") == "recovered").select(*READING_COLUMNS, "partition", "offset")
 
 
-def replay_outcome(replayed: DataFrame, resolved_at: Column | None = None) -> DataFrame:
+def replay_outcome(replayed: DataFrame, resolved_at: Column | None = None, keep: Sequence[str] = ()) -> DataFrame:
     """New state of the replayed rows: ``retry_count``, ``resolved``, ``resolved_at``."""
     stamp = F.current_timestamp() if resolved_at is None else resolved_at
     recovered = F.col("action") == "recovered"
@@ -102,4 +104,5 @@ def replay_outcome(replayed: DataFrame, resolved_at: Column | None = None) -> Da
         (F.col("retry_count") + tried.cast("int")).alias("retry_count"),
         recovered.alias("resolved"),
         F.when(recovered, stamp).cast("timestamp").alias("resolved_at"),
+        *keep,
     )

@@ -80,11 +80,12 @@ def _wrong_types() -> Column:
     """
     published = _doc("producer_ts")
     time_unusable = published.isNotNull() & ~F.is_variant_null(published) & _json_instant(published).isNull()
-    unusable = {"producer_ts": time_unusable}
-    for name in EXTENDED_BOUNDS:
-        older = ~_present(name) & F.array_contains("unreadable", legacy(name))
-        unusable[name] = F.array_contains("unreadable", name) | older
-    found = F.array(*[F.when(bad, F.lit(name)) for name, bad in unusable.items()])
+    sensors = ", ".join(
+        f"CASE WHEN array_contains(unreadable, '{name}')"
+        f" OR (NOT array_contains(mentioned, '{name}') AND array_contains(unreadable, '{legacy(name)}')) THEN '{name}' END"
+        for name in EXTENDED_BOUNDS
+    )
+    found = F.concat(F.array(F.when(time_unusable, F.lit("producer_ts"))), F.expr(f"array({sensors})"))
     suspicious = (F.size("unreadable") > 0) | time_unusable
     return F.when(suspicious, F.filter(found, lambda name: name.isNotNull()))
 

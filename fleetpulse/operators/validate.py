@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,22 +23,22 @@ from fleetpulse.schemas import (
 )
 
 
-def _checks() -> dict[str, Column]:
+def _checks() -> dict[str, str]:
     """Conditions a reading has to meet, by the fault found where one is not met."""
-    size = F.length("id_text")
+    statuses = ", ".join(f"'{status}'" for status in STATUSES)
     checks = {
-        "event_id: not text": F.col("event_id").isNotNull(),
-        "turbine_id: missing or not text": F.col("turbine_id").isNotNull(),
-        "turbine_id: blank": F.col("turbine_id") != "",
-        f"turbine_id: over {MACHINE_ID_LENGTH} characters": size <= MACHINE_ID_LENGTH,
-        "recorded_at: missing or no instant": F.col("recorded_at").isNotNull(),
-        f"status: none of {', '.join(STATUSES)}": F.col("status").isin(*STATUSES),
-        "vibration_mms: not a number": F.col("vibration_mms").isNotNull(),
+        "event_id: not text": "event_id IS NOT NULL",
+        "turbine_id: missing or not text": "turbine_id IS NOT NULL",
+        "turbine_id: blank": "turbine_id <> ''",
+        f"turbine_id: over {MACHINE_ID_LENGTH} characters": f"length(id_text) <= {MACHINE_ID_LENGTH}",
+        "recorded_at: missing or no instant": "recorded_at IS NOT NULL",
+        f"status: none of {', '.join(STATUSES)}": f"status IN ({statuses})",
+        "vibration_mms: not a number": "vibration_mms IS NOT NULL",
     }
     for name in REQUIRED_NUMBERS:
-        checks[f"{name}: missing or not a number"] = F.col(name).isNotNull()
+        checks[f"{name}: missing or not a number"] = f"{name} IS NOT NULL"
     for name, (low, high) in NUMERIC_BOUNDS.items():
-        checks[f"{name}: outside {low:g}..{high:g}"] = F.col(name).isNull() | F.col(name).between(low, high)
+        checks[f"{name}: outside {low:g}..{high:g}"] = f"({name} IS NULL OR {name} BETWEEN {low}D AND {high}D)"
     return checks
 
 
@@ -50,10 +48,10 @@ def _faults() -> Column:
     One plain condition clears good readings. The list is made for the others.
     """
     checks = _checks()
-    types = F.when(F.size("wrong_types") > 0, F.concat(F.lit("wrong type: "), F.array_join("wrong_types", ", ")))
-    found = F.array(types, *[F.when(~met, F.lit(fault)) for fault, met in checks.items()])
-    good = reduce(and_, [F.coalesce(met, F.lit(False)) for met in checks.values()], F.col("wrong_types").isNull())
-    return F.when(~good, F.filter(found, lambda fault: fault.isNotNull()))
+    wrong_types = "CASE WHEN size(wrong_types) > 0 THEN concat('wrong type: ', array_join(wrong_types, ', ')) END"
+    found = ", ".join([wrong_types, *[f"CASE WHEN NOT {met} THEN '{fault}' END" for fault, met in checks.items()]])
+    good = " AND ".join(["wrong_types IS NULL", *checks.values()])
+    return F.expr(f"CASE WHEN ({good}) IS NOT TRUE THEN filter(array({found}), fault -> fault IS NOT NULL) END")
 
 
 def validate(normalised: DataFrame) -> DataFrame:

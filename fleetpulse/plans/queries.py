@@ -35,7 +35,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 DAY = 86400
 TELEMETRY_COLUMNS = TELEMETRY_SCHEMA.fieldNames()
-AVERAGE_DIGITS = 6
+# Fine enough that no average of up to 64 values with three decimals is a tie.
+AVERAGE_DIGITS = 9
 
 
 # --- inputs ------------------------------------------------------------------
@@ -71,14 +72,14 @@ def dlq(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def comparable(df: DataFrame) -> DataFrame:
-    """Zone-free timestamps and averages without the noise of the summing order."""
+    """Zone-free timestamps, and averages without the noise of the summing order or a signed zero."""
     columns = []
     for f in df.schema.fields:
         column = F.col(f.name)
         if f.dataType == T.TimestampType():
             column = column.cast("timestamp_ntz")
         elif f.name.startswith("avg_"):
-            column = F.round(column, AVERAGE_DIGITS)
+            column = F.round(column, AVERAGE_DIGITS) + F.lit(0.0)
         columns.append(column.alias(f.name))
     return df.select(*columns)
 
@@ -409,7 +410,7 @@ def dlq_rate_by_type(spark, folder):
 
 
 def _rounded(df: DataFrame, *columns: str) -> DataFrame:
-    return df.withColumns({c: F.round(c, AVERAGE_DIGITS) for c in columns})
+    return df.withColumns({c: F.round(c, 6) for c in columns})
 
 
 def latency_quantiles(spark, folder):

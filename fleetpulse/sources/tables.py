@@ -49,6 +49,23 @@ def spread_by_day(df: DataFrame, day: str, keys: Sequence[str], files_per_day: i
     return df.repartition(F.col(day), F.pmod(F.xxhash64(*keys), F.lit(files_per_day)))
 
 
+def _touched(batch: DataFrame, day: str, span: str) -> Column:
+    """Where stored rows with a key of the batch can be: its days, and in each its range of ``span``.
+
+    One value pair per calendar day reaches the driver, not one per row. A day
+    with a NULL in ``span`` is searched as a whole.
+    """
+    ranges = batch.groupBy(day).agg(
+        F.min(span).alias("low"), F.max(span).alias("high"), F.count_if(F.col(span).isNull()).alias("open")
+    )
+    where = F.lit(False)
+    for row in ranges.collect():
+        same_day = F.col(day) == F.lit(row[day])
+        within = F.lit(True) if row["open"] else F.col(span).between(F.lit(row["low"]), F.lit(row["high"]))
+        where = where | (same_day & within)
+    return where
+
+
 def insert_if_absent(
     batch: DataFrame,
     path: str,
@@ -56,20 +73,21 @@ def insert_if_absent(
     arrival: Sequence[str],
     columns: Sequence[str],
     day: str = EVENT_DAY,
+    span: str = "recorded_at",
     files_per_day: int = 8,
 ) -> None:
     """Append the rows whose key is neither stored nor earlier in the batch.
 
-    Equal keys share their day, so only the stored days the batch touches are
-    read, and of those only the key columns. Writing a batch twice changes
-    nothing, which makes a restarted stream safe.
+    Equal keys share their day and their ``span`` value. So only the stored days
+    the batch touches are read, of those only the row groups in its range, and
+    of those only the key columns. Writing a batch twice changes nothing, which
+    makes a restarted stream safe.
     """
     spark = batch.sparkSession
     wanted = [*columns, day]
     fresh = first_per_key(batch.select(*dict.fromkeys([*wanted, *arrival])), keys, arrival).select(*wanted)
-    days = _days_of(batch, day)
-    key_types = T.StructType([f for f in batch.schema if f.name in keys] + [T.StructField(day, T.DateType())])
-    stored = read_table(spark, path, key_types).where(F.col(day).isin(days)).select(*keys)
+    searched = [f for f in batch.schema if f.name in {*keys, span}] + [T.StructField(day, T.DateType())]
+    stored = read_table(spark, path, T.StructType(searched)).where(_touched(batch, day, span)).select(*keys)
     new = fresh.join(stored, list(keys), "left_anti").select(*wanted)
     spread_by_day(new, day, keys, files_per_day).write.mode("append").partitionBy(day).parquet(path)
 

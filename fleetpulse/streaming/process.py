@@ -68,7 +68,7 @@ class Store:
         """Dead letters with ``event_date``, the day their message arrived."""
         insert_if_absent(
             dlq, self.path("dlq"), DLQ_KEY, ("failed_at",),
-            DLQ_SCHEMA.fieldNames(), files_per_day=self.files_per_day,
+            DLQ_SCHEMA.fieldNames(), span="original_offset", files_per_day=self.files_per_day,
         )
 
     def append_batch_stats(self, stats: DataFrame) -> None:

@@ -176,3 +176,35 @@ def test_replay_after_a_fix(spark, messages):
     assert outcome[1]["resolved_at"] is not None and outcome[2]["resolved_at"] is None
     settled = letters.replay_outcome(replayed, F.col("failed_at"))
     assert letters.replay(settled).count() == 2
+
+
+def test_stored_dead_letters_are_replayed_once(spark, messages, tmp_path):
+    from fleetpulse.plans.maintenance import replay_stored_dlq
+
+    processed = processor(tmp_path / "tables")
+    store = processed.store
+    hot = CURRENT | {"temperature_c": 99.0, "status": "odd"}
+    processed(messages("{cut", hot, CURRENT | {"rotor_rpm": 99}), 0)
+    mended = store.dlq(spark).withColumn("raw_payload", F.replace("raw_payload", F.lit('"odd"'), F.lit('"online"')))
+    assert replay_stored_dlq(spark, store, mended) == {"replayed": 2, "skipped": 1}
+    assert store.telemetry(spark).count() == 1
+    assert {r["rule_name"] for r in store.alerts(spark).collect()} == {"nacelle_temp_warning", "nacelle_temp_critical"}
+    states = {r["original_offset"]: (r["resolved"], r["retry_count"]) for r in store.dlq(spark).collect()}
+    assert states == {0: (False, 0), 1: (True, 1), 2: (False, 1)}
+
+    assert replay_stored_dlq(spark, store) == {"replayed": 1, "skipped": 1}
+    states = {r["original_offset"]: (r["resolved"], r["retry_count"]) for r in store.dlq(spark).collect()}
+    assert states == {0: (False, 0), 1: (True, 1), 2: (False, 2)}
+    assert store.telemetry(spark).count() == 1
+
+
+def test_insert_reads_only_the_days_and_ranges_of_the_batch(spark, feed, tmp_path):
+    path, messages = feed
+    processed = processor(tmp_path / "tables")
+    processed(messages, 0)
+    store = processed.store
+    day = messages.where("timestamp >= '2024-01-05' AND timestamp < '2024-01-06'")
+    where = tables._touched(tables.file_by_day(day.select(F.col("timestamp").alias("recorded_at"))), "event_date", "recorded_at")
+    plan = store.telemetry(spark).where(where)._jdf.queryExecution().executedPlan().toString()
+    assert "event_date" in plan.split("PartitionFilters:")[1].split("PushedFilters")[0]
+    assert "recorded_at" in plan.split("PushedFilters:")[1].split("ReadSchema")[0]
