@@ -471,7 +471,7 @@ def stream_rollup_5min(spark, folder):
     path = f"{base}/rollup"
     # The files are read in no set order here, so the whole history counts as on time.
     patient = replace(FIVE_MINUTES, start_offset=366 * DAY)
-    stream = rollup_stream(stream_telemetry(spark, telemetry), patient, path, f"{base}/checkpoint", drain=True)
+    stream = rollup_stream(stream_telemetry(spark, telemetry), patient, path, f"{base}/checkpoint", drain=True, files_per_day=1)
     stream.start().awaitTermination()
     table = tables.read_table(spark, path, rollup_schema(spark, patient))
     return comparable(table.drop(tables.BUCKET_DAY))

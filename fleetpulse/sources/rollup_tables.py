@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from fleetpulse.functions.times import instant, time_range
 from fleetpulse.operators.rollups import Rollup, build_rollup, refresh_range
 from fleetpulse.schemas import TELEMETRY_SCHEMA, with_day
-from fleetpulse.sources.tables import BUCKET_DAY, file_by_day, read_table, replace_days, spread_by_day
+from fleetpulse.sources.tables import BUCKET_DAY, FILES_PER_DAY, file_by_day, read_table, replace_days, spread_by_day
 
 ROLLUP_KEY = ("bucket", "turbine_id")
 
@@ -21,10 +21,10 @@ def rollup_schema(spark: SparkSession, rollup: Rollup) -> T.StructType:
     return with_day(T.StructType([T.StructField(f.name, f.dataType) for f in built]), BUCKET_DAY)
 
 
-def store_rollup(telemetry: DataFrame, rollup: Rollup, path: str) -> None:
+def store_rollup(telemetry: DataFrame, rollup: Rollup, path: str, files_per_day: int = FILES_PER_DAY) -> None:
     """Summarise the whole history."""
     summary = file_by_day(build_rollup(telemetry, rollup), "bucket", BUCKET_DAY)
-    replace_days(spread_by_day(summary, BUCKET_DAY, ROLLUP_KEY, 1), path, BUCKET_DAY)
+    replace_days(spread_by_day(summary, BUCKET_DAY, ROLLUP_KEY, files_per_day), path, BUCKET_DAY)
 
 
 def refresh_stored_rollup(
@@ -34,12 +34,11 @@ def refresh_stored_rollup(
     as_of,
     start_offset: float | None = None,
     end_offset: float | None = None,
+    files_per_day: int = FILES_PER_DAY,
 ) -> None:
     """Recompute the buckets of the refresh range, and rewrite only the days they are in.
 
-    Buckets of those days outside the range are carried over. A day left
-    without any bucket is emptied by its own overwrite only if it holds others;
-    telemetry is never deleted inside the refresh range, so that does not occur.
+    Buckets of those days outside the range are carried over.
     """
     spark = telemetry.sparkSession
     start, end = refresh_range(rollup, instant(as_of), start_offset, end_offset)
@@ -49,4 +48,4 @@ def refresh_stored_rollup(
     carried = stored.where((bucket < start) | (bucket >= end))
     fresh = file_by_day(build_rollup(time_range(telemetry, start, end), rollup), "bucket", BUCKET_DAY)
     merged = carried.unionByName(fresh)
-    replace_days(spread_by_day(merged, BUCKET_DAY, ROLLUP_KEY, 1), path, BUCKET_DAY)
+    replace_days(spread_by_day(merged, BUCKET_DAY, ROLLUP_KEY, files_per_day), path, BUCKET_DAY)

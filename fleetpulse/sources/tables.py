@@ -19,6 +19,8 @@ from fleetpulse.operators.dedup import first_per_key
 
 EVENT_DAY = "event_date"
 BUCKET_DAY = "bucket_date"
+# Tasks, and so files, a day is written by; raise it for bulk loads.
+FILES_PER_DAY = 8
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -74,7 +76,7 @@ def insert_if_absent(
     columns: Sequence[str],
     day: str = EVENT_DAY,
     span: str = "recorded_at",
-    files_per_day: int = 8,
+    files_per_day: int = FILES_PER_DAY,
 ) -> None:
     """Append the rows whose key is neither stored nor earlier in the batch.
 
@@ -106,7 +108,12 @@ def replace_days(df: DataFrame, path: str, day: str) -> None:
 
 
 def upsert(
-    changes: DataFrame, path: str, keys: Sequence[str], day: str, schema: T.StructType, files_per_day: int = 1
+    changes: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    day: str,
+    schema: T.StructType,
+    files_per_day: int = FILES_PER_DAY,
 ) -> None:
     """Replace stored rows by key within the days of the changes, add the others."""
     spark = changes.sparkSession

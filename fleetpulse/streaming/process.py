@@ -20,7 +20,7 @@ from fleetpulse.operators.validate import accepted, check_messages, rejected
 from fleetpulse.schemas import ALERT_COLUMNS, ALERT_SCHEMA, BATCH_STATS_SCHEMA, DLQ_SCHEMA, TELEMETRY_SCHEMA, with_day
 from fleetpulse.sources.logs import number_lines
 from fleetpulse.sources.messages import alerts_from_messages
-from fleetpulse.sources.tables import EVENT_DAY, file_by_day, insert_if_absent, read_table
+from fleetpulse.sources.tables import EVENT_DAY, FILES_PER_DAY, file_by_day, insert_if_absent, read_table
 
 # Fixed value: a batch is flushed after 2 seconds.
 FLUSH_SECONDS = 2.0
@@ -34,7 +34,7 @@ class Store:
     """The tables below one root folder."""
 
     root: str
-    files_per_day: int = 8
+    files_per_day: int = FILES_PER_DAY
 
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"

@@ -9,7 +9,7 @@ from fleetpulse.operators.dedup import READING_KEY
 from fleetpulse.operators.rollups import Rollup, build_rollup
 from fleetpulse.schemas import TELEMETRY_SCHEMA, with_day
 from fleetpulse.sources.rollup_tables import ROLLUP_KEY, rollup_schema
-from fleetpulse.sources.tables import BUCKET_DAY, file_by_day, upsert
+from fleetpulse.sources.tables import BUCKET_DAY, FILES_PER_DAY, file_by_day, upsert
 
 
 def stream_telemetry(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
@@ -28,7 +28,13 @@ def rollup_updates(telemetry: DataFrame, rollup: Rollup) -> DataFrame:
 
 
 def rollup_stream(
-    telemetry: DataFrame, rollup: Rollup, path: str, checkpoint: str, drain: bool = False, every_seconds: int | None = None
+    telemetry: DataFrame,
+    rollup: Rollup,
+    path: str,
+    checkpoint: str,
+    drain: bool = False,
+    every_seconds: int | None = None,
+    files_per_day: int = FILES_PER_DAY,
 ) -> DataStreamWriter:
     """Keep a stored rollup current, bucket by changed bucket."""
     schema = rollup_schema(telemetry.sparkSession, rollup)
@@ -36,7 +42,7 @@ def rollup_stream(
     def write(changes: DataFrame, batch_id: int) -> None:
         filed = file_by_day(changes, "bucket", BUCKET_DAY).persist()
         try:
-            upsert(filed, path, ROLLUP_KEY, BUCKET_DAY, schema)
+            upsert(filed, path, ROLLUP_KEY, BUCKET_DAY, schema, files_per_day)
         finally:
             filed.unpersist()
 
