@@ -18,7 +18,7 @@ from fleetpulse.plans import event_feed
 from fleetpulse.schemas import ALERT_COLUMNS, DLQ_SCHEMA, TELEMETRY_SCHEMA
 from fleetpulse.sources import tables
 from fleetpulse.sources.logs import skip_blank, stream_log
-from fleetpulse.sources.messages import alert_messages, publish_to_files, stream_message_files
+from fleetpulse.sources.messages import alert_messages, publish_to_files, read_message_files, stream_message_files
 from fleetpulse.sources.rollup_tables import rollup_schema
 from fleetpulse.streaming.process import MessageProcessor, Store, alert_writer_stream, process_stream
 from fleetpulse.streaming.windows import dedup_stream, rollup_stream, stream_telemetry
@@ -36,7 +36,8 @@ def feed(spark, sf_dir, tmp_path_factory):
     for part in range(4):
         low, high = part * 250, part * 250 + 250
         messages.where(F.col("offset").between(low, high - 1)).coalesce(1).write.mode("append").parquet(path)
-    return path, messages
+    messages.unpersist()
+    return path, read_message_files(spark, path)
 
 
 def processor(root, **options):
