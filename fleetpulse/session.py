@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -36,13 +35,12 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder for one run below the cluster's shared checkpoint folder.
 
-    Only a session that names no such folder (local tests) falls back to a
-    temporary one. Every run gets its own name, so reruns never collide.
+    A session that names no such folder uses one below its warehouse, which
+    all executors share too. Every run gets its own name, so reruns never
+    collide.
     """
-    base = spark.conf.get(CHECKPOINT_SETTING, None)
+    base = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        base = spark.sparkContext.getCheckpointDir()
-    if not base:
-        base = tempfile.mkdtemp(prefix="fleetpulse-")
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

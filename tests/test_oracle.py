@@ -17,7 +17,8 @@ def duck(sf_dir):
 
 def test_every_sql_has_its_query():
     assert set(SQL) <= set(queries())
-    assert set(queries()) - set(SQL) == {"batch_metrics"}
+    without = {name for name in set(queries()) - set(SQL) if not name.startswith("op") and name != "pipeline"}
+    assert without == {"batch_metrics"}
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
