@@ -6,9 +6,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetpulse.llm.common import table
+from fleetpulse.llm.packing import pack
 from fleetpulse.llm.sharding import shard_rows
 
 
+def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
+    """Where the installed vocabulary lies."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in sequences of 4096 tokens."""
+    return pack(table(spark, folder, "documents"), tokenizer_file())
+
+
 def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in 16 shards of nearly equal bytes, equal texts together."""
     placed = shard_rows(table(spark, folder, "documents"), shards=16)
@@ -24,6 +37,7 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op9_packing": op9_packing,
     "op10_sharding": op10_sharding,
 }
 
