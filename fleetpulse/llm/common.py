@@ -57,3 +57,93 @@ def mix(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return h ^ (h >> np.uint64(31))
+
+
+#: Odd multiplier of the polynomial hashes modulo 2**64, and its inverse.
+_BASE = 0x5851F42D4C957F2D
+_INVERSE = pow(_BASE, -1, 1 << 64)
+_powers: dict[int, np.ndarray] = {}
+
+
+def _power(base: int, n: int) -> np.ndarray:
+    """``base ** i`` modulo 2**64 for i < n, kept for the next block."""
+    have = _powers.get(base)
+    if have is None or len(have) < n:
+        size = max(n, BLOCK_CHARS + 1)
+        factors = np.full(size, base, np.uint64)
+        factors[0] = 1
+        have = np.multiply.accumulate(factors)
+        if size == BLOCK_CHARS + 1:
+            _powers[base] = have
+    return have[:n]
+
+
+def word_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each run ``codes[start:end]``, equal for equal runs."""
+    total = np.zeros(len(codes) + 1, np.uint64)
+    np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * _power(_BASE, len(codes)), out=total[1:])
+    return mix((total[ends] - total[starts]) * _power(_INVERSE, len(codes) + 1)[starts])
+
+
+_SPACE_CODES = np.array([chr(c).isspace() for c in range(0x3001)])
+
+
+def is_space(codes: np.ndarray) -> np.ndarray:
+    """White space among code points."""
+    return _SPACE_CODES[np.minimum(codes, 0x3000)] & (codes <= 0x3000)
+
+
+class CodeBlock:
+    """Texts as one array of code points; each text stands between spaces.
+
+    ``first[i]`` is where text i begins, ``starts`` and ``ends`` are its words
+    (runs without white space), ``words[i]`` the number of the first word of
+    text i; both lists of positions have one more entry for the end.
+    """
+
+    def __init__(self, texts: list[str | None]) -> None:
+        joined = " " + " ".join(t or "" for t in texts) + " "
+        self.codes = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
+        lengths = np.array([len(t or "") + 1 for t in texts], np.int64)
+        self.first = 1 + np.concatenate(([0], np.cumsum(lengths)))
+        self.space = is_space(self.codes)
+        step = np.diff(self.space.astype(np.int8))
+        self.starts = np.flatnonzero(step == -1) + 1
+        self.ends = np.flatnonzero(step == 1) + 1
+        self.words = np.searchsorted(self.starts, self.first)
+
+
+def sums_between(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Sum of ``values[bounds[i]:bounds[i + 1]]`` for each i, in double precision."""
+    total = np.concatenate((np.zeros((1, *values.shape[1:])), np.cumsum(values, axis=0, dtype=np.float64)))
+    return total[bounds[1:]] - total[bounds[:-1]]
+
+
+def bounded_sample(docs: DataFrame, labels: DataFrame, value: str, rows: int) -> list[tuple]:
+    """(text, value) of at most ``rows`` labelled documents, chosen by a hash of the id.
+
+    ``labels`` has ``doc_id`` and ``value``; rows with nulls take no part. Only
+    the chosen ids, bounded by ``rows``, are broadcast, and only their texts
+    reach the driver.
+    """
+    chosen = (
+        labels.select("doc_id", F.col(value).alias("__value"))
+        .where("doc_id is not null and __value is not null")
+        .orderBy(F.xxhash64("doc_id"), "doc_id", "__value")
+        .limit(rows)
+    )
+    found = (
+        docs.select("doc_id", "text")
+        .where("text is not null")
+        .join(F.broadcast(chosen), "doc_id")
+        .select("doc_id", "text", "__value")
+        .collect()
+    )
+    return [(r[1], r[2]) for r in sorted(found, key=lambda r: (hash_order(r[0]), str(r[0]), r[1], str(r[2])))]
+
+
+def hash_order(value: object) -> int:
+    """A fixed order of ids without meaning."""
+    import zlib
+
+    return zlib.crc32(str(value).encode())

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fleetpulse.llm.common import table
 from fleetpulse.llm.packing import pack
+from fleetpulse.llm.quality import quality_rows
 from fleetpulse.llm.sharding import shard_rows
 
 
@@ -17,6 +18,11 @@ def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of every document."""
+    return quality_rows(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in sequences of 4096 tokens."""
     return pack(table(spark, folder, "documents"), tokenizer_file())
@@ -37,6 +43,7 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op7_quality": op7_quality,
     "op9_packing": op9_packing,
     "op10_sharding": op10_sharding,
 }
