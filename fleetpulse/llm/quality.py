@@ -21,7 +21,7 @@ DIMENSIONS = 8
 #: Lengths of character n-grams; a word has a mark at each end.
 GRAMS = (3, 4, 5)
 EPOCHS = 6
-RATE = 0.3
+RATE = 1.0
 
 _GRAM_BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -39,7 +39,8 @@ def features(block: CodeBlock, bits: int = BUCKET_BITS) -> Iterator[tuple[np.nda
     words = word_hashes(block.codes, block.starts, block.ends)
     yield _bucket(words, bits), np.ones(len(words), bool), block.words
     if len(words) > 1:
-        pairs = mix(words[:-1] * _GRAM_BASE + words[1:])
+        # A word said twice is one feature for all words.
+        pairs = np.where(words[:-1] == words[1:], _GRAM_BASE, mix(words[:-1] * _GRAM_BASE + words[1:]))
         within = np.ones(len(pairs), bool)
         within[block.words[1:-1][(block.words[1:-1] > 0) & (block.words[1:-1] <= len(pairs))] - 1] = False
         yield _bucket(pairs, bits), within, np.minimum(block.words, len(pairs))
