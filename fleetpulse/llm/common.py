@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +18,11 @@ BLOCK_CHARS = 1_000_000
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A given table; Python workers of the session will find this package."""
+    root = str(Path(__file__).resolve().parents[2])
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
@@ -119,26 +126,25 @@ def sums_between(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return total[bounds[1:]] - total[bounds[:-1]]
 
 
-def bounded_sample(docs: DataFrame, labels: DataFrame, value: str, rows: int) -> list[tuple]:
-    """(text, value) of at most ``rows`` labelled documents, chosen by a hash of the id.
+def labelled_sample(docs: DataFrame, labels: DataFrame, value: str, rows: int) -> DataFrame:
+    """``doc_id, text, label`` of at most ``rows`` labelled documents, chosen by a hash of the id.
 
     ``labels`` has ``doc_id`` and ``value``; rows with nulls take no part. Only
-    the chosen ids, bounded by ``rows``, are broadcast, and only their texts
-    reach the driver.
+    the chosen ids, bounded by ``rows``, are broadcast.
     """
     chosen = (
-        labels.select("doc_id", F.col(value).alias("__value"))
-        .where("doc_id is not null and __value is not null")
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "__value")
+        labels.select("doc_id", F.col(value).alias("label"))
+        .where("doc_id is not null and label is not null")
+        .orderBy(F.xxhash64("doc_id"), "doc_id", "label")
         .limit(rows)
     )
-    found = (
-        docs.select("doc_id", "text")
-        .where("text is not null")
-        .join(F.broadcast(chosen), "doc_id")
-        .select("doc_id", "text", "__value")
-        .collect()
-    )
+    texts = docs.select("doc_id", "text").where("text is not null")
+    return texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label")
+
+
+def bounded_sample(docs: DataFrame, labels: DataFrame, value: str, rows: int) -> list[tuple]:
+    """The labelled sample as (text, label) on the driver, in a fixed order."""
+    found = labelled_sample(docs, labels, value, rows).collect()
     return [(r[1], r[2]) for r in sorted(found, key=lambda r: (hash_order(r[0]), str(r[0]), r[1], str(r[2])))]
 
 

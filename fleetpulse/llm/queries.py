@@ -9,6 +9,7 @@ from fleetpulse.llm.common import table
 from fleetpulse.llm.packing import pack
 from fleetpulse.llm.quality import quality_rows
 from fleetpulse.llm.sharding import shard_rows
+from fleetpulse.llm.toxicity import toxicity_rows
 
 
 def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
@@ -18,6 +19,11 @@ def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document."""
+    return toxicity_rows(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Quality of every document."""
     return quality_rows(table(spark, folder, "documents"), table(spark, folder, "labels"))
@@ -43,6 +49,7 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_toxicity": op4_toxicity,
     "op7_quality": op7_quality,
     "op9_packing": op9_packing,
     "op10_sharding": op10_sharding,
