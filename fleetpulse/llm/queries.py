@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetpulse.llm.common import table
+from fleetpulse.llm.decontamination import contamination_rows
 from fleetpulse.llm.packing import pack
 from fleetpulse.llm.quality import quality_rows
 from fleetpulse.llm.sharding import shard_rows
@@ -24,6 +25,11 @@ def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity_rows(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark phrases in every document."""
+    return contamination_rows(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Quality of every document."""
     return quality_rows(table(spark, folder, "documents"), table(spark, folder, "labels"))
@@ -49,6 +55,7 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op6_decontamination": op6_decontamination,
     "op4_toxicity": op4_toxicity,
     "op7_quality": op7_quality,
     "op9_packing": op9_packing,
