@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fleetpulse.llm.common import table
 from fleetpulse.llm.decontamination import contamination_rows
+from fleetpulse.llm.near_duplicates import near_duplicates
 from fleetpulse.llm.packing import pack
 from fleetpulse.llm.quality import quality_rows
 from fleetpulse.llm.sharding import shard_rows
@@ -25,6 +26,11 @@ def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity_rows(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op5_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """Near duplicates among all documents, by shingles of four words."""
+    return near_duplicates(table(spark, folder, "documents"), size=4)
+
+
 def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Benchmark phrases in every document."""
     return contamination_rows(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
@@ -55,6 +61,7 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op5_near_duplicates": op5_near_duplicates,
     "op6_decontamination": op6_decontamination,
     "op4_toxicity": op4_toxicity,
     "op7_quality": op7_quality,
