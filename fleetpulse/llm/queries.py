@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fleetpulse.llm.common import table
 from fleetpulse.llm.decontamination import contamination_rows
+from fleetpulse.llm.language import language_rows
 from fleetpulse.llm.near_duplicates import near_duplicates
 from fleetpulse.llm.packing import pack
 from fleetpulse.llm.quality import quality_rows
@@ -41,6 +42,11 @@ def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rows(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op8_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document."""
+    return language_rows(table(spark, folder, "documents"))
+
+
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in sequences of 4096 tokens."""
     return pack(table(spark, folder, "documents"), tokenizer_file())
@@ -65,6 +71,7 @@ QUERIES = {
     "op6_decontamination": op6_decontamination,
     "op4_toxicity": op4_toxicity,
     "op7_quality": op7_quality,
+    "op8_language": op8_language,
     "op9_packing": op9_packing,
     "op10_sharding": op10_sharding,
 }
