@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from fleetpulse.llm.common import table
 from fleetpulse.llm.decontamination import contamination_rows
 from fleetpulse.llm.language import language_rows
+from fleetpulse.llm.line_dedup import line_rows
 from fleetpulse.llm.near_duplicates import near_duplicates
 from fleetpulse.llm.packing import pack
 from fleetpulse.llm.quality import quality_rows
@@ -22,6 +23,11 @@ def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Repeated runs of lines removed from all documents."""
+    return line_rows(table(spark, folder, "documents"))
+
+
 def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity of every document."""
     return toxicity_rows(table(spark, folder, "documents"), table(spark, folder, "labels"))
@@ -69,6 +75,7 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op5_near_duplicates": op5_near_duplicates,
     "op6_decontamination": op6_decontamination,
+    "op3_line_dedup": op3_line_dedup,
     "op4_toxicity": op4_toxicity,
     "op7_quality": op7_quality,
     "op8_language": op8_language,
