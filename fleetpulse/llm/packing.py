@@ -23,8 +23,8 @@ END_OF_TEXT = 1
 PIECES_PER_PART = 2048
 #: So many partitions put what they release into one pool.
 FAN_IN = 16
-#: Words whose ids a Python worker keeps.
-CACHED_WORDS = 400_000
+#: Parts of texts whose ids a Python worker keeps.
+CACHED_WORDS = 500_000
 #: Bounds are taken over so many values of a dual-feasible function's parameter at most.
 BOUND_STEPS = 128
 
@@ -37,16 +37,20 @@ PIECE_SCHEMA = T.StructType(
     ]
 )
 
-# White space of the tokenizer; Python's also has the four separators from 1C and the one at 1F.
-_SEPARATORS = re.compile(r"[\x1c-\x1f]")
+# White space of the tokenizer; Python's also has the separators from 1C to 1F.
 _SPACE = re.compile(r"[^\S\x1c-\x1f]+")
+# In texts of these characters alone the tokenizer's normal form is their lower case.
+_OTHER = re.compile(r"[^\t-\r\x20-\x7e\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]|<\|")
+# How the tokenizer parts such a text; fixed by its vocabulary file.
+_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^\sa-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
 
 
 class WordTokenizer:
-    """Ids of a text, word by word: the tokenizer drops white space and never joins across it.
+    """Ids of a text, part by part: the tokenizer drops white space and never joins across it.
 
-    Tokens of words seen lately are kept as bytes, so that a text costs one
-    lookup per word.
+    A text of ASCII and Latin letters is parted as the tokenizer does it, any
+    other at white space only. Ids of parts seen lately are kept as bytes, so
+    that a text costs one lookup per part.
     """
 
     _open: dict[str, WordTokenizer] = {}
@@ -57,6 +61,8 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
+        mark = self._encode("\x01")
+        self.mark = mark[0] if len(mark) == 1 else None
 
     @classmethod
     def opened(cls, path: str) -> WordTokenizer:
@@ -65,20 +71,35 @@ class WordTokenizer:
             cls._open[path] = cls(path)
         return cls._open[path]
 
+    def _encode(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def _learn(self, parts: list[str]) -> None:
+        """Encode many parts in one text, kept apart by a character that none of them has."""
+        plain = [p for p in parts if "\x01" not in p] if self.mark is not None else []
+        for first in range(0, len(plain), 2000):
+            some = plain[first : first + 2000]
+            ids = self._encode(" \x01 ".join(some))
+            ends = [*np.flatnonzero(ids == self.mark).tolist(), len(ids)]
+            start = 0
+            for part, end in zip(some, ends, strict=True):
+                self.known[part] = ids[start:end].tobytes()
+                start = end + 1
+        for part in parts:
+            if part not in self.known:
+                self.known[part] = self._encode(part).tobytes()
+
     def ids(self, text: str) -> bytes:
         """Token ids as little-endian unsigned 32-bit values."""
-        words = _SPACE.split(text) if _SEPARATORS.search(text) else text.split()
+        parts = _SPACE.split(text) if _OTHER.search(text) else _PARTS.findall(text.lower())
         known = self.known
-        missing = [w for w in set(words) if w not in known]
+        missing = [p for p in set(parts) if p not in known]
         if missing:
             if len(known) + len(missing) > CACHED_WORDS:
                 known.clear()
-                missing = list(set(words))
-            for first in range(0, len(missing), 4096):
-                some = missing[first : first + 4096]
-                for word, got in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                    known[word] = np.array(got.ids, "<u4").tobytes()
-        return b"".join([known[w] for w in words])
+                missing = list(set(parts))
+            self._learn(missing)
+        return b"".join([known[p] for p in parts])
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end: int = END_OF_TEXT) -> DataFrame:
