@@ -12,6 +12,7 @@ from fleetpulse.llm.line_dedup import line_rows
 from fleetpulse.llm.near_duplicates import near_duplicates
 from fleetpulse.llm.packing import pack
 from fleetpulse.llm.quality import quality_rows
+from fleetpulse.llm.search import nearest
 from fleetpulse.llm.sharding import shard_rows
 from fleetpulse.llm.toxicity import toxicity_rows
 
@@ -23,6 +24,12 @@ def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 nearest vectors of every twentieth one."""
+    vectors = table(spark, folder, "embeddings")
+    return nearest(vectors, vectors.where("vec_id % 20 = 0"), k=20)
+
+
 def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Repeated runs of lines removed from all documents."""
     return line_rows(table(spark, folder, "documents"))
@@ -75,6 +82,7 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op5_near_duplicates": op5_near_duplicates,
     "op6_decontamination": op6_decontamination,
+    "op1_nearest": op1_nearest,
     "op3_line_dedup": op3_line_dedup,
     "op4_toxicity": op4_toxicity,
     "op7_quality": op7_quality,
