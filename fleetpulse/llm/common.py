@@ -17,12 +17,17 @@ from fleetpulse.session import scratch_folder
 BLOCK_CHARS = 1_000_000
 
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A given table; Python workers of the session will find this package."""
+def workers_find_package(spark: SparkSession) -> None:
+    """Python workers of the session find this package where the driver has it."""
     root = str(Path(__file__).resolve().parents[2])
     paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
     if root not in paths:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A given table."""
+    workers_find_package(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

@@ -12,6 +12,7 @@ from fleetpulse.llm.line_dedup import line_rows
 from fleetpulse.llm.near_duplicates import near_duplicates
 from fleetpulse.llm.packing import pack
 from fleetpulse.llm.quality import quality_rows
+from fleetpulse.llm.quotes import quote_rows
 from fleetpulse.llm.search import nearest
 from fleetpulse.llm.sharding import shard_rows
 from fleetpulse.llm.toxicity import toxicity_rows
@@ -30,6 +31,11 @@ def op1_nearest(spark: SparkSession, folder: str) -> DataFrame:
     return nearest(vectors, vectors.where("vec_id % 20 = 0"), k=20)
 
 
+def op2_quotes(spark: SparkSession, folder: str) -> DataFrame:
+    """Quoted passages of all conversations linked to their originals."""
+    return quote_rows(table(spark, folder, "conversations"))
+
+
 def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Repeated runs of lines removed from all documents."""
     return line_rows(table(spark, folder, "documents"))
@@ -83,6 +89,7 @@ QUERIES = {
     "op5_near_duplicates": op5_near_duplicates,
     "op6_decontamination": op6_decontamination,
     "op1_nearest": op1_nearest,
+    "op2_quotes": op2_quotes,
     "op3_line_dedup": op3_line_dedup,
     "op4_toxicity": op4_toxicity,
     "op7_quality": op7_quality,
