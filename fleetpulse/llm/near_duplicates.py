@@ -227,7 +227,11 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         labels, turn = components(links), turn + 1
     return (
         members.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-        .select("id", "n_shingles", F.coalesce("component", "rep", "id").alias("component_id"))
+        .select(
+            "id",
+            "n_shingles",
+            F.when(F.col("id").isNotNull(), F.coalesce("component", "rep", "id")).alias("component_id"),
+        )
         .select(
             F.col("id").alias("doc_id"),
             "n_shingles",
