@@ -1,0 +1,76 @@
+from __future__ import annotations
+
+import itertools
+import random
+import zlib
+
+import numpy as np
+
+from fleetpulse.llm.language import fit, forward_backward, language_rows, predict_language
+from fleetpulse.llm.queries import QUERIES
+
+SYLLABLES = {"aa": ["ka", "lo", "mi", "tu"], "bb": ["schen", "ung", "ber", "ich"]}
+
+
+def words(lang, n, source):
+    return ["".join(source.choices(SYLLABLES[lang], k=source.randrange(1, 4))) for _ in range(n)]
+
+
+def corpus(n, seed):
+    source = random.Random(seed)
+    return [(" ".join(words(lang, source.randrange(10, 30), source)), lang) for lang in ["aa", "bb"] * (n // 2)]
+
+
+def test_marginals_against_all_label_sequences():
+    source = np.random.default_rng(1)
+    emission, transition = source.standard_normal((9, 3)), source.standard_normal((3, 3))
+    bounds = np.array([0, 4, 4, 5, 9])
+    marginals, pairs = forward_backward(emission, bounds, transition)
+    expected, expected_pairs = np.zeros((9, 3)), np.zeros((3, 3))
+    for low, high in zip(bounds[:-1], bounds[1:]):
+        total, share, steps = 0.0, np.zeros((high - low, 3)), np.zeros((3, 3))
+        for path in itertools.product(range(3), repeat=high - low):
+            weight = np.exp(
+                sum(emission[low + i, k] for i, k in enumerate(path)) + sum(transition[a, b] for a, b in zip(path, path[1:]))
+            )
+            total += weight
+            for i, k in enumerate(path):
+                share[i, k] += weight
+            for a, b in zip(path, path[1:]):
+                steps[a, b] += weight
+        expected[low:high] = share / total
+        expected_pairs += steps / total
+    assert np.allclose(marginals, expected) and np.allclose(pairs, expected_pairs)
+
+
+def test_learns_labels_and_switches():
+    learned, asked = corpus(120, 1), corpus(60, 2)
+    model = fit([t for t, _ in learned], [y for _, y in learned], bits=12)
+    found = model.predict([t for t, _ in asked])
+    assert found[0] == [y for _, y in asked] and all(0.5 < s <= 1 for s in found[1])
+    source = random.Random(3)
+    mixed = " ".join([*words("aa", 15, source), *words("bb", 15, source)])
+    spans = model.spans(mixed)
+    assert [s[2] for s in spans] == ["aa", "bb"] and abs(spans[0][1] - 15) <= 1
+    assert model.predict([None, "", "12 !?", "ka"])[0][:3] == ["und"] * 3
+
+
+def test_odd_rows(odd, documents):
+    rows = language_rows(odd).collect()
+    assert len(rows) == 10 and {(r["lang_pred"], r["score"]) for r in rows} == {("und", 0.0)}
+    taught = documents((1, "ka lo mi", "aa"), (3, "ung ber ich", "bb"), (4, "ka lo", "aa"), (5, None, "cc"), (None, "x", "dd"), (8, "7", None))
+    found = {r["doc_id"]: r for r in language_rows(taught).collect()}
+    assert {r["lang_pred"] for r in found.values()} <= {"aa", "bb", "und"}
+    assert found[5]["lang_pred"] == found[8]["lang_pred"] == "und"
+    assert language_rows(documents()).count() == 0
+    spans = predict_language(taught, fit(["ka lo mi", "ung ber"], ["aa", "bb"], bits=8), spans=True)
+    assert {r["doc_id"]: len(r["lang_spans"]) > 0 for r in spans.collect()}[5] is False
+
+
+def test_query(spark, sf_dir):
+    sf_dir = sf_dir.replace("0.001", "0.01")
+    lang = dict(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang").collect())
+    rows = QUERIES["op8_language"](spark, sf_dir).collect()
+    assert len(rows) == 1000
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in rows)
+    assert np.mean([r["lang_pred"] == lang[r["doc_id"]] for r in rows if r["held_out"]]) > 0.95

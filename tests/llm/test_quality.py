@@ -1,0 +1,68 @@
+from __future__ import annotations
+
+import random
+import zlib
+
+import numpy as np
+
+from fleetpulse.llm.common import CodeBlock
+from fleetpulse.llm.quality import document_features, fit, quality_rows, train
+from fleetpulse.llm.queries import QUERIES
+
+
+def texts(n, seed=1):
+    source, out = random.Random(seed), []
+    for i in range(n):
+        words = ["".join(source.choices("abcdefgh", k=source.randrange(2, 7))) for _ in range(source.randrange(20, 60))]
+        bad = i % 4 == 0
+        out.append((" ".join(w + "!!" for w in words) if bad else " ".join(words), int(not bad)))
+    return out
+
+
+def test_block_words_and_features_are_those_of_single_texts():
+    rows = [None, "", " ", "one", "a  b c d", "é漢字 x", "w " * 300]
+    block = CodeBlock(rows)
+    for i, text in enumerate(rows):
+        assert block.words[i + 1] - block.words[i] == len((text or "").split())
+    model = fit([t for t, _ in texts(60)], [y for _, y in texts(60)], bits=10, epochs=2)
+    together = model.scores(rows)
+    for text, score in zip(rows, together):
+        assert abs(model.scores([text])[0] - score) < 1e-9
+        if text and text.split():
+            buckets, shares = document_features([text], 10)[0]
+            assert abs(1 / (1 + np.exp(-(model.weight[buckets] @ shares + model.bias))) - score) < 1e-5
+
+
+def test_learns_and_keeps_good_texts():
+    learned, asked = texts(300, 1), texts(200, 2)
+    model = fit([t for t, _ in learned], [y for _, y in learned])
+    scores = model.scores([t for t, _ in asked])
+    assert all((s >= 0.7) == y for s, (_, y) in zip(scores, asked))
+
+
+def test_odd_rows(spark, odd, documents):
+    labels = spark.createDataFrame([(5, 1, 0), (6, 0, 1), (None, 1, 1), (4, None, 0), (7, 3, 1)], "doc_id long, quality int, toxic int")
+    for some in (labels, labels.limit(0)):
+        rows = quality_rows(odd, some).collect()
+        assert len(rows) == 10 and all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.7) for r in rows)
+    assert {r["score"] for r in quality_rows(odd, labels.limit(0)).collect()} == {0.5}
+    assert quality_rows(documents(), labels).count() == 0
+
+
+def test_held_out_labels_change_nothing(spark, documents):
+    rows = [(i, t, None) for i, (t, _) in enumerate(texts(40))]
+    labels = [(i, i % 2) for i in range(40)]
+    out = {i for i in range(40) if zlib.crc32(str(i).encode()) % 4 == 2}
+    turned = [(i, 1 - y if i in out else y) for i, y in labels]
+    a, b = (train(documents(*rows), spark.createDataFrame(x, "doc_id long, quality int")) for x in (labels, turned))
+    assert np.array_equal(a.weight, b.weight) and a.bias == b.bias
+
+
+def test_query(spark, sf_dir):
+    sf_dir = sf_dir.replace("0.001", "0.01")
+    labels = dict(spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality").collect())
+    rows = QUERIES["op7_quality"](spark, sf_dir).collect()
+    assert len(rows) == 1000
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in rows)
+    asked = [r for r in rows if r["held_out"] and r["doc_id"] in labels]
+    assert np.mean([r["predicted"] == labels[r["doc_id"]] for r in asked]) > 0.93
