@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +11,7 @@ from pyspark.sql import types as T
 from fleetpulse.functions.times import seconds_before
 from fleetpulse.operators import dlq as letters
 from fleetpulse.operators import rates, reports, status
-from fleetpulse.operators.dedup import dedup_readings
+from fleetpulse.operators.dedup import READING_KEY, dedup_readings
 from fleetpulse.operators.rollups import FIVE_MINUTES, HOURLY, build_rollup, refresh_rollup, rollup_coverage
 from fleetpulse.operators.rules import RULES, Rule, detect
 from fleetpulse.operators.validate import accepted, check_messages, ingest_summary, rejected
@@ -27,7 +26,7 @@ from fleetpulse.sources.messages import (
     dlq_messages,
     reading_messages,
 )
-from fleetpulse.sources.rollup_tables import rollup_schema
+from fleetpulse.sources.rollup_tables import refresh_stored_rollup, rollup_schema, store_rollup
 from fleetpulse.streaming.process import MessageProcessor, Store, process_stream
 from fleetpulse.streaming.windows import dedup_stream, rollup_stream, stream_telemetry
 
@@ -197,8 +196,7 @@ def telemetry_inserted_twice(spark, folder):
 def _filed_telemetry(spark, folder) -> str:
     path = scratch_folder(spark, "telemetry")
     rows = tables.file_by_day(stored(spark, folder).select(*TELEMETRY_COLUMNS))
-    spread = tables.spread_by_day(rows, tables.EVENT_DAY, ["turbine_id", "recorded_at"], files_per_day=2)
-    spread.write.partitionBy(tables.EVENT_DAY).parquet(path)
+    tables.spread_by_day(rows, tables.EVENT_DAY).write.partitionBy(tables.EVENT_DAY).parquet(path)
     return path
 
 
@@ -256,6 +254,24 @@ def rollup_coverage_report(spark, folder):
     return comparable(rollup_coverage(summaries))
 
 
+def rollup_refresh_stored(spark, folder):
+    """The hourly table of what was stored two days ago, refreshed in place and read back."""
+    path, as_of = scratch_folder(spark, "rollup"), latest_event(spark, folder)
+    telemetry = spark.read.parquet(_filed_telemetry(spark, folder))
+    before = telemetry.where(F.col("ingested_at") <= seconds_before(as_of, 2 * DAY))
+    store_rollup(before, HOURLY, path)
+    now = feed.events(spark, folder).agg(F.max(F.col("ts").cast("timestamp"))).first()[0]
+    refresh_stored_rollup(telemetry, HOURLY, path, now, start_offset=3 * DAY)
+    return comparable(tables.read_table(spark, path, rollup_schema(spark, HOURLY)).drop(tables.BUCKET_DAY))
+
+
+def retention_on_disk(spark, folder):
+    """The telemetry table after its day folders past a week were removed."""
+    path = _filed_telemetry(spark, folder)
+    tables.drop_expired_days(spark, path, latest_event(spark, folder), keep_days=7)
+    return comparable(spark.read.parquet(path).select("event_id", "turbine_id", "recorded_at"))
+
+
 # --- status and reports --------------------------------------------------------
 
 
@@ -434,7 +450,7 @@ def lag_by_turbine(spark, folder):
 def _processed(spark, folder) -> Store:
     """The main stream drained into new tables, with the message time as the clock."""
     base = scratch_folder(spark, "stream")
-    store = Store(f"{base}/tables", files_per_day=1)
+    store = Store(f"{base}/tables")
     processor = MessageProcessor(store, clock=lambda: F.col("timestamp"))
     messages = feed.messages_of(feed.readings_of(feed.stream_events(spark, folder)))
     process_stream(messages, processor, f"{base}/checkpoint", drain=True).start().awaitTermination()
@@ -466,23 +482,35 @@ def batch_metrics(spark, folder):
     return rates.write_latency(stats).join(rates.batch_sizes(stats), "table_name")
 
 
+def _four_batches(df: DataFrame, by: Column) -> list[DataFrame]:
+    return [df.where(F.pmod(by, F.lit(4)) == part) for part in range(4)]
+
+
 def stream_rollup_5min(spark, folder):
-    base, telemetry = scratch_folder(spark, "rollup"), _filed_telemetry(spark, folder)
-    path = f"{base}/rollup"
-    # The files are read in no set order here, so the whole history counts as on time.
-    patient = replace(FIVE_MINUTES, start_offset=366 * DAY)
-    stream = rollup_stream(stream_telemetry(spark, telemetry), patient, path, f"{base}/checkpoint", drain=True, files_per_day=1)
-    stream.start().awaitTermination()
-    table = tables.read_table(spark, path, rollup_schema(spark, patient))
+    """The rollup kept current while readings, late and future ones among them, are stored batch by batch."""
+    base = scratch_folder(spark, "rollup")
+    source, path = f"{base}/telemetry", f"{base}/rollup"
+    arriving = feed.readings(spark, folder)
+    for batch in _four_batches(arriving, F.xxhash64("turbine_id", "recorded_at")):
+        tables.insert_if_absent(tables.file_by_day(batch), source, READING_KEY, ["seq"], TELEMETRY_COLUMNS)
+        stream = rollup_stream(
+            stream_telemetry(spark, source), FIVE_MINUTES, source, path, f"{base}/checkpoint", drain=True
+        )
+        stream.start().awaitTermination()
+    table = tables.read_table(spark, path, rollup_schema(spark, FIVE_MINUTES))
     return comparable(table.drop(tables.BUCKET_DAY))
 
 
 def stream_dedup(spark, folder):
+    """All columns of the first arrival, from batches in order of arrival whose times are mixed."""
     base = scratch_folder(spark, "dedup")
-    readings = feed.readings_of(feed.stream_events(spark, folder)).select("turbine_id", "recorded_at")
-    writer = dedup_stream(readings).writeStream.format("parquet").option("checkpointLocation", f"{base}/checkpoint")
-    writer.trigger(availableNow=True).start(f"{base}/rows").awaitTermination()
-    return comparable(spark.read.parquet(f"{base}/rows"))
+    arriving = feed.readings(spark, folder).select(*TELEMETRY_COLUMNS, "seq")
+    last = arriving.select(F.max("seq")).scalar()
+    for batch in _four_batches(arriving, F.floor(F.col("seq") * 4 / (last + 1))):
+        batch.write.mode("append").parquet(f"{base}/in")
+        stream = spark.readStream.schema(arriving.schema).parquet(f"{base}/in")
+        dedup_stream(stream, f"{base}/rows", f"{base}/checkpoint", ["seq"], drain=True).start().awaitTermination()
+    return comparable(spark.read.parquet(f"{base}/rows").drop("seq", tables.EVENT_DAY))
 
 
 QUERIES: dict[str, Query] = {
@@ -511,6 +539,8 @@ QUERIES: dict[str, Query] = {
     "rollup_1h": rollup_1h,
     "rollup_refresh": rollup_refresh,
     "rollup_refresh_5min": rollup_refresh_5min,
+    "rollup_refresh_stored": rollup_refresh_stored,
+    "retention_on_disk": retention_on_disk,
     "rollup_coverage": rollup_coverage_report,
     "latest_status": latest_status,
     "latest_status_stored": latest_status_stored,

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
+from datetime import date
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,8 +21,8 @@ from fleetpulse.operators.dedup import first_per_key
 
 EVENT_DAY = "event_date"
 BUCKET_DAY = "bucket_date"
-# Tasks, and so files, a day is written by; raise it for bulk loads.
-FILES_PER_DAY = 8
+# Files of compacted days are told from others by their compression.
+WRITTEN, COMPACTED = "snappy", "zstd"
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -37,35 +39,45 @@ def file_by_day(df: DataFrame, ts: str = "recorded_at", day: str = EVENT_DAY) ->
     return df.withColumn(day, F.to_date(ts))
 
 
-def _days_of(df: DataFrame, day: str) -> list:
-    """The days a batch touches: one value per calendar day, not per row."""
-    return [row[0] for row in df.select(day).distinct().collect()]
+def spread_by_day(df: DataFrame, day: str) -> DataFrame:
+    """Group rows by day for writing.
 
+    Tasks are sized while the plan runs: small days share one, a busy day is
+    split over as many as its bytes need.
+    """
+    return df.hint("rebalance", F.col(day))
 
-def spread_by_day(df: DataFrame, day: str, keys: Sequence[str], files_per_day: int) -> DataFrame:
-    """Group rows by day for writing, each day over several tasks.
 
-    Without it every task writes a file per day; by day alone a busy day would
-    end up in one task.
-    """
-    return df.repartition(F.col(day), F.pmod(F.xxhash64(*keys), F.lit(files_per_day)))
+@dataclass(frozen=True)
+class Reach:
+    """Days, and range of one column, that the rows of a batch lie in."""
 
+    first_day: date | None
+    last_day: date | None
+    low: object = None
+    high: object = None
 
-def _touched(batch: DataFrame, day: str, span: str) -> Column:
-    """Where stored rows with a key of the batch can be: its days, and in each its range of ``span``.
+    @staticmethod
+    def columns(day: str, span: str) -> dict[str, Column]:
+        """Aggregates that make a reach; a caller may take them with its own counts."""
+        known = F.count_if(F.col(span).isNull()) == 0
+        return {
+            "first_day": F.min(day),
+            "last_day": F.max(day),
+            "low": F.when(known, F.min(span)),
+            "high": F.when(known, F.max(span)),
+        }
 
-    One value pair per calendar day reaches the driver, not one per row. A day
-    with a NULL in ``span`` is searched as a whole.
-    """
-    ranges = batch.groupBy(day).agg(
-        F.min(span).alias("low"), F.max(span).alias("high"), F.count_if(F.col(span).isNull()).alias("open")
-    )
-    where = F.lit(False)
-    for row in ranges.collect():
-        same_day = F.col(day) == F.lit(row[day])
-        within = F.lit(True) if row["open"] else F.col(span).between(F.lit(row["low"]), F.lit(row["high"]))
-        where = where | (same_day & within)
-    return where
+    @classmethod
+    def of(cls, batch: DataFrame, day: str, span: str) -> Reach:
+        return cls(**batch.agg(*[c.alias(n) for n, c in cls.columns(day, span).items()]).first().asDict())
+
+    def covers(self, day: str, span: str) -> Column:
+        """Predicate for stored rows: two comparisons for the days and two for the range, for any batch."""
+        where = F.col(day).between(F.lit(self.first_day), F.lit(self.last_day))
+        if self.low is not None:
+            where = where & F.col(span).between(F.lit(self.low), F.lit(self.high))
+        return where
 
 
 def insert_if_absent(
@@ -76,54 +88,83 @@ def insert_if_absent(
     columns: Sequence[str],
     day: str = EVENT_DAY,
     span: str = "recorded_at",
-    files_per_day: int = FILES_PER_DAY,
+    reach: Reach | None = None,
 ) -> None:
     """Append the rows whose key is neither stored nor earlier in the batch.
 
     Equal keys share their day and their ``span`` value. So only the stored days
-    the batch touches are read, of those only the row groups in its range, and
-    of those only the key columns. Writing a batch twice changes nothing, which
-    makes a restarted stream safe.
+    between the first and last of the batch are read, of those only the row
+    groups in its range, and of those only the key columns; the day is one of
+    the keys that are joined. Writing a batch twice changes nothing, which makes
+    a restarted stream safe.
     """
     spark = batch.sparkSession
     wanted = [*columns, day]
+    reach = reach or Reach.of(batch, day, span)
+    if reach.first_day is None:
+        return
     fresh = first_per_key(batch.select(*dict.fromkeys([*wanted, *arrival])), keys, arrival).select(*wanted)
     searched = [f for f in batch.schema if f.name in {*keys, span}] + [T.StructField(day, T.DateType())]
-    stored = read_table(spark, path, T.StructType(searched)).where(_touched(batch, day, span)).select(*keys)
-    new = fresh.join(stored, list(keys), "left_anti").select(*wanted)
-    spread_by_day(new, day, keys, files_per_day).write.mode("append").partitionBy(day).parquet(path)
+    stored = read_table(spark, path, T.StructType(searched)).where(reach.covers(day, span)).select(*keys, day)
+    new = fresh.join(stored, [*keys, day], "left_anti").select(*wanted)
+    spread_by_day(new, day).write.mode("append").option("compression", WRITTEN).partitionBy(day).parquet(path)
 
 
-def replace_days(df: DataFrame, path: str, day: str) -> None:
+def replace_days(df: DataFrame, path: str, day: str, compression: str = WRITTEN) -> None:
     """Write the frame over exactly the days it holds; other days stay.
 
-    Files are staged and moved at commit, so the frame may read the same table.
+    Files are staged, so the frame may read the same table. At commit the
+    folders are swapped one after the other: if the driver is lost just then,
+    days not yet swapped in can be missing, and the call has to be repeated from
+    rows that do not come from this table. Rows added to these days by another
+    writer meanwhile are lost; a table has one writer at a time.
     """
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option("compression", compression)
         .partitionBy(day)
         .parquet(path)
     )
 
 
-def upsert(
-    changes: DataFrame,
-    path: str,
-    keys: Sequence[str],
-    day: str,
-    schema: T.StructType,
-    files_per_day: int = FILES_PER_DAY,
-) -> None:
-    """Replace stored rows by key within the days of the changes, add the others."""
+def drop_days(spark: SparkSession, path: str, day: str, days: Sequence) -> None:
+    """Remove day folders."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    for value in days:
+        folder = hadoop.Path(f"{path.rstrip('/')}/{day}={value}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def stored_days(spark: SparkSession, path: str, day: str, where: Column | None = None) -> list:
+    """Days that have files, in order: a value per calendar day of the table."""
+    try:
+        files = list_files(spark, path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    if day not in files.columns:
+        return []
+    days = files.select(day).distinct()
+    return [row[0] for row in (days if where is None else days.where(where)).orderBy(day).collect()]
+
+
+def upsert(changes: DataFrame, path: str, keys: Sequence[str], day: str, schema: T.StructType) -> None:
+    """Replace stored rows by key within the days of the changes, add the others.
+
+    A key keeps its day. Days without changes are not read beyond their folder
+    names and not written; see ``replace_days`` for what a crash leaves.
+    """
     spark = changes.sparkSession
-    days = _days_of(changes, day)
-    if not days:
+    row = changes.agg(F.min(day), F.max(day)).first()
+    if row[0] is None:
         return
-    stored = read_table(spark, path, schema).where(F.col(day).isin(days))
-    kept = stored.join(changes.select(*keys), list(keys), "left_anti")
+    stored = read_table(spark, path, schema).where(F.col(day).between(F.lit(row[0]), F.lit(row[1])))
+    stored = stored.join(changes.select(day).distinct(), day, "left_semi")
+    kept = stored.join(changes.select(*keys, day), [*keys, day], "left_anti")
     merged = kept.select(*schema.fieldNames()).unionByName(changes.select(*schema.fieldNames()))
-    replace_days(spread_by_day(merged, day, keys, files_per_day), path, day)
+    replace_days(spread_by_day(merged, day), path, day)
 
 
 def expired(day: Column, as_of, keep_days: int) -> Column:
@@ -163,12 +204,8 @@ def storage_report(spark: SparkSession, path: str, day: str = EVENT_DAY, limit:
 
 def drop_expired_days(spark: SparkSession, path: str, as_of, keep_days: int = 90, day: str = EVENT_DAY) -> list:
     """Remove the day folders that are past retention; returns the days removed."""
-    days = list_files(spark, path).select(day).distinct().where(expired(F.col(day), as_of, keep_days))
-    gone = [row[0] for row in days.orderBy(day).collect()]
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    for value in gone:
-        folder = hadoop.Path(f"{path.rstrip('/')}/{day}={value}")
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    gone = stored_days(spark, path, day, expired(F.col(day), as_of, keep_days))
+    drop_days(spark, path, day, gone)
     return gone
 
 
@@ -195,16 +232,21 @@ def compact(
 ) -> None:
     """Rewrite the days that ended ``after_days`` ago, in order and zstd-compressed, to ``target``.
 
-    ``target`` may be the table itself: only the rewritten days are replaced.
+    ``target`` may be the table itself: only the rewritten days are replaced. A
+    day whose files are all compacted is left alone, so each day is rewritten
+    once, and again only after rows were added to it.
     """
-    old = expired(F.col(day), as_of, after_days)
-    size = list_files(spark, path).where(old).agg(F.sum("length")).first()[0] or 0
-    rows = spark.read.schema(schema).parquet(path).where(old)
-    ordered = compacted(rows, max(1, math.ceil(size / file_bytes)), day)
-    (
-        ordered.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "zstd")
-        .partitionBy(day)
-        .parquet(target)
+    done = F.col("path").endswith(f".{COMPACTED}.parquet")
+    sizes = (
+        list_files(spark, path)
+        .where(expired(F.col(day), as_of, after_days))
+        .groupBy(day)
+        .agg(F.count_if(~done).alias("loose"), F.sum("length").alias("bytes"))
+        .where("loose > 0")
+        .collect()
     )
+    if not sizes:
+        return
+    rows = spark.read.schema(schema).parquet(path).where(F.col(day).isin([r[day] for r in sizes]))
+    parts = max(1, math.ceil(sum(r["bytes"] for r in sizes) / file_bytes))
+    replace_days(compacted(rows, parts, day), target, day, COMPACTED)

@@ -20,7 +20,7 @@ from fleetpulse.operators.validate import accepted, check_messages, rejected
 from fleetpulse.schemas import ALERT_COLUMNS, ALERT_SCHEMA, BATCH_STATS_SCHEMA, DLQ_SCHEMA, TELEMETRY_SCHEMA, with_day
 from fleetpulse.sources.logs import number_lines
 from fleetpulse.sources.messages import alerts_from_messages
-from fleetpulse.sources.tables import EVENT_DAY, FILES_PER_DAY, file_by_day, insert_if_absent, read_table
+from fleetpulse.sources.tables import EVENT_DAY, Reach, file_by_day, insert_if_absent, read_table
 
 # Fixed value: a batch is flushed after 2 seconds.
 FLUSH_SECONDS = 2.0
@@ -34,7 +34,6 @@ class Store:
     """The tables below one root folder."""
 
     root: str
-    files_per_day: int = FILES_PER_DAY
 
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
@@ -51,25 +50,18 @@ class Store:
     def batch_stats(self, spark: SparkSession) -> DataFrame:
         return read_table(spark, self.path("batch_stats"), BATCH_STATS_SCHEMA)
 
-    def insert_telemetry(self, readings: DataFrame) -> None:
+    def insert_telemetry(self, readings: DataFrame, reach: Reach | None = None) -> None:
         """Good readings with their message position; the first arrival is stored."""
-        insert_if_absent(
-            file_by_day(readings), self.path("telemetry"), READING_KEY, ARRIVAL,
-            TELEMETRY_SCHEMA.fieldNames(), files_per_day=self.files_per_day,
-        )
+        columns = TELEMETRY_SCHEMA.fieldNames()
+        insert_if_absent(file_by_day(readings), self.path("telemetry"), READING_KEY, ARRIVAL, columns, reach=reach)
 
-    def insert_alerts(self, alerts: DataFrame) -> None:
-        insert_if_absent(
-            file_by_day(alerts), self.path("alerts"), ALERT_KEY, ("alert_ts",),
-            ALERT_COLUMNS, files_per_day=self.files_per_day,
-        )
+    def insert_alerts(self, alerts: DataFrame, reach: Reach | None = None) -> None:
+        insert_if_absent(file_by_day(alerts), self.path("alerts"), ALERT_KEY, ("alert_ts",), ALERT_COLUMNS, reach=reach)
 
-    def insert_dlq(self, dlq: DataFrame) -> None:
+    def insert_dlq(self, dlq: DataFrame, reach: Reach | None = None) -> None:
         """Dead letters with ``event_date``, the day their message arrived."""
-        insert_if_absent(
-            dlq, self.path("dlq"), DLQ_KEY, ("failed_at",),
-            DLQ_SCHEMA.fieldNames(), span="original_offset", files_per_day=self.files_per_day,
-        )
+        columns = DLQ_SCHEMA.fieldNames()
+        insert_if_absent(dlq, self.path("dlq"), DLQ_KEY, ("failed_at",), columns, span="original_offset", reach=reach)
 
     def append_batch_stats(self, stats: DataFrame) -> None:
         stats.write.mode("append").parquet(self.path("batch_stats"))
@@ -111,7 +103,7 @@ class MessageProcessor:
             dlq = rejected(filed, F.col("processed_at"), keep=[EVENT_DAY])
 
             stats = []
-            rows = self._row_counts(checked)
+            rows, reach = self._extent(filed)
             for table, frame, insert in (
                 ("telemetry", readings, self.store.insert_telemetry),
                 ("alerts", alerts, self.store.insert_alerts),
@@ -119,7 +111,7 @@ class MessageProcessor:
             ):
                 began = time.monotonic()
                 if rows[table]:
-                    insert(frame)
+                    insert(frame, reach[table])
                 stats.append((table, rows[table], time.monotonic() - began))
                 for sink in self.extra_sinks.get(table, ()):
                     sink(frame)
@@ -128,16 +120,34 @@ class MessageProcessor:
         finally:
             checked.unpersist()
 
-    def _row_counts(self, checked: DataFrame) -> dict[str, int]:
-        """Rows headed for every table, from one pass over the checked batch."""
+    def _extent(self, filed: DataFrame) -> tuple[dict[str, int], dict[str, Reach]]:
+        """Rows headed for every table, and the days and ranges they reach, from one pass over the checked batch."""
         good = F.col("error_type").isNull()
         hits = reduce(add, [F.coalesce(rule.predicate(), F.lit(False)).cast("int") for rule in self.rules])
-        return checked.agg(
+        sides = filed.withColumns(
+            {
+                "good_day": F.when(good, F.to_date("recorded_at")),
+                "good_at": F.when(good, F.col("recorded_at")),
+                "bad_day": F.when(~good, F.col(EVENT_DAY)),
+            }
+        )
+        row = sides.agg(
             F.count(F.lit(1)).alias("messages"),
             F.count_if(good).alias("telemetry"),
             F.coalesce(F.sum(F.when(good, hits)), F.lit(0)).alias("alerts"),
             F.count_if(~good).alias("dlq"),
-        ).first().asDict()
+            F.min("good_day"),
+            F.max("good_day"),
+            F.min("good_at"),
+            F.max("good_at"),
+            F.min("bad_day"),
+            F.max("bad_day"),
+            F.when(F.count_if(~good & F.col("offset").isNull()) == 0, F.min(F.when(~good, F.col("offset")))),
+            F.when(F.count_if(~good & F.col("offset").isNull()) == 0, F.max(F.when(~good, F.col("offset")))),
+        ).first()
+        rows = dict(zip(("messages", "telemetry", "alerts", "dlq"), row[:4]))
+        readings = Reach(*row[4:8])
+        return rows, {"telemetry": readings, "alerts": readings, "dlq": Reach(*row[8:12])}
 
     def _record(self, spark: SparkSession, batch_id: int, stats: list[tuple[str, int, float]]) -> None:
         now = datetime.now(timezone.utc)

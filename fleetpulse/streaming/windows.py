@@ -1,15 +1,21 @@
-"""Stateful streams: rollups kept current, and deduplication below a watermark."""
+"""Streams that keep derived tables current: rollups and deduplicated readings.
+
+Both work batch by batch against what is stored and keep no state and no
+watermark, so a reading counts however late it comes or whatever its date.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter
 
 from fleetpulse.operators.dedup import READING_KEY
-from fleetpulse.operators.rollups import Rollup, build_rollup
+from fleetpulse.operators.rollups import Rollup
 from fleetpulse.schemas import TELEMETRY_SCHEMA, with_day
-from fleetpulse.sources.rollup_tables import ROLLUP_KEY, rollup_schema
-from fleetpulse.sources.tables import BUCKET_DAY, FILES_PER_DAY, file_by_day, upsert
+from fleetpulse.sources.rollup_tables import refresh_touched
+from fleetpulse.sources.tables import file_by_day, insert_if_absent, read_table
 
 
 def stream_telemetry(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
@@ -20,47 +26,45 @@ def stream_telemetry(spark: SparkSession, path: str, max_files: int | None = Non
     return reader.parquet(path)
 
 
-def rollup_updates(telemetry: DataFrame, rollup: Rollup) -> DataFrame:
-    """Changed buckets per trigger. A late row reopens its bucket only while the
-    refresh range still covers it; state older than that is dropped."""
-    late = telemetry.withWatermark("recorded_at", f"{rollup.start_offset} seconds")
-    return build_rollup(late, rollup)
+def _writer(stream: DataFrame, write, name: str, checkpoint: str, drain: bool, seconds: float) -> DataStreamWriter:
+    writer = stream.writeStream.foreachBatch(write).queryName(name).option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True) if drain else writer.trigger(processingTime=f"{seconds} seconds")
 
 
 def rollup_stream(
     telemetry: DataFrame,
     rollup: Rollup,
+    source: str,
     path: str,
     checkpoint: str,
     drain: bool = False,
     every_seconds: int | None = None,
-    files_per_day: int = FILES_PER_DAY,
 ) -> DataStreamWriter:
-    """Keep a stored rollup current, bucket by changed bucket."""
-    schema = rollup_schema(telemetry.sparkSession, rollup)
+    """Keep the rollup at ``path`` current with the telemetry table at ``source``.
 
-    def write(changes: DataFrame, batch_id: int) -> None:
-        filed = file_by_day(changes, "bucket", BUCKET_DAY).persist()
-        try:
-            upsert(filed, path, ROLLUP_KEY, BUCKET_DAY, schema, files_per_day)
-        finally:
-            filed.unpersist()
-
-    writer = (
-        rollup_updates(telemetry, rollup)
-        .writeStream.outputMode("update")
-        .foreachBatch(write)
-        .queryName(f"rollup-{rollup.name}")
-        .option("checkpointLocation", checkpoint)
-    )
-    if drain:
-        return writer.trigger(availableNow=True)
-    return writer.trigger(processingTime=f"{every_seconds or rollup.seconds} seconds")
-
-
-def dedup_stream(readings: DataFrame, horizon: str = "30 minutes") -> DataFrame:
-    """Drop repeated readings that come within ``horizon`` of event time.
-
-    State is bounded by the horizon. Later repeats are caught by the insert.
+    ``telemetry`` is the stream of that table's new rows. Each batch recomputes
+    the buckets its rows fall into from the table, as a refresh does; a batch
+    that runs again gives the same rows.
     """
-    return readings.withWatermark("recorded_at", horizon).dropDuplicatesWithinWatermark(list(READING_KEY))
+
+    def write(changes: DataFrame, batch_id: int) -> None:
+        stored = read_table(changes.sparkSession, source, with_day(TELEMETRY_SCHEMA))
+        refresh_touched(stored, changes, rollup, path)
+
+    return _writer(telemetry, write, f"rollup-{rollup.name}", checkpoint, drain, every_seconds or rollup.seconds)
+
+
+def dedup_stream(
+    readings: DataFrame,
+    path: str,
+    checkpoint: str,
+    arrival: Sequence[str],
+    drain: bool = False,
+    every_seconds: float = 2.0,
+) -> DataStreamWriter:
+    """Append each reading that is new to the table at ``path``; the first arrival stays, however far apart copies come."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        insert_if_absent(file_by_day(batch), path, READING_KEY, arrival, batch.columns)
+
+    return _writer(readings, write, "dedup", checkpoint, drain, every_seconds)

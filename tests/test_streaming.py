@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -41,7 +40,7 @@ def feed(spark, sf_dir, tmp_path_factory):
 
 
 def processor(root, **options):
-    return MessageProcessor(Store(str(root), files_per_day=1), clock=lambda: F.col("timestamp"), **options)
+    return MessageProcessor(Store(str(root)), clock=lambda: F.col("timestamp"), **options)
 
 
 def run(messages, processed, checkpoint):
@@ -112,7 +111,7 @@ def test_alert_topic_is_written_by_its_own_stream(spark, feed, tmp_path):
 
     processed = processor(tmp_path / "tables", extra_sinks={"alerts": [publish]})
     run(stream_message_files(spark, path, max_files=2), processed, tmp_path / "checkpoint")
-    second = Store(str(tmp_path / "second"), files_per_day=1)
+    second = Store(str(tmp_path / "second"))
     for checkpoint in ("one", "two"):
         writer = alert_writer_stream(stream_message_files(spark, str(topic)), second, str(tmp_path / checkpoint), drain=True)
         writer.start().awaitTermination()
@@ -134,34 +133,43 @@ def test_log_files_as_a_stream(spark, tmp_path):
 
 
 def test_rollup_stream_follows_the_table(spark, feed, tmp_path):
-    path, messages = feed
+    """Default offsets, several batches, late readings and one dated far ahead: no reading is left out."""
+    _, messages = feed
     processed = processor(tmp_path / "tables")
-    telemetry_path = processed.store.path("telemetry")
-    rollup = replace(FIVE_MINUTES, start_offset=40 * 86400)
-    target = str(tmp_path / "rollup")
-    for part in range(2):
-        run(stream_message_files(spark, path, max_files=2).where(f"offset >= {part * 500} OR {part} = 0"), processed, tmp_path / "checkpoint")
-        stream = rollup_stream(stream_telemetry(spark, telemetry_path, max_files=8), rollup, target, str(tmp_path / "r"), drain=True)
+    source, target = processed.store.path("telemetry"), str(tmp_path / "rollup")
+    ahead = F.replace("value", F.lit('"recorded_at":"2024-01-0'), F.lit('"recorded_at":"2031-01-0'))
+    batches = [
+        messages.where("offset >= 700").withColumn("value", F.when(F.col("offset") % 97 == 0, ahead).otherwise(F.col("value"))),
+        messages.where("offset >= 300 AND offset < 700"),
+        messages.where("offset < 300"),
+    ]
+    for number, batch in enumerate(batches):
+        processed(batch, number)
+        stream = rollup_stream(stream_telemetry(spark, source, max_files=8), FIVE_MINUTES, source, target, str(tmp_path / "r"), drain=True)
         stream.start().awaitTermination()
-    stored = tables.read_table(spark, target, rollup_schema(spark, rollup)).drop("bucket_date")
-    built = build_rollup(processed.store.telemetry(spark), rollup)
+    stored = tables.read_table(spark, target, rollup_schema(spark, FIVE_MINUTES)).drop("bucket_date")
+    built = build_rollup(processed.store.telemetry(spark), FIVE_MINUTES)
     columns = ["bucket", "turbine_id", "sample_count", "max_power_kw", "max_temp_c"]
     assert rows_of(stored.select(*columns)) == rows_of(built.select(*columns))
     assert stored.agg(F.sum("sample_count")).first()[0] == processed.store.telemetry(spark).count()
 
 
 def test_dedup_stream_across_batches(spark, tmp_path):
+    """Copies and late first readings over five batches: each reading once, as it first arrived."""
     source = str(tmp_path / "in")
-    rows = spark.range(20).selectExpr(
-        "'turbine-01' AS turbine_id", "timestamp_seconds(1718461920 + id * 60) AS recorded_at", "id AS seq"
-    )
-    for copy in range(2):
-        rows.coalesce(1).withColumn("copy", F.lit(copy)).write.mode("append").parquet(source)
-    stream = spark.readStream.schema(spark.read.parquet(source).schema).option("maxFilesPerTrigger", 1).parquet(source)
-    writer = dedup_stream(stream).writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c"))
-    writer.trigger(availableNow=True).start(str(tmp_path / "out")).awaitTermination()
-    kept = spark.read.parquet(str(tmp_path / "out"))
-    assert kept.count() == 20 and kept.select("recorded_at").distinct().count() == 20
+    for batch, (first, last) in enumerate([(60, 80), (0, 20), (60, 80), (10, 40), (0, 80)]):
+        rows = spark.range(first, last).selectExpr(
+            "'turbine-01' AS turbine_id",
+            "timestamp_seconds(1718461920 + id * 6000) AS recorded_at",
+            "id AS seq",
+            f"{batch} AS batch",
+        )
+        rows.write.mode("append").parquet(source)
+        stream = spark.readStream.schema(rows.schema).parquet(source)
+        dedup_stream(stream, str(tmp_path / "out"), str(tmp_path / "c"), ["seq"], drain=True).start().awaitTermination()
+    kept = {r["seq"]: r["batch"] for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    expected = {i: 0 if i >= 60 else 1 if i < 20 else 3 if i < 40 else 4 for i in range(80)}
+    assert kept == expected and spark.read.parquet(str(tmp_path / "out")).count() == 80
 
 
 def test_replay_after_a_fix(spark, messages):
@@ -205,7 +213,18 @@ def test_insert_reads_only_the_days_and_ranges_of_the_batch(spark, feed, tmp_pat
     processed(messages, 0)
     store = processed.store
     day = messages.where("timestamp >= '2024-01-05' AND timestamp < '2024-01-06'")
-    where = tables._touched(tables.file_by_day(day.select(F.col("timestamp").alias("recorded_at"))), "event_date", "recorded_at")
-    plan = store.telemetry(spark).where(where)._jdf.queryExecution().executedPlan().toString()
+    batch = tables.file_by_day(day.select(F.col("timestamp").alias("recorded_at")))
+    reach = tables.Reach.of(batch, "event_date", "recorded_at")
+    plan = store.telemetry(spark).where(reach.covers("event_date", "recorded_at"))._jdf.queryExecution().executedPlan().toString()
     assert "event_date" in plan.split("PartitionFilters:")[1].split("PushedFilters")[0]
     assert "recorded_at" in plan.split("PushedFilters:")[1].split("ReadSchema")[0]
+
+
+def test_insert_over_thousands_of_days(spark, tmp_path):
+    """A long backlog is planned as one range; a second run adds nothing."""
+    rows = spark.range(0, 1500, 1, 8).selectExpr(
+        "'turbine-01' AS turbine_id", "timestamp_seconds(id * 86400 * 3 + 5) AS recorded_at", "id AS seq"
+    )
+    for _ in range(2):
+        tables.insert_if_absent(tables.file_by_day(rows), str(tmp_path), ["turbine_id", "recorded_at"], ["seq"], rows.columns)
+        assert spark.read.parquet(str(tmp_path)).count() == 1500
