@@ -114,7 +114,8 @@ class CodeBlock:
     """
 
     def __init__(self, texts: list[str | None]) -> None:
-        joined = " " + " ".join(t or "" for t in texts) + " "
+        # Spaces enough for an n-gram to begin at the last character.
+        joined = " " + " ".join(t or "" for t in texts) + " " * 8
         self.codes = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
         lengths = np.array([len(t or "") + 1 for t in texts], np.int64)
         self.first = 1 + np.concatenate(([0], np.cumsum(lengths)))

@@ -11,41 +11,28 @@ from fleetpulse.llm.common import stored
 def components(links: DataFrame) -> DataFrame:
     """``node, component`` for every node of ``links(a, b)``; a component is its smallest node.
 
-    Each round takes the smallest label among a node's neighbours, then follows
-    labels to their own label, which halves long chains. Links inside one label
-    are dropped, so rounds shrink. Labels and links are written tables; only
-    counts reach the driver. Node ids must not be null.
+    Labels begin as the nodes. In each round every label with a smaller label
+    beside it is hooked to the smallest one, and labels move on by two hooks, so
+    that chains shrink by a constant share. Links are then drawn between the new
+    labels; those within one label go, so rounds shrink. Hooks and links are
+    written tables; nothing but emptiness reaches the driver. Node ids must not
+    be null.
     """
     both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    links = stored(both.where("a <> b").distinct(), "links")
-    labels = stored(links.select(F.col("a").alias("node")).distinct().withColumn("component", F.col("node")), "labels")
+    between = stored(both.where("a <> b"), "links")
+    labels = between.select(F.col("a").alias("node")).distinct().withColumn("component", F.col("node"))
     while True:
-        # Links between labels; each label takes the smallest label next to it.
-        between = (
-            links.join(labels.select(F.col("node").alias("a"), F.col("component").alias("la")), "a")
-            .join(labels.select(F.col("node").alias("b"), F.col("component").alias("lb")), "b")
-            .where("la <> lb")
-            .select(F.col("la").alias("a"), F.col("lb").alias("b"))
-            .distinct()
+        hooks = between.groupBy("a").agg(F.min("b").alias("to")).where("to < a")
+        onward = hooks.select(F.col("a").alias("to"), F.col("to").alias("next"))
+        moves = hooks.join(onward, "to", "left").select(F.col("a").alias("old"), F.coalesce("next", "to").alias("new"))
+        moves = stored(moves, "moves")
+        if moves.isEmpty():
+            return stored(labels, "labels")
+        labels = labels.join(moves.withColumnRenamed("old", "component"), "component", "left").select(
+            "node", F.coalesce("new", "component").alias("component")
         )
-        between = stored(between, "links")
-        lower = between.where("b < a").groupBy("a").agg(F.min("b").alias("to"))
-        lower = stored(lower, "hooks")
-        if lower.isEmpty():
-            return labels
-        # Follow hooks to their ends: each turn doubles the distance.
-        while True:
-            onward = lower.select(F.col("a").alias("to"), F.col("to").alias("__next"))
-            further = lower.join(onward, "to", "left").select(
-                "a", F.coalesce("__next", "to").alias("to"), F.col("__next").isNotNull().alias("moved")
-            )
-            further = stored(further, "hooks")
-            lower = further.select("a", "to")
-            if further.where("moved").isEmpty():
-                break
-        hooks = lower.select(F.col("a").alias("component"), "to")
-        labels = stored(
-            labels.join(hooks, "component", "left").select("node", F.coalesce("to", "component").alias("component")),
-            "labels",
-        )
-        links = between
+        for side in ("a", "b"):
+            between = between.join(moves.withColumnRenamed("old", side), side, "left").withColumn(
+                side, F.coalesce("new", side)
+            ).drop("new")
+        between = stored(between.where("a <> b"), "links")

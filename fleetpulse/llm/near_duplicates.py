@@ -190,10 +190,12 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     named = docs.select(F.col("doc_id").alias("id"), F.col("text").cast("binary").alias("text"))
     sketches = stored(_sketched(named, size), "sketches")
     known = sketches.where("id is not null and digest is not null")
-    classes = stored(known.groupBy("digest").agg(F.min("id").alias("rep")), "classes")
-    members = stored(sketches.select("id", "n_shingles", "digest").join(classes, "digest", "left").drop("digest"), "members")
-    reps = known.join(classes.withColumnRenamed("rep", "id"), ["digest", "id"])
-    reps = stored(reps.dropDuplicates(["digest", "id"]).select("id", "n_shingles", "bands", "signature"), "representatives")
+    # Rows of one digest have equal sets, so any of them gives the sketch of the class.
+    sketch = [F.first(c).alias(c) for c in ("n_shingles", "bands", "signature")]
+    classes = stored(known.groupBy("digest").agg(F.min("id").alias("rep"), *sketch), "classes")
+    members = sketches.select("id", "n_shingles", "digest").join(classes.select("digest", "rep"), "digest", "left")
+    members = stored(members.drop("digest"), "members")
+    reps = classes.select(F.col("rep").alias("id"), "n_shingles", "bands", "signature")
 
     entries = reps.select("id", F.explode("bands").alias("bucket"))
     shared = entries.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
@@ -202,7 +204,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     # An id with several texts links their classes.
     lowest = members.groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("high")).where("a <> high")
     links = stored(members.join(lowest, "id").where("rep <> a").select("a", F.col("rep").alias("b")), "links")
-    labels, turn = components(links), 0
+    labels, turn = components(links) if not links.isEmpty() else links.toDF("node", "component"), 0
     while True:
         grouped = entries.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn(
             "component", F.coalesce("component", "id")

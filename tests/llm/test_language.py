@@ -53,6 +53,7 @@ def test_learns_labels_and_switches():
     spans = model.spans(mixed)
     assert [s[2] for s in spans] == ["aa", "bb"] and abs(spans[0][1] - 15) <= 1
     assert model.predict([None, "", "12 !?", "ka"])[0][:3] == ["und"] * 3
+    assert model.predict(["ka a", "b"])[0] == [model.predict(["ka a"])[0][0], model.predict(["b"])[0][0]]
 
 
 def test_odd_rows(odd, documents):
