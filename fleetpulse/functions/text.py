@@ -34,6 +34,9 @@ def stable_id(*parts: Column) -> Column:
 
 
 def message_id(messages: DataFrame, *prefix: Column) -> Column:
-    """Id of a message from its position, and from its ``origin`` where it has one."""
-    position = [c for c in ("topic", "partition", "offset", "origin") if c in messages.columns]
+    """Id of a message from its position, or from its ``origin`` alone where it has one.
+
+    An origin names one message; the offset beside it is only an order of arrival.
+    """
+    position = ("topic", "origin") if "origin" in messages.columns else ("topic", "partition", "offset")
     return stable_id(*prefix, *[F.col(c) for c in position])

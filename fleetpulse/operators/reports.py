@@ -7,13 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from fleetpulse.functions.text import round_exact
-from fleetpulse.functions.times import after
+from fleetpulse.functions.times import after, seconds_before, time_range
 
 MINUTE, HOUR, DAY = 60, 3600, 86400
 LARGEST_ALERT_PAGE = 500
-# Spark cuts ranked groups down before the shuffle up to this rank.
-_GROUP_LIMIT = 1000
-_SPREAD = 64
 
 
 def alerts_by_rule(alerts: DataFrame) -> DataFrame:
@@ -40,7 +37,8 @@ def fleet_snapshot(
 
     Averages are NULL only where no reading is in the window.
     """
-    fleet = telemetry.where(after("recorded_at", as_of, window)).agg(
+    recent = time_range(telemetry, start=seconds_before(as_of, window))
+    fleet = recent.where(after("recorded_at", as_of, window)).agg(
         F.countDistinct("turbine_id").alias("turbine_count"),
         round_exact(F.avg("power_output_kw"), 1).alias("avg_power_kw"),
         round_exact(F.avg("wind_speed_ms"), 2).alias("avg_wind_ms"),
@@ -123,18 +121,15 @@ def recent_dlq(dlq: DataFrame, limit: int = 20) -> DataFrame:
     )
 
 
-def tail_messages(messages: DataFrame, n: int) -> DataFrame:
+def tail_messages(messages: DataFrame, n: int, spread: int = 64) -> DataFrame:
     """The last ``n`` messages of every topic partition.
 
-    Spark cuts each input partition to ``n`` rows per group before the shuffle
-    as long as ``n`` is small; beyond that a first ranking by a spread of the
-    offsets keeps a large topic partition out of a single task.
+    A first ranking in ``spread`` parts of each topic partition keeps a large one
+    out of a single task; at most ``spread * n`` rows of it meet in the second.
     """
     newest = [F.desc("offset")]
-    if n > _GROUP_LIMIT:
-        spread = Window.partitionBy("topic", "partition", F.pmod(F.hash("offset"), F.lit(_SPREAD)))
-        messages = messages.withColumn("_n", F.row_number().over(spread.orderBy(*newest))).where(F.col("_n") <= n)
-        messages = messages.drop("_n")
+    parts = Window.partitionBy("topic", "partition", F.pmod(F.hash("offset"), F.lit(spread)))
+    messages = messages.withColumn("_n", F.row_number().over(parts.orderBy(*newest))).where(F.col("_n") <= n).drop("_n")
     place = F.row_number().over(Window.partitionBy("topic", "partition").orderBy(*newest))
     return messages.withColumn("_n", place).where(F.col("_n") <= n).drop("_n")
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,15 +49,14 @@ def latest_readings(readings: DataFrame, columns: Sequence[str], arrival: str |
     Frames that may hold several readings of one instant name the numeric
     ``arrival`` column; the first arrival of the newest instant is taken.
     """
+    order = F.col("recorded_at")
     if arrival is not None:
-        newest = F.max_by(F.struct(*columns), F.struct("recorded_at", -F.col(arrival)))
-        grouped = readings.groupBy("turbine_id").agg(
-            F.max("recorded_at").alias("recorded_at"), newest.alias("_newest")
-        )
-        return grouped.select("turbine_id", "recorded_at", "_newest.*")
+        # Instant and arrival in one number of fixed width, which a hash aggregate can hold.
+        micros = F.unix_micros("recorded_at").cast("decimal(18,0)")
+        order = micros * F.lit(Decimal(10**19)) - F.col(arrival).cast("decimal(19,0)")
     names = F.array(*[F.lit(s) for s in STATUSES])
     newest = [
-        F.max_by(F.array_position(names, F.col(c)) if c == "status" else F.col(c), "recorded_at").alias(c)
+        F.max_by(F.array_position(names, F.col(c)) if c == "status" else F.col(c), order).alias(c)
         for c in columns
     ]
     grouped = readings.groupBy("turbine_id").agg(F.max("recorded_at").alias("recorded_at"), *newest)

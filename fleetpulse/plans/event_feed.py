@@ -18,6 +18,8 @@ from fleetpulse.sources.messages import JSON_OPTIONS
 
 EVENTS_LAYOUT = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 
+FIXED_PAYLOADS = ('{"turbine_id": "turbine-01", ', "[1, 2]")
+
 # How a reading follows from an event.
 READING_FIELDS = {
     "event_id": "concat('e-', cast(event_id AS string))",
@@ -82,11 +84,11 @@ def messages_of(readings: DataFrame) -> DataFrame:
     kind = F.col("seq") % 20
     value = (
         F.when(kind == 3, legacy)
-        .when(kind == 7, F.lit('{"turbine_id": "turbine-01", '))
+        .when(kind == 7, F.lit(FIXED_PAYLOADS[0]))
         .when(kind == 9, F.concat(payload(), F.lit(" trailing")))
         .when(kind == 11, payload(wind_speed_ms=F.lit(101.0)))
         .when(kind == 13, payload(temperature_c=None))
-        .when(kind == 15, F.lit("[1, 2]"))
+        .when(kind == 15, F.lit(FIXED_PAYLOADS[1]))
         .when(kind == 17, payload(status=F.lit("BROKEN")))
         .when(kind == 19, F.replace(payload(), F.lit('"wind_speed_ms":'), F.lit('"wind_speed_ms":null,"was":')))
         .otherwise(payload())

@@ -108,9 +108,16 @@ def normalised_telemetry(spark, folder):
     return comparable(accepted(checked(spark, folder)))
 
 
+def with_payload(rows: DataFrame, column: str = "raw_payload") -> DataFrame:
+    """The raw text by what can be told of it in SQL: itself where it is fixed, else the machine it names."""
+    raw = F.col(column)
+    named = F.regexp_extract(raw, '"(?:turbine_id|Turbine_ID)":"([^"]+)"', 1)
+    return rows.withColumn("payload", F.when(raw.isin(*feed.FIXED_PAYLOADS), raw).otherwise(named)).drop(column)
+
+
 def dlq_rows(spark, folder):
     rows = dlq(spark, folder)
-    return comparable(rows.drop("raw_payload"))
+    return comparable(with_payload(rows))
 
 
 def decode_error_counts(spark, folder):
@@ -169,7 +176,7 @@ def alert_round_trip(spark, folder):
 
 
 def dlq_round_trip(spark, folder):
-    return comparable(dlq_from_messages(dlq_messages(dlq(spark, folder))).drop("raw_payload"))
+    return comparable(with_payload(dlq_from_messages(dlq_messages(dlq(spark, folder)))))
 
 
 def alerts_csv(spark, folder):
@@ -352,12 +359,12 @@ def recent_dlq(spark, folder):
 
 
 def tail_messages(spark, folder):
-    return comparable(reports.tail_messages(feed.messages(spark, folder), 5).drop("value"))
+    return comparable(with_payload(reports.tail_messages(feed.messages(spark, folder), 5), "value"))
 
 
 def tail_messages_long(spark, folder):
-    """More messages per partition than Spark's group limit covers."""
-    return comparable(reports.tail_messages(feed.messages(spark, folder), 1500).drop("value"))
+    """A long tail of every partition."""
+    return comparable(with_payload(reports.tail_messages(feed.messages(spark, folder), 1500), "value"))
 
 
 # --- replay --------------------------------------------------------------------
@@ -373,7 +380,7 @@ def dlq_replay_listing(spark, folder):
 
 def dlq_replay_outcome(spark, folder):
     outcome = letters.replay_outcome(letters.replay(dlq(spark, folder)), F.col("failed_at"))
-    return comparable(outcome.drop("raw_payload"))
+    return comparable(with_payload(outcome))
 
 
 # --- rates ---------------------------------------------------------------------
@@ -413,6 +420,21 @@ def critical_alert_rate(spark, folder):
     return rates.alert_rate(alerts(spark, folder), latest_event(spark, folder), DAY, severity="CRITICAL")
 
 
+def warning_alert_rate(spark, folder):
+    return rates.alert_rate(alerts(spark, folder), latest_event(spark, folder), DAY, severity="WARNING")
+
+
+def consumption_rate(spark, folder):
+    """Rows read per second over a day of batches, one batch per 100 events."""
+    batches = (
+        feed.events(spark, folder)
+        .groupBy(F.floor(F.col("event_id") / 100).alias("batch_id"))
+        .agg(F.count(F.lit(1)).alias("row_count"), F.max(F.col("ts").cast("timestamp")).alias("finished_at"))
+        .withColumns({"query_name": F.lit("process"), "table_name": F.lit("messages")})
+    )
+    return rates.consumption_rate(batches, latest_event(spark, folder), DAY)
+
+
 def alert_rate_series(spark, folder):
     return comparable(rates.alert_rate_series(alerts(spark, folder), step=3600, window=6 * 3600))
 
@@ -467,7 +489,7 @@ def stream_telemetry_table(spark, folder):
 
 
 def stream_dlq_table(spark, folder):
-    return comparable(_processed(spark, folder).dlq(spark).drop(tables.EVENT_DAY, "raw_payload"))
+    return comparable(_processed(spark, folder).dlq(spark).transform(with_payload).drop(tables.EVENT_DAY))
 
 
 def batch_stats(spark, folder):
@@ -570,6 +592,8 @@ QUERIES: dict[str, Query] = {
     "event_rate_by_turbine_series": event_rate_by_turbine_series,
     "alert_rate_by_rule": alert_rate_by_rule,
     "critical_alert_rate": critical_alert_rate,
+    "warning_alert_rate": warning_alert_rate,
+    "consumption_rate": consumption_rate,
     "alert_rate_series": alert_rate_series,
     "sensor_alert_rate": sensor_alert_rate,
     "dlq_rate_by_type": dlq_rate_by_type,

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fleetpulse.functions.text import strip
 
 
+# A frequent line of a file is counted in so many parts.
+SPREAD = 16
+
+
 def _as_lines(df: DataFrame, topic: str, received_at: Column | None) -> DataFrame:
-    stamp = F.current_timestamp() if received_at is None else received_at
+    stamp = F.col("_metadata.file_modification_time") if received_at is None else received_at
     return df.select(
         F.lit(topic).alias("topic"),
         F.lit(None).cast("int").alias("partition"),
@@ -21,16 +25,34 @@ def _as_lines(df: DataFrame, topic: str, received_at: Column | None) -> DataFram
 
 
 def number_lines(lines: DataFrame) -> DataFrame:
-    """Give every line of a batch a position of its own.
+    """Give every line of a batch an ``origin`` of its own, and its order of arrival as ``offset``.
 
-    Positions are unique per run and equal when the same files are read again in
-    the same split. ``origin`` keeps lines of different runs apart.
+    The origin is the file, a hash of the line and its number among the equal
+    lines of that file. So it is the same however the file is split, whenever
+    and wherever it is read: ids that follow from it make a second run harmless.
+    Equal lines are counted, not ranked; they share the offset of the first.
     """
-    return lines.withColumn("offset", F.monotonically_increasing_id())
+    keys = [c for c in lines.columns if c != "offset"]
+    counted = (
+        lines.withColumn("offset", F.monotonically_increasing_id())
+        .groupBy(*keys, F.pmod("offset", F.lit(SPREAD)).alias("_part"))
+        .agg(F.count(F.lit(1)).alias("_n"), F.min("offset").alias("offset"))
+    )
+    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_n").over(earlier), F.lit(0))
+    numbered = counted.withColumn("_before", before).withColumn(
+        "_number", F.explode(F.sequence(F.col("_before"), F.col("_before") + F.col("_n") - 1))
+    )
+    origin = F.concat_ws("#", "origin", F.md5("value"), "_number")
+    return numbered.withColumn("origin", origin).select(*lines.columns)
 
 
 def read_log(spark: SparkSession, path: str, topic: str = "raw", received_at: Column | None = None) -> DataFrame:
-    """All lines of the files as messages; blank lines have an empty ``value``."""
+    """All lines of the files as messages; blank lines have an empty ``value``.
+
+    A line counts as received when its file was last written, so that reading it
+    again files its dead letter under the same day.
+    """
     return number_lines(_as_lines(spark.read.text(path), topic, received_at))
 
 
