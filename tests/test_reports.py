@@ -66,7 +66,7 @@ def test_window_ends_are_strict(readings):
     (row,) = reports.fleet_snapshot(frame, alerts, NOW).collect()
     # An average of zero is zero, not missing; an alert exactly an hour old is out.
     assert row.asDict() == {
-        "turbine_count": 1, "avg_power_kw": 0.0, "avg_wind_ms": 9.5,
+        "turbine_count": 1, "avg_power_kw": 0.0, "avg_wind_ms": 7.25,
         "alerts_last_hour": 0, "critical_alerts_last_hour": 0,
     }
     (empty,) = reports.fleet_snapshot(frame.where("false"), alerts, NOW).collect()

@@ -8,45 +8,56 @@ from pyspark.sql import functions as F
 
 from fleetpulse.operators.rules import RULES, Rule, detect
 from fleetpulse.plans import event_feed
-from fleetpulse.sources.extracts import read_alerts_csv, read_telemetry_csv
-
-COOLING = ["bearing_temp_c", "gearbox_sump_temp_c", "gear_temp_c"]
-CASES = [
-    ({}, set()),
-    ({"temperature_c": 84.9}, set()),
-    ({"temperature_c": 85.0}, set()),
-    ({"temperature_c": 85.1}, {"nacelle_temp_warning"}),
-    ({"temperature_c": 91.0}, {"nacelle_temp_warning"}),
-    ({"temperature_c": 97.0}, {"nacelle_temp_warning", "nacelle_temp_critical"}),
-    ({"vibration_mms": 7.5}, {"vibration_warning"}),
-    ({"vibration_mms": 10.2}, {"vibration_warning", "vibration_critical"}),
-    ({"wind_speed_ms": 10.0, "rotor_rpm": 0.0, "power_output_kw": 0.0, "status": "fault"}, {"unplanned_downtime"}),
-    ({"wind_speed_ms": 2.5, "rotor_rpm": 0.0, "power_output_kw": 0.0}, set()),
-    ({"wind_speed_ms": 8.0, "rotor_rpm": 11.0, "power_output_kw": 30.0}, {"low_power_output"}),
-    ({"wind_speed_ms": 12.0, "rotor_rpm": 14.0, "power_output_kw": 2.0}, {"low_power_output", "power_dropout"}),
-    ({"rotor_rpm": 18.0}, set()),
-    ({"rotor_rpm": 19.5}, {"rotor_overspeed"}),
-    ({"blade_pitch_deg": 89.0, "wind_speed_ms": 10.0}, {"blade_pitch_extreme"}),
-    ({"blade_pitch_deg": 89.0, "wind_speed_ms": 25.0}, set()),
-    ({"bearing_temp_c": 63.5}, {"bearing_temp_warning"}),
-    ({"bearing_temp_c": 72.0}, {"bearing_temp_warning", "bearing_temp_critical"}),
-    ({"gearbox_sump_temp_c": 98.0}, {"gearbox_sump_temp_warning"}),
-    ({"gearbox_sump_temp_c": 122.0}, {"gearbox_sump_temp_warning", "gearbox_sump_temp_critical"}),
-    ({"gear_temp_c": 260.0}, {"gear_temp_warning"}),
-    ({"gear_temp_c": 325.0}, {"gear_temp_warning", "gear_temp_critical"}),
-    ({"status": "offline", "temperature_c": 90.0}, {"nacelle_temp_warning"}),
-    (
-        {"temperature_c": 97.0, "vibration_mms": 10.5, "wind_speed_ms": 12.0, "rotor_rpm": 14.0, "power_output_kw": 2.0},
-        {
-            "nacelle_temp_warning", "nacelle_temp_critical", "vibration_warning", "vibration_critical",
-            "low_power_output", "power_dropout",
-        },
-    ),
-    (
-        {"bearing_temp_c": 73.0, "gearbox_sump_temp_c": 125.0, "gear_temp_c": 330.0},
-        {f"{part}_{level}" for part in ("bearing_temp", "gearbox_sump_temp", "gear_temp") for level in ("warning", "critical")},
-    ),
-]
+from fleetpulse.sources.extracts import read_alerts_csv, read_telemetry_csv, write_csv
+
+# What the rules are to do, apart from how they are written: limits of single sensors, and what goes with them.
+LIMITS = {
+    "temperature_c": {85: "nacelle_temp_warning", 95: "nacelle_temp_critical"},
+    "vibration_mms": {6: "vibration_warning", 9: "vibration_critical"},
+    "rotor_rpm": {18: "rotor_overspeed"},
+    "blade_pitch_deg": {88: "blade_pitch_extreme"},
+    "bearing_temp_c": {60: "bearing_temp_warning", 70: "bearing_temp_critical"},
+    "gearbox_sump_temp_c": {95: "gearbox_sump_temp_warning", 120: "gearbox_sump_temp_critical"},
+    "gear_temp_c": {250: "gear_temp_warning", 320: "gear_temp_critical"},
+}
+POWER = ("wind_speed_ms", "rotor_rpm", "power_output_kw")
+LOW, DROPOUT, DOWN = "low_power_output", "power_dropout", "unplanned_downtime"
+# Each border of the power rules from both sides.
+POWER_CASES = {
+    (5.25, 1.25, 49.75): {LOW},
+    (5.0, 1.25, 49.75): set(),
+    (5.25, 1.0, 49.75): set(),
+    (5.25, 1.25, 50.0): set(),
+    (8.25, 2.25, 4.75): {LOW, DROPOUT},
+    (8.0, 2.25, 4.75): {LOW},
+    (8.25, 2.0, 4.75): {LOW},
+    (8.25, 2.25, 5.0): {LOW},
+    (3.25, 0.05, 0.75): {DOWN},
+    (3.0, 0.05, 0.75): set(),
+    (3.25, 0.1, 0.75): set(),
+    (3.25, 0.05, 1.0): set(),
+    (None, 2.25, 4.75): set(),
+    (8.25, None, 4.75): set(),
+    (8.25, 2.25, None): set(),
+}
+
+
+def _cases():
+    yield {}, set()
+    for metric, limits in LIMITS.items():
+        yield {metric: None}, set()
+        for value in [limit + step for limit in limits for step in (-0.25, 0.0, 0.25)]:
+            yield {metric: value}, {name for limit, name in limits.items() if value > limit}
+    for values, expected in POWER_CASES.items():
+        yield dict(zip(POWER, values)), expected
+    yield {"blade_pitch_deg": 88.25, "wind_speed_ms": 19.75}, {"blade_pitch_extreme"}
+    yield {"blade_pitch_deg": 88.25, "wind_speed_ms": 20.0}, set()
+    for (one, first), (two, second) in zip(list(LIMITS.items()), list(LIMITS.items())[1:]):
+        both = {one: max(first) + 0.25, two: max(second) + 0.25, "status": "maintenance"}
+        yield both, {*first.values(), *second.values()}
+
+
+CASES = list(_cases())
 
 
 def test_rules_fire_as_expected(readings):
@@ -59,12 +70,12 @@ def test_rules_fire_as_expected(readings):
 
 
 def test_alert_carries_the_reading(readings):
-    alerts = detect(readings({"temperature_c": 91.0}), alert_ts=F.col("producer_ts"))
+    alerts = detect(readings({"temperature_c": 86.5}), alert_ts=F.col("producer_ts"))
     (row,) = alerts.collect()
-    assert row["metric_value"] == 91.0 and row["threshold"] == 85.0 and row["severity"] == "WARNING"
-    assert row["message"] == "Nacelle temperature 91.0°C exceeds warning threshold 85.0°C"
-    assert row["turbine_id"] == "turbine-01" and row["source_event_id"] == "e0"
-    assert detect(readings({"temperature_c": 91.0})).first()["alert_id"] == row["alert_id"]
+    assert row["metric_value"] == 86.5 and row["threshold"] == 85.0 and row["severity"] == "WARNING"
+    assert row["message"] == "Nacelle temperature 86.5°C exceeds warning threshold 85.0°C"
+    assert row["turbine_id"] == "turbine-08" and row["source_event_id"] == "e0"
+    assert detect(readings({"temperature_c": 86.5})).first()["alert_id"] == row["alert_id"]
 
 
 def test_message_numbers_are_formatted_like_c(readings):
@@ -94,7 +105,7 @@ def test_own_rules(readings):
         Rule("any", "CRITICAL", "rotor_rpm", 0.0, "rotor_rpm >= 0", "rpm {rpm:.0f}"),
     ]
     rows = {r["rule_name"]: r["message"] for r in detect(readings({"temperature_c": -20.0}), rules).collect()}
-    assert rows == {"cold": "cold: -20.0 below -10.0", "any": "rpm 12"}
+    assert rows == {"cold": "cold: -20.0 below -10.0", "any": "rpm 11"}
 
 
 def test_detect_is_one_pass(spark, sf_dir):
@@ -112,6 +123,27 @@ def test_known_counts_per_rule(spark, sf_dir):
     assert {r["rule_name"]: r["count"] for r in counted} == expected
 
 
+def test_readings_from_an_extract_give_these_alerts(readings, spark, tmp_path):
+    """Written out, read back and detected: the alerts word for word."""
+    rows = readings(
+        {"temperature_c": 95.5},
+        {"wind_speed_ms": 8.5, "rotor_rpm": 2.5, "power_output_kw": 4.25},
+        {"gear_temp_c": 320.5, "bearing_temp_c": 60.25},
+        {},
+    )
+    write_csv(rows, str(tmp_path / "telemetry"))
+    found = detect(read_telemetry_csv(spark, str(tmp_path / "telemetry")))
+    assert sorted((r["source_event_id"], r["severity"], r["message"]) for r in found.collect()) == [
+        ("e0", "CRITICAL", "CRITICAL: Nacelle temperature 95.5°C — emergency shutdown risk"),
+        ("e0", "WARNING", "Nacelle temperature 95.5°C exceeds warning threshold 85.0°C"),
+        ("e1", "CRITICAL", "CRITICAL: Power dropout — 4.2 kW at wind 8.5 m/s with RPM 2.5"),
+        ("e1", "WARNING", "Low power 4 kW at wind speed 8.5 m/s — possible curtailment or underperformance"),
+        ("e2", "CRITICAL", "CRITICAL: Gear temperature 320.5°C — gear tooth damage risk"),
+        ("e2", "WARNING", "Bearing temperature 60.2°C exceeds warning threshold 60.0°C — check lubrication"),
+        ("e2", "WARNING", "Gear mesh temperature 320.5°C — elevated friction or lubrication loss"),
+    ]
+
+
 @pytest.mark.skipif("TELEMETRY_EXTRACTS" not in os.environ, reason="folder with CSV extracts not given")
 def test_extract_of_real_readings_gives_its_alerts(spark):
     """The alerts of an extract whose readings are in it are exactly those the rules raise."""
