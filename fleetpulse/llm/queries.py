@@ -10,6 +10,7 @@ from fleetpulse.llm.decontamination import contamination_rows
 from fleetpulse.llm.language import language_rows
 from fleetpulse.llm.line_dedup import line_rows
 from fleetpulse.llm.near_duplicates import near_duplicates
+from fleetpulse.llm.oracle import ORACLE_SQL
 from fleetpulse.llm.packing import pack
 from fleetpulse.llm.quality import quality_rows
 from fleetpulse.llm.quotes import quote_rows
@@ -86,16 +87,16 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
-    "op5_near_duplicates": op5_near_duplicates,
-    "op6_decontamination": op6_decontamination,
     "op1_nearest": op1_nearest,
     "op2_quotes": op2_quotes,
     "op3_line_dedup": op3_line_dedup,
     "op4_toxicity": op4_toxicity,
+    "op5_near_duplicates": op5_near_duplicates,
+    "op6_decontamination": op6_decontamination,
     "op7_quality": op7_quality,
     "op8_language": op8_language,
     "op9_packing": op9_packing,
     "op10_sharding": op10_sharding,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+__all__ = ["ORACLE_SQL", "QUERIES"]
