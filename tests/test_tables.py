@@ -113,6 +113,47 @@ def test_compaction_keeps_rows_and_orders_files(spark, filed, tmp_path, in_place
         assert rows == sorted(rows, key=lambda r: (r[0], -r[1].timestamp()))
 
 
+def files_of(path):
+    return {os.path.join(d, n) for d, _, names in os.walk(path) for n in names if n.endswith(".parquet")}
+
+
+def test_compaction_rewrites_a_day_once(spark, filed, readings):
+    as_of = datetime(2024, 1, 30, 23, 0, tzinfo=timezone.utc)
+    tables.compact(spark, filed, filed, TELEMETRY, as_of)
+    once = files_of(filed)
+    tables.compact(spark, filed, filed, TELEMETRY, as_of)
+    assert files_of(filed) == once
+    late = readings({"recorded_at": datetime(2024, 1, 3, 5, 0, tzinfo=timezone.utc)}).withColumn("ingested_at", F.col("producer_ts"))
+    tables.insert_if_absent(tables.file_by_day(late), filed, ["turbine_id", "recorded_at"], ["producer_ts"], TELEMETRY_SCHEMA.fieldNames())
+    tables.compact(spark, filed, filed, TELEMETRY, as_of)
+    changed = {f for f in files_of(filed) ^ once}
+    assert changed and all("event_date=2024-01-03" in f for f in changed)
+    assert all("zstd" in f for f in files_of(f"{filed}/event_date=2024-01-03"))
+
+
+def test_fleet_snapshot_opens_only_its_days(spark, filed):
+    from fleetpulse.operators.reports import fleet_snapshot
+
+    alerts = spark.createDataFrame([], "alert_ts timestamp, severity string")
+    table = spark.read.schema(TELEMETRY).parquet(filed)
+    plan = fleet_snapshot(table, alerts, datetime(2024, 1, 5, tzinfo=timezone.utc))._jdf.queryExecution().executedPlan().toString()
+    assert "event_date" in plan.split("PartitionFilters:")[1].split("PushedFilters")[0]
+
+
+def test_refresh_removes_emptied_days(spark, telemetry, tmp_path):
+    """Readings of two days are gone: their buckets go with the refresh, and so do the folders."""
+    path = str(tmp_path / "rollup")
+    as_of = telemetry.agg(F.max("recorded_at")).first()[0]
+    store_rollup(telemetry, HOURLY, path)
+    left = telemetry.where(F.col("recorded_at") < as_of - timedelta(days=4))
+    refresh_stored_rollup(left, HOURLY, path, as_of + timedelta(days=1), start_offset=4 * 86400, end_offset=0)
+    stored = tables.read_table(spark, path, rollup_schema(spark, HOURLY)).drop("bucket_date")
+    expected = refresh_rollup(left, build_rollup(telemetry, HOURLY), HOURLY, F.lit(as_of + timedelta(days=1)), 4 * 86400, 0)
+    assert rows_of(stored.select(expected.columns)) == rows_of(expected)
+    days = tables.stored_days(spark, path, "bucket_date")
+    assert days == sorted(r[0] for r in stored.select(F.to_date("bucket")).distinct().collect())
+
+
 TELEMETRY_ORDER = sorted(TELEMETRY.fieldNames())
 
 
