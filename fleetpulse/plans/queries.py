@@ -435,6 +435,25 @@ def consumption_rate(spark, folder):
     return rates.consumption_rate(batches, latest_event(spark, folder), DAY)
 
 
+def _batches(spark, folder) -> DataFrame:
+    """Batch statistics of which all is known: a batch per hour and type of event, its write time set by its size."""
+    return (
+        feed.events(spark, folder)
+        .groupBy(F.col("event_type").alias("table_name"), F.date_trunc("hour", "ts").alias("batch"))
+        .agg(F.count(F.lit(1)).alias("row_count"))
+        .withColumn("elapsed_s", (F.col("row_count") * 37 % 1000).cast("double") / 400)
+    )
+
+
+def write_latency(spark, folder):
+    return _rounded(rates.write_latency(_batches(spark, folder)), "p95")
+
+
+def batch_sizes(spark, folder):
+    sizes = rates.batch_sizes(_batches(spark, folder))
+    return sizes.withColumn("counts", F.array_join(F.col("counts").cast("array<string>"), ","))
+
+
 def alert_rate_series(spark, folder):
     return comparable(rates.alert_rate_series(alerts(spark, folder), step=3600, window=6 * 3600))
 
@@ -594,6 +613,8 @@ QUERIES: dict[str, Query] = {
     "critical_alert_rate": critical_alert_rate,
     "warning_alert_rate": warning_alert_rate,
     "consumption_rate": consumption_rate,
+    "write_latency": write_latency,
+    "batch_sizes": batch_sizes,
     "alert_rate_series": alert_rate_series,
     "sensor_alert_rate": sensor_alert_rate,
     "dlq_rate_by_type": dlq_rate_by_type,
