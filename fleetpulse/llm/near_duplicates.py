@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
@@ -184,7 +185,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
 
     Equal sets are one class and only its smallest id is compared. In every
     bucket of a band all members are candidates of one hub, so a bucket of n
-    yields n - 1 pairs. Links join documents to components; buckets that still
+    yields n - 1 pairs at most. Ids are integers. Links join documents to components; buckets that still
     hold several components get another hub, until a round finds no new link.
     """
     named = docs.select(F.col("doc_id").alias("id"), F.col("text").cast("binary").alias("text"))
@@ -209,19 +210,17 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         grouped = entries.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn(
             "component", F.coalesce("component", "id")
         )
-        # The hub of a bucket has the smallest hash; the hash is another one in each round.
-        priority = F.xxhash64("id", F.lit(turn))
+        # The hub of a bucket is one of its lowest component, drawn by a hash for each bucket and round:
+        # the first round has one hub for most of a group, later ones show the rest many members of it.
+        # Component and hash are one number of fixed width, which a hash aggregate can hold.
+        drawn = F.pmod(F.xxhash64("id", "bucket", F.lit(turn)), F.lit(10**18)).cast("decimal(18,0)")
+        order = F.col("component").cast("decimal(19,0)") * F.lit(Decimal(10**18)) + drawn
         hubs = (
             grouped.groupBy("bucket")
-            .agg(
-                F.min_by("id", priority).alias("hub"),
-                F.min_by("component", priority).alias("of_hub"),
-                F.min("component").alias("low"),
-                F.max("component").alias("high"),
-            )
+            .agg(F.min_by("id", order).alias("hub"), F.min("component").alias("low"), F.max("component").alias("high"))
             .where("low <> high")
         )
-        pairs = grouped.join(hubs, "bucket").where("component <> of_hub").select(F.col("id").alias("a"), F.col("hub").alias("b"))
+        pairs = grouped.join(hubs, "bucket").where("component <> low").select(F.col("id").alias("a"), F.col("hub").alias("b"))
         found = _confirmed(pairs.distinct(), reps, named, size, percent)
         if found.isEmpty():
             break
