@@ -1,4 +1,4 @@
-"""Near duplicates: one-permutation MinHash with optimal densification, banded buckets, star-shaped candidates."""
+"""Near duplicates: one-permutation MinHash with optimal densification, banded buckets, stars, then all pairs of what is left."""
 
 from __future__ import annotations
 
@@ -22,6 +22,10 @@ ROWS = 4
 DEVIATIONS = 5
 #: Bytes of text worked on at once.
 BLOCK_BYTES = 1_000_000
+#: Rounds in which a bucket has one hub; what they leave is compared pair by pair.
+STAR_ROUNDS = 2
+#: Members of a bucket, members of a family and bytes of their sets in a block; a task has two blocks.
+BUCKET_BLOCK, FAMILY_BLOCK, FAMILY_BYTES = 512, 256, 8_000_000
 
 _SALT = np.uint64(0x2545F4914F6CDD1D)
 # Lowers A-Z and turns the separators from 09 to 0D into spaces.
@@ -183,10 +187,11 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     of their texts: linked by the id, a row each. Rows with a null id are
     returned with a null component and kept. An empty table gives no rows.
 
-    Equal sets are one class and only its smallest id is compared. In every
-    bucket of a band all members are candidates of one hub, so a bucket of n
-    yields n - 1 pairs at most. Ids are integers. Links join documents to components; buckets that still
-    hold several components get another hub, until a round finds no new link.
+    Equal sets are one class and only its smallest id is compared. First all
+    members of a bucket are candidates of one hub, so a bucket of n yields n - 1
+    pairs at most; links join documents to components. In buckets that then still
+    hold several components, every pair of different components is compared:
+    see ``_left_over``. Ids are integers.
     """
     named = docs.select(F.col("doc_id").alias("id"), F.col("text").cast("binary").alias("text"))
     sketches = stored(_sketched(named, size), "sketches")
@@ -210,6 +215,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         grouped = entries.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn(
             "component", F.coalesce("component", "id")
         )
+        if turn == STAR_ROUNDS:
+            break
         # The hub of a bucket is one of its lowest component, drawn by a hash for each bucket and round:
         # the first round has one hub for most of a group, later ones show the rest many members of it.
         # Component and hash are one number of fixed width, which a hash aggregate can hold.
@@ -226,6 +233,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
             break
         links = links.union(found)
         labels, turn = components(links), turn + 1
+    found = _left_over(grouped, reps, named, size, percent)
+    if not found.isEmpty():
+        labels = components(links.union(found))
     return (
         members.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
         .select(
@@ -252,12 +262,12 @@ def _confirmed(pairs: DataFrame, reps: DataFrame, named: DataFrame, size: int, p
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
             if rows.num_rows:
-                a, b = (np.frombuffer(b"".join(rows.column(c).to_pylist()), np.uint8) for c in ("ga", "gb"))
-                equal = (a == b).reshape(rows.num_rows, -1).mean(axis=1)
-                # As many independent draws as bins, or as elements if there are fewer.
-                draws = np.minimum(BINS, np.minimum(rows.column("na").to_numpy(), rows.column("nb").to_numpy()))
-                least = percent / 100 - DEVIATIONS * np.sqrt(percent * (100 - percent) / 1e4 / draws)
-                yield rows.select(["a", "b"]).filter(pa.array(equal >= least))
+                a, b = (
+                    np.frombuffer(b"".join(rows.column(c).to_pylist()), np.uint8).reshape(rows.num_rows, -1)
+                    for c in ("ga", "gb")
+                )
+                keep = _allowed(a, b, rows.column("na").to_numpy(), rows.column("nb").to_numpy(), percent)
+                yield rows.select(["a", "b"]).filter(pa.array(keep))
 
     for side in ("a", "b"):
         known = reps.select(
@@ -273,3 +283,164 @@ def _confirmed(pairs: DataFrame, reps: DataFrame, named: DataFrame, size: int, p
     for side in ("a", "b"):
         close = close.join(sets.select(F.col("id").alias(side), F.col("shingles").alias("s" + side)), side)
     return stored(_linked(close, percent).distinct(), "links")
+
+
+def _left_over(grouped: DataFrame, reps: DataFrame, named: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links ``a, b`` that join what belongs together among the components of each bucket.
+
+    Members of one bucket, of different components and with signatures that allow
+    the similarity, are of one family; a bucket yields a forest that spans its
+    families, not their pairs. Inside a family the full sets of all pairs of
+    different components are compared, but for those that links found in the
+    same task join already. Large buckets and families are cut into blocks, and
+    a task has a pair of blocks.
+    """
+    kind = grouped.schema["id"].dataType
+    several = (
+        grouped.groupBy("bucket")
+        .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
+        .where("low <> high")
+        .select("bucket", F.ceil(F.col("n") / BUCKET_BLOCK).cast("int").alias("blocks"))
+    )
+    rest = grouped.join(several, "bucket").select(F.col("bucket").alias("key"), "id", "component", "blocks")
+    rest = _block_pairs(rest.join(reps.select("id", "n_shingles", "signature"), "id"))
+
+    def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def edges() -> Iterator[np.ndarray]:
+            for ids, component, left, right, rows in _blocks(batches):
+                sizes = rows.column("n_shingles").to_numpy()
+                signatures = np.frombuffer(b"".join(rows.column("signature").to_pylist()), np.uint8).reshape(len(ids), -1)
+
+                def near(x: int, others: np.ndarray) -> np.ndarray:
+                    return _allowed(signatures[others], signatures[x], sizes[others], sizes[x], percent)
+
+                yield ids[_spanning(np.arange(len(ids)), component, left, right, near)]
+
+        yield from _pair_batches(edges())
+
+    families = stored(rest.mapInArrow(alike, "a long, b long").distinct(), "families")
+    if families.isEmpty():
+        return families.select(F.col("a").cast(kind), F.col("b").cast(kind))
+    family = components(families).select(F.col("node").alias("id"), F.col("component").alias("key"))
+    wanted = family.select(F.col("id").cast(kind))
+    sets = _sets(named.join(wanted, "id", "left_semi"), size).where(F.length("shingles") > 0)
+    component = grouped.select("id", "component").distinct()
+    sets = stored(sets.join(family, "id").join(component, "id"), "families")
+    blocks = sets.groupBy("key").agg(
+        F.ceil(F.greatest(F.count("*") / FAMILY_BLOCK, F.sum(F.length("shingles")) / FAMILY_BYTES)).cast("int").alias("blocks")
+    )
+
+    def equal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def edges() -> Iterator[np.ndarray]:
+            for ids, component, left, right, rows in _blocks(batches):
+                members = [np.frombuffer(s, np.uint64) for s in rows.column("shingles").to_pylist()]
+                labels = np.unique(component, return_inverse=True)[1]
+                yield ids[_spanning(labels, component, left, right, _overlaps(members, percent))]
+
+        yield from _pair_batches(edges())
+
+    found = _block_pairs(sets.join(blocks, "key")).mapInArrow(equal, "a long, b long")
+    return stored(found.select(F.col("a").cast(kind), F.col("b").cast(kind)).distinct(), "links")
+
+
+def _block_pairs(rows: DataFrame) -> DataFrame:
+    """Each row in all pairs ``x <= y`` of the ``blocks`` of its ``key`` that have its own ``block``, pairs in order."""
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    )
+    rows = rows.withColumns({"x": F.least("block", "other"), "y": F.greatest("block", "other")})
+    rows = rows.withColumns({"id": F.col("id").cast("long"), "component": F.col("component").cast("long")})
+    return rows.drop("blocks", "other").repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """Of each pair of blocks: ids, components, positions of the one and of the other block, and all columns."""
+
+    def whole(held: list[pa.RecordBatch]) -> tuple:
+        rows = pa.Table.from_batches(held)
+        block = rows.column("block").to_numpy()
+        sides = (np.flatnonzero(block == rows.column(c)[0].as_py()) for c in ("x", "y"))
+        return rows.column("id").to_numpy(), rows.column("component").to_numpy(), *sides, rows
+
+    held, last = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = np.column_stack([batch.column(c).to_numpy().astype(np.int64) for c in ("key", "x", "y")])
+        cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), batch.num_rows]
+        for at, end in zip(cuts, cuts[1:]):
+            key = tuple(keys[at].tolist())
+            if held and key != last:
+                yield whole(held)
+                held = []
+            held.append(batch.slice(at, end - at))
+            last = key
+    if held:
+        yield whole(held)
+
+
+def _pair_batches(edges: Iterator[np.ndarray], most: int = 50_000) -> Iterator[pa.RecordBatch]:
+    """Arrays of two columns as batches ``a, b``, smaller ids first."""
+
+    def batch() -> pa.RecordBatch:
+        pairs = np.sort(np.concatenate(held), axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+    held, n = [], 0
+    for pairs in edges:
+        if len(pairs):
+            held.append(pairs)
+            n += len(pairs)
+        if n >= most:
+            yield batch()
+            held, n = [], 0
+    if held:
+        yield batch()
+
+
+def _spanning(labels: np.ndarray, component: np.ndarray, left: np.ndarray, right: np.ndarray, near) -> np.ndarray:
+    """Pairs of positions that join all labels which pairs of different components join where ``near`` holds.
+
+    ``near(x, others)`` tells which of ``others`` are near to ``x``. A pair
+    whose labels are joined already is left out.
+    """
+    labels, found = labels.copy(), []
+    for x in left.tolist():
+        others = right[(component[right] != component[x]) & (labels[right] != labels[x])]
+        if not len(others):
+            continue
+        others = others[near(x, others)]
+        joined, first = np.unique(labels[others], return_index=True)
+        if len(joined):
+            found += [(x, y) for y in others[first].tolist()]
+            labels[np.isin(labels, joined)] = labels[x]
+    return np.array(found, np.int64).reshape(-1, 2)
+
+
+def _allowed(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, percent: int) -> np.ndarray:
+    """Whether signatures and numbers of shingles allow the similarity."""
+    equal = (a == b).mean(axis=1)
+    # As many independent draws as bins, or as elements if there are fewer.
+    draws = np.minimum(BINS, np.minimum(na, nb))
+    least = percent / 100 - DEVIATIONS * np.sqrt(percent * (100 - percent) / 1e4 / draws)
+    return (equal >= least) & (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb))
+
+
+def _overlaps(members: list[np.ndarray], percent: int):
+    """``near`` for sorted sets of distinct hashes: whether the similarity is reached."""
+    sizes = np.array([len(m) for m in members])
+    starts = np.cumsum(sizes) - sizes
+    values, codes = np.unique(np.concatenate(members), return_inverse=True)
+    mark = np.zeros(len(values), bool)
+
+    def near(x: int, others: np.ndarray) -> np.ndarray:
+        mine = codes[starts[x] : starts[x] + sizes[x]]
+        mark[mine] = True
+        if len(others) * 8 < len(members):
+            common = np.array([np.count_nonzero(mark[codes[starts[y] : starts[y] + sizes[y]]]) for y in others.tolist()])
+        else:
+            common = np.add.reduceat(mark[codes], starts, dtype=np.int64)[others]
+        mark[mine] = False
+        return 100 * common >= percent * (sizes[x] + sizes[others] - common)
+
+    return near

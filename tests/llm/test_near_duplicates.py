@@ -101,6 +101,48 @@ def test_against_all_pairs(documents, prose, size):
     assert ours(near_duplicates(documents(*rows), size=size)) == brute(rows, size)
 
 
+def template_variants(n, seed):
+    """Pages of one template of 120 slots, nearly all pairs at 0.57 to 0.75, some at 0.8 and over."""
+    source, rows = random.Random(seed), []
+    for i in range(n):
+        picks = source.choices(range(3), (0.85, 0.1, 0.05), k=120)
+        rows.append((i, " ".join(f"s{slot}o{pick} t{slot}a t{slot}b t{slot}c t{slot}d" for slot, pick in enumerate(picks))))
+    return rows
+
+
+def all_pairs(rows, size):
+    """``brute`` for many rows with ids and words: overlaps by a product of matrices."""
+    sets = shingle_sets([t.encode() for _, t in rows], size)
+    values, codes = np.unique(np.concatenate(sets), return_inverse=True)
+    n = np.array([len(s) for s in sets])
+    holds = np.zeros((len(sets), len(values)), np.float32)
+    holds[np.repeat(np.arange(len(sets)), n), codes] = 1
+    common = holds @ holds.T
+    near = 100 * common >= 80 * (n[:, None] + n - common)
+    label = np.arange(len(sets))
+    while True:
+        lowest = np.where(near, label, len(sets)).min(axis=1)
+        if (lowest == label).all():
+            return sorted(((rows[i][0], int(n[i]), rows[k][0]) for i, k in enumerate(label)), key=str)
+        label = lowest
+
+
+def test_template_variants_against_all_pairs(documents):
+    rows = template_variants(2000, 3)
+    expected = all_pairs(rows, 4)
+    assert all_pairs(rows[:60], 4) == brute(rows[:60], 4)
+    assert 50 < sum(r[0] != r[2] for r in expected) < 1000
+    assert ours(near_duplicates(documents(*rows), size=4)) == expected
+
+
+def test_blocks_of_families_and_buckets(documents, monkeypatch):
+    """The same where families and buckets are cut into many blocks."""
+    monkeypatch.setattr("fleetpulse.llm.near_duplicates.BUCKET_BLOCK", 32)
+    monkeypatch.setattr("fleetpulse.llm.near_duplicates.FAMILY_BLOCK", 32)
+    rows = template_variants(400, 4)
+    assert ours(near_duplicates(documents(*rows), size=4)) == all_pairs(rows, 4)
+
+
 def test_odd_rows(odd, documents, prose):
     rows = [(r["doc_id"], r["text"]) for r in odd.collect()]
     assert ours(near_duplicates(odd)) == brute(rows, 5)
