@@ -54,6 +54,28 @@ def chunks(text: bytes) -> list[tuple[int, int]]:
     return found
 
 
+def passages(lines: list[bytes]) -> list[tuple[int, int]]:
+    """The shortest line ranges of ``PASSAGE_WORDS`` words from each line on, and up to each line, in order.
+
+    They overlap and depend on their own lines alone, so those of a repeated run
+    of lines of so many words are repeated with it, and cover it from its first
+    line with words to its last, whatever stands around it. Lines without words
+    begin and end none.
+    """
+    worded = [(i, n) for i, line in enumerate(lines) if (n := len(line.split()))]
+    found: set[tuple[int, int]] = set()
+    for step in (1, -1):
+        run, first, words = worded[::step], 0, 0
+        for at, n in run:
+            words += n
+            while words >= PASSAGE_WORDS:
+                start, count = run[first]
+                found.add((min(start, at), max(start, at) + 1))
+                words -= count
+                first += 1
+    return sorted(found)
+
+
 _CHUNKS = T.StructType(
     [
         T.StructField("sum", T.LongType()),
@@ -65,8 +87,12 @@ _CHUNKS = T.StructType(
 )
 
 
-def _chunk_rows(base: DataFrame) -> DataFrame:
-    """A row per chunk with its digest; ``again`` marks one that stood in the same text before."""
+def _chunk_rows(base: DataFrame, whole: bool) -> DataFrame:
+    """A row per chunk with its digest; ``again`` marks one that stood in the same text before.
+
+    With ``whole``, passages are chunks too; one that overlaps its first place in
+    the text is left out.
+    """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, texts in text_blocks(batches):
@@ -74,15 +100,21 @@ def _chunk_rows(base: DataFrame) -> DataFrame:
             for i, text in enumerate(texts):
                 if not text:
                     continue
-                lines, seen = text.split(b"\n"), set()
-                for a, b in chunks(text):
+                lines, seen = text.split(b"\n"), {}
+                ranges = sorted({*chunks(text), *passages(lines)}) if whole else chunks(text)
+                for a, b in ranges:
                     chunk = b"\n".join(lines[a:b])
+                    value = hashlib.blake2b(chunk, digest_size=16).digest()
+                    before = seen.setdefault(value, (a, b))
+                    if before[0] < a and b"\n".join(lines[slice(*before)]) != chunk:
+                        continue
+                    if before[0] < a < before[1]:
+                        continue
                     row.append(i)
                     start.append(a)
                     end.append(b)
-                    digest.append(hashlib.blake2b(chunk, digest_size=16).digest())
-                    again.append(chunk in seen)
-                    seen.add(chunk)
+                    digest.append(value)
+                    again.append(before[0] < a)
             at = pa.array(row, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
@@ -100,14 +132,14 @@ def _chunk_rows(base: DataFrame) -> DataFrame:
     return base.select("id", "sum", F.col("text").cast("binary").alias("text")).mapInArrow(cut, schema)
 
 
-def repeated_ranges(docs: DataFrame) -> DataFrame:
+def repeated_ranges(docs: DataFrame, whole: bool = False) -> DataFrame:
     """``id, sum, ranges``: the line ranges to remove from the document ``id`` whose text hashes to ``sum``.
 
     Chunks whose digest occurs in several documents are compared byte by byte,
     by grouping on the bytes themselves; a digest of different bytes removes nothing.
     """
     base = docs.select(F.col("doc_id").alias("id"), "text", F.xxhash64("text").alias("sum"))
-    found = stored(_chunk_rows(base), "chunks")
+    found = stored(_chunk_rows(base, whole), "chunks")
     first = found.where("not again")
     several = first.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest")
     shared = stored(first.join(several, "digest").select("id", "sum", "start", "end", "digest"), "shared-chunks")
@@ -137,17 +169,19 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
     return elsewhere.union(here).groupBy("id", "sum").agg(F.collect_set(F.struct("start", "end")).alias("ranges"))
 
 
-def dedup_lines(docs: DataFrame) -> DataFrame:
+def dedup_lines(docs: DataFrame, whole: bool = False) -> DataFrame:
     """All columns of ``docs``, ``text`` without repeated chunks, and ``n_lines``, ``removed_lines``.
 
     A chunk is at least ``LEAST_LINES`` lines, or one line of ``PASSAGE_WORDS``
     words. One that occurs in several documents stays in that of the smallest
     id, one that occurs again in its own document stays where it is first.
+    With ``whole``, so are the overlapping ``passages``: of every run of lines of
+    ``PASSAGE_WORDS`` words that another document has, no line with words is left.
     ``n_chars`` follows the text where there is such a column. Every row stays,
     be it with an empty text. Null and empty texts have no chunks; rows of one
     id are one document; rows of null ids lose what a document with an id has.
     """
-    ranges = repeated_ranges(docs).withColumnsRenamed({"id": "__id", "sum": "__sum"})
+    ranges = repeated_ranges(docs, whole).withColumnsRenamed({"id": "__id", "sum": "__sum"})
     named = docs.drop("n_lines", "removed_lines", "__text_sum", "__id", "__sum", "ranges").withColumn(
         "__text_sum", F.xxhash64("text")
     )
@@ -159,7 +193,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
         lambda line, i: ~F.exists("ranges", lambda r: (i >= r["start"]) & (i < r["end"])),
     )
     text = F.when(F.col("ranges").isNull() | F.col("text").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
-    removed = F.aggregate("ranges", F.lit(0), lambda n, r: n + r["end"] - r["start"])
+    removed = F.when(F.col("ranges").isNotNull(), F.size(F.split("text", "\n")) - F.size(left))
     changes = {
         "n_lines": F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n"))),
         "removed_lines": F.coalesce(removed, F.lit(0)),
@@ -172,10 +206,10 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     return joined.withColumns(changes).select(*kept, "n_lines", "removed_lines")
 
 
-def line_rows(docs: DataFrame) -> DataFrame:
+def line_rows(docs: DataFrame, whole: bool = False) -> DataFrame:
     """``doc_id, n_lines, removed_lines, size, text_crc32`` of every document, of its text after removal."""
     bytes_ = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    return dedup_lines(docs.select("doc_id", "text")).select(
+    return dedup_lines(docs.select("doc_id", "text"), whole).select(
         "doc_id",
         F.col("n_lines").cast("long").alias("n_lines"),
         F.col("removed_lines").cast("long").alias("removed_lines"),

@@ -39,7 +39,7 @@ def op2_quotes(spark: SparkSession, folder: str) -> DataFrame:
 
 def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Repeated runs of lines removed from all documents."""
-    return line_rows(table(spark, folder, "documents"))
+    return line_rows(table(spark, folder, "documents"), whole=True)
 
 
 def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:

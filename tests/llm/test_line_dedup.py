@@ -1,10 +1,11 @@
 from __future__ import annotations
 
+import random
 import zlib
 
 from pyspark.sql import functions as F
 
-from fleetpulse.llm.line_dedup import chunks, dedup_lines, line_rows
+from fleetpulse.llm.line_dedup import chunks, dedup_lines, line_rows, passages
 from fleetpulse.llm.queries import QUERIES
 
 
@@ -51,6 +52,43 @@ def test_against_plain_removal(documents, prose):
     assert ours(dedup_lines(documents(*rows))) == brute(rows)
 
 
+def runs_left(rows, words=50):
+    """Lines with words left of each document: of any run of lines that a smaller id has, nothing stays."""
+    left, held = [], set()
+    for doc_id, text in rows:
+        lines, gone, own = text.split("\n"), set(), set()
+        for a in range(len(lines)):
+            for b in range(a + 1, len(lines) + 1):
+                run = tuple(lines[a:b])
+                if sum(len(line.split()) for line in run) >= words:
+                    own.add(run)
+                    gone.update(range(a, b) if run in held else ())
+        held |= own
+        left.append((doc_id, [line for i, line in enumerate(lines) if i not in gone]))
+    return left
+
+
+def test_whole_passages_go(documents, prose):
+    """Passages of two to eight lines under 50 words, at all places of other texts; no use of chunks()."""
+    source, rows = random.Random(8), []
+    shared = ["\n".join(prose(27, 900 + 20 * n + k, line=27) for k in range(n)) for n in range(2, 9)]
+    for i in range(40):
+        parts = [prose(source.randrange(5, 60), 10 * i + k, words=10**6, line=source.randrange(4, 30)) for k in range(3)]
+        rows.append((i, "\n".join([parts[0], source.choice(shared), parts[1], source.choice(shared), parts[2]])))
+    rows = [(i, text) for i, text in rows if len(set(text.split("\n"))) == len(text.split("\n"))]
+    found = {r["doc_id"]: r for r in dedup_lines(documents(*rows), whole=True).collect()}
+    for doc_id, lines in runs_left(rows):
+        assert found[doc_id]["text"] == "\n".join(lines)
+        assert found[doc_id]["removed_lines"] == found[doc_id]["n_lines"] - len(lines)
+
+
+def test_repeats_in_one_text_leave_the_first_place_whole(documents, prose):
+    line = prose(25, 1, line=25)
+    assert passages([b"", line.encode(), b"", line.encode(), b"x"]) == [(1, 4), (1, 5)]
+    left = dedup_lines(documents((1, "\n".join([line] * 5))), whole=True).collect()
+    assert left[0]["text"] == line + "\n" + line
+
+
 def test_columns_and_odd_rows(odd, documents):
     rows = [(r["doc_id"], r["text"]) for r in odd.collect()]
     assert ours(dedup_lines(odd)) == brute(rows)
