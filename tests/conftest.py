@@ -13,33 +13,33 @@ from fleetpulse.session import local_session  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
 
-# A quiet reading of a made-up machine, in both layouts.
+# A quiet reading of a made-up machine, in both layouts; keys in the order of the schema.
 CURRENT = {
-    "recorded_at": "2025-03-02T08:15:40+00:00",
     "turbine_id": "turbine-08",
-    "status": "online",
-    "temperature_c": 36.5,
+    "recorded_at": "2025-03-02T08:15:40+00:00",
     "wind_speed_ms": 7.25,
-    "blade_pitch_deg": 6.5,
     "rotor_rpm": 10.6,
-    "vibration_mms": 2.25,
     "power_output_kw": 812.5,
+    "temperature_c": 36.5,
+    "vibration_mms": 2.25,
+    "blade_pitch_deg": 6.5,
+    "status": "online",
 }
 LEGACY = {
-    "Timestamp": "2025-03-02 08:15:40",
     "Turbine_ID": "Turbine_9",
+    "Timestamp": "2025-03-02 08:15:40",
     "Wind_Speed": 6.75,
-    "Wind_direction": 48.5,
-    "Nacelle_Position": 51.25,
-    "Power": 640.0,
     "Generator_Speed": 47.1,
-    "Hub_Speed": 4,
+    "Power": 640.0,
+    "GeneratorTemp": 61.75,
     "BladePitchAngle": 21.0,
+    "Nacelle_Position": 51.25,
+    "Wind_direction": 48.5,
     "Ambient_Air_temp": -3.5,
-    "GeneratorTemp": 61.75,
     "Bearing_Temp": 38.5,
     "GearBoxSumpTemp": 55.25,
     "GearTemp": 143.0,
+    "Hub_Speed": 4,
 }
 
 

@@ -23,5 +23,6 @@ def test_entry_without_the_subpackage(tmp_path):
         if "llm" not in part.parts and part.name != "corpus_pipeline.py":
             (tmp_path / part).parent.mkdir(parents=True, exist_ok=True)
             (tmp_path / part).symlink_to(path)
+    (tmp_path / "fleetpulse" / "llm" / "__pycache__").mkdir(parents=True)  # what git leaves of a deleted package
     left = names(tmp_path)
     assert "alerts_by_rule_severity" in left and not {n for n in left if n.startswith("op") or n == "pipeline"}

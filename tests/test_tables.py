@@ -72,7 +72,7 @@ def test_insert_if_absent(spark, readings, tmp_path):
     late = arrive({"recorded_at": at(1), "power_output_kw": 7.0}, {"recorded_at": at(3)}, first_offset=10)
     store.insert_telemetry(late)
     stored = {r["recorded_at"].day: r["power_output_kw"] for r in store.telemetry(spark).collect()}
-    assert stored == {1: 1450.0, 2: 1450.0, 3: 1450.0}
+    assert stored == {1: 812.5, 2: 812.5, 3: 812.5}
     assert store.telemetry(spark).count() == 3
 
 
