@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import zlib
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -9,18 +10,24 @@ from fleetpulse.llm.line_dedup import chunks, dedup_lines, line_rows, passages
 from fleetpulse.llm.queries import QUERIES
 
 
-def brute(rows):
-    """Text left of each (doc_id, text), in order of id, nulls last."""
+def brute(rows, whole=False):
+    """Text left of each (doc_id, text), in order of id, nulls last; with ``whole``, passages are chunks too.
+
+    A passage that overlaps its first place in the text stays.
+    """
     first, left = {}, []
     for doc_id, text in sorted(rows, key=lambda r: (r[0] is None, r[0])):
-        lines, gone, seen = (text or "").encode().split(b"\n"), set(), set()
-        for a, b in chunks(text.encode()) if text else []:
+        lines, gone, seen = (text or "").encode().split(b"\n"), set(), {}
+        ranges = {*chunks(text.encode()), *(passages(lines) if whole else [])} if text else set()
+        for a, b in sorted(ranges):
             chunk = b"\n".join(lines[a:b])
-            if chunk in seen or (doc_id is not None and first.setdefault(chunk, doc_id) != doc_id):
+            here = seen.setdefault(chunk, (a, b))
+            if here[0] < a < here[1]:
+                continue
+            if here[0] < a or (doc_id is not None and first.setdefault(chunk, doc_id) != doc_id):
                 gone.update(range(a, b))
             elif doc_id is None and chunk in first:
                 gone.update(range(a, b))
-            seen.add(chunk)
         kept = b"\n".join(line for i, line in enumerate(lines) if i not in gone)
         left.append((doc_id, len(gone), None if text is None else kept.decode()))
     return sorted(left, key=str)
@@ -104,8 +111,14 @@ def test_columns_and_odd_rows(odd, documents):
 
 
 def test_query(spark, sf_dir):
+    """The whole result against chunks and passages removed one by one, and against runs that know of neither."""
     rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
-    expected = {d: (n, len(t.encode()), zlib.crc32(t.encode())) for d, n, t in brute(rows)}
+    removed = brute(rows, whole=True)
+    expected = {d: (n, len(t.encode()), zlib.crc32(t.encode())) for d, n, t in removed}
     found = QUERIES["op3_line_dedup"](spark, sf_dir).collect()
     assert {r["doc_id"]: (r["removed_lines"], r["size"], r["text_crc32"]) for r in found} == expected
     assert any(e[0] for e in expected.values())
+    texts = {d: t.split("\n") for d, _, t in removed}
+    for doc_id, lines in runs_left(sorted(rows)):
+        left = Counter(line for line in texts[doc_id] if line.split())
+        assert not left - Counter(line for line in lines if line.split()), doc_id
