@@ -64,7 +64,36 @@ groups AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY 1)
 SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
 FROM groups LEFT JOIN sizes USING (doc_id)"""
 
+# Tokens as a list, cut by ranks and put together again.
+FILL_MIDDLE = """
+WITH cut AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS w,
+         sha256(concat('1:', cast(doc_id AS varchar))) AS h
+  FROM documents
+),
+drawn AS (
+  SELECT *, cast(len(w) AS bigint) AS n, cast(concat('0x', h[1:8]) AS bigint) AS h1, cast(concat('0x', h[9:16]) AS bigint) AS h2,
+         cast(concat('0x', h[17:24]) AS bigint) AS h3, cast(concat('0x', h[25:32]) AS bigint) AS h4
+  FROM cut
+),
+ranked AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS lo, greatest(h1 % (n + 1), h2 % (n + 1)) AS hi FROM drawn),
+parts AS (
+  SELECT *, coalesce(array_to_string(w[1:lo], ''), '') AS a, coalesce(array_to_string(w[lo + 1:hi], ''), '') AS b,
+         coalesce(array_to_string(w[hi + 1:n], ''), '') AS c,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90
+              THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM ranked
+)
+SELECT doc_id, n, form,
+       CASE WHEN form <> 'plain' THEN cast(length(a) AS bigint) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN cast(length(b) AS bigint) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN concat('<P>', a, '<S>', c, '<M>', b)
+                        ELSE concat('<S>', c, '<P>', a, '<M>', b) END) AS output_sha256,
+       sha256(concat(a, b, c)) AS restored_sha256
+FROM parts"""
+
 ORACLE_SQL = {
+    "op11_fill_middle": FILL_MIDDLE,
     "op5_near_duplicates": NEAR_DUPLICATES,
     "op6_decontamination": DECONTAMINATION,
 }

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fleetpulse.llm.common import table
 from fleetpulse.llm.decontamination import contamination_rows
+from fleetpulse.llm.fill_middle import fill_middle_rows
 from fleetpulse.llm.language import language_rows
 from fleetpulse.llm.line_dedup import line_rows
 from fleetpulse.llm.near_duplicates import near_duplicates
@@ -86,6 +87,11 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_fill_middle(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document in fill-in-the-middle form."""
+    return fill_middle_rows(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_nearest": op1_nearest,
     "op2_quotes": op2_quotes,
@@ -97,6 +103,7 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_packing": op9_packing,
     "op10_sharding": op10_sharding,
+    "op11_fill_middle": op11_fill_middle,
 }
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
