@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetpulse.llm.alignment import alignment_rows
 from fleetpulse.llm.common import table
 from fleetpulse.llm.decontamination import contamination_rows
 from fleetpulse.llm.fill_middle import fill_middle_rows
@@ -92,6 +93,12 @@ def op11_fill_middle(spark: SparkSession, folder: str) -> DataFrame:
     return fill_middle_rows(table(spark, folder, "documents"))
 
 
+def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Byte-level tokens and pieces of every document, aligned."""
+    documents = table(spark, folder, "documents")
+    return alignment_rows(documents, tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
+
+
 QUERIES = {
     "op1_nearest": op1_nearest,
     "op2_quotes": op2_quotes,
@@ -104,6 +111,7 @@ QUERIES = {
     "op9_packing": op9_packing,
     "op10_sharding": op10_sharding,
     "op11_fill_middle": op11_fill_middle,
+    "op13_alignment": op13_alignment,
 }
 
 __all__ = ["ORACLE_SQL", "QUERIES"]

@@ -1,0 +1,130 @@
+from __future__ import annotations
+
+import hashlib
+from collections import Counter
+
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from sentencepiece import SentencePieceProcessor
+from tokenizers import Tokenizer
+
+from fleetpulse.llm import alignment
+from fleetpulse.llm.alignment import TwoTokenizers, align_tokens, alignment_rows, byte_level_bytes, most_pairs, piece_bytes, windows
+from fleetpulse.llm.queries import QUERIES
+
+A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+
+
+@pytest.fixture(scope="module")
+def plain():
+    """The tokenizers themselves, on whole texts: ids and bytes."""
+    a, b = Tokenizer.from_file(A), SentencePieceProcessor(model_file=B)
+    a.encode_special_tokens = True
+    a_bytes, b_bytes = byte_level_bytes(A), piece_bytes(B)
+
+    def encode(text):
+        x, y = a.encode(" " + text, add_special_tokens=False).ids, b.encode(text, num_threads=1)
+        return [(i, a_bytes[i]) for i in x], [(i, b_bytes[i]) for i in y]
+
+    return encode
+
+
+def ends(tokens):
+    at, found = 0, {}
+    for i, bytes_ in tokens:
+        at += len(bytes_)
+        found[at] = i
+    return found
+
+
+def by_end(side, common):
+    """Ids up to each common end, comma-joined."""
+    found, held, last = [], [], set(common)
+    for end, i in side.items():
+        held.append(str(i))
+        if end in last:
+            found.append(",".join(held))
+            held = []
+    return found
+
+
+def brute(plain, rows):
+    """The whole result, document by document."""
+    documents, counts = [], Counter()
+    for doc_id, text in rows:
+        x, y = plain(text) if text else ([], [])
+        whole = b" " + (text or "").encode()
+        if b"".join(t for _, t in x) != whole or b"".join(t for _, t in y) != whole:
+            x, y = [], []
+        a, b = ends(x), ends(y)
+        common = sorted(a.keys() & b.keys())
+        links = [(a[e], b[e]) for e in common]
+        counts.update(links)
+        groups = ["|".join(g) for g in zip(by_end(a, common), by_end(b, common))]
+        documents.append((doc_id, len(x), len(y), len(common), links, ";".join(groups)))
+    best = Counter()
+    for (_, b), n in counts.items():
+        best[b] = max(best[b], n)
+    return sorted(
+        (
+            (d, n_a, n_b, n, len(links), sum(counts[p] == best[p[1]] for p in links), sum(counts[p] for p in links),
+             hashlib.sha256(groups.encode()).hexdigest() if n_a else "")
+            for d, n_a, n_b, n, links, groups in documents
+        ),
+        key=str,
+    )
+
+
+def ours(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+_TEXT = st.text(st.sampled_from(list("ab1.' \n\t ▁　é漢😀<|>s\x1c\x85-")), max_size=40)
+
+
+@settings(max_examples=300, deadline=None)
+@given(_TEXT)
+def test_segments_give_the_ids_of_the_whole(plain, text):
+    two = TwoTokenizers.opened(A, B)
+    x, y = plain(text)
+    (codes,) = two.codes([" " + text]) if text else ([],)
+    if all(two.a_ids[c] is not None for c in codes) and text:
+        assert [i for c in codes for i in two.a_ids[c]] == [i for i, _ in x]
+        assert [i for c in codes for i in two.b_ids[c]] == [i for i, _ in y]
+    elif text:
+        assert b"".join(t for _, t in y) != b" " + text.encode()
+
+
+def test_against_whole_texts(plain, documents, odd, prose):
+    rows = [(r["doc_id"], r["text"]) for r in odd.collect()]
+    assert ours(alignment_rows(odd, A, B)) == brute(plain, rows)
+    rows = [(i, prose(40, i) + s) for i, s in enumerate(["", " ", "\n", "  x", "<s></s><unk>", "▁", "ﬁ ① é", "\x00\x01", "<|endoftext|>"])]
+    rows += [(20, "the cat  sat\n\n  on the mat\t and ran"), (21, rows[0][1]), (21, "漢字 漢字"), (22, "    code:\n        x = 1\n")]
+    assert ours(alignment_rows(documents(*rows), A, B)) == brute(plain, rows)
+    assert alignment_rows(documents(), A, B).count() == 0
+
+
+def test_long_texts_in_windows(plain, documents, prose):
+    assert "".join(windows("ab cd\n\nef  gh", 3)) == " ab cd\n\nef  gh"
+    long = prose(300_000, 3, words=3000) + " " + "x" * 2_000
+    assert len(list(windows(long))) > 1
+    kept = {r["doc_id"]: r for r in align_tokens(documents((1, long), (2, "a b")), A, B, keep_groups=True).collect()}
+    assert all(hashlib.sha256(r["groups"].encode()).hexdigest() == r["groups_sha256"] for r in kept.values())
+    rows = [(1, long), (2, "a b"), (3, long[:-5])]
+    assert ours(alignment_rows(documents(*rows), A, B)) == brute(plain, rows)
+
+
+def test_windows_of_a_worker(plain, prose):
+    """Units of one text, cut small, against the text as a whole."""
+    two, text = TwoTokenizers.opened(A, B), prose(400, 9) + "\n\n" + prose(50, 10)
+    whole = alignment.AlignedUnits(two, [" " + text])
+    cut = alignment.AlignedUnits(two, list(windows(text, 50)))
+    assert ";".join(cut.groups) == whole.groups[0] and cut.n_links.sum() == whole.n_links[0]
+    assert len(whole.pairs(0)[0]) <= most_pairs(A, B)
+
+
+def test_query(spark, sf_dir, plain):
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
+    assert ours(QUERIES["op13_alignment"](spark, sf_dir)) == brute(plain, rows)
