@@ -11,6 +11,7 @@ from fleetpulse.llm.decontamination import contamination_rows
 from fleetpulse.llm.fill_middle import fill_middle_rows
 from fleetpulse.llm.language import language_rows
 from fleetpulse.llm.line_dedup import line_rows
+from fleetpulse.llm.maxent import language_model_rows
 from fleetpulse.llm.near_duplicates import near_duplicates
 from fleetpulse.llm.oracle import ORACLE_SQL
 from fleetpulse.llm.packing import pack
@@ -93,6 +94,11 @@ def op11_fill_middle(spark: SparkSession, folder: str) -> DataFrame:
     return fill_middle_rows(table(spark, folder, "documents"))
 
 
+def op12_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    """Probability of every document under a maximum-entropy model of the documents."""
+    return language_model_rows(table(spark, folder, "documents"))
+
+
 def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
     """Byte-level tokens and pieces of every document, aligned."""
     documents = table(spark, folder, "documents")
@@ -111,6 +117,7 @@ QUERIES = {
     "op9_packing": op9_packing,
     "op10_sharding": op10_sharding,
     "op11_fill_middle": op11_fill_middle,
+    "op12_language_model": op12_language_model,
     "op13_alignment": op13_alignment,
 }
 
