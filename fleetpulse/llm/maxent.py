@@ -17,9 +17,9 @@ from pyspark.sql import types as T
 from fleetpulse.llm.common import id_remainder, mix, stored
 
 #: Classes, and words of each: the most frequent words of the corpus are outputs of their own, all others are one.
-CLASSES, CLASS_WORDS = 32, 64
-#: A word with its own output has at most so many bytes.
-LONGEST = 1024
+CLASSES, CLASS_WORDS = 32, 32
+#: Words that every task knows with their counts, at most, and bytes of such a word; the rest is joined.
+KNOWN, LONGEST = 1 << 17, 1024
 #: Rows of each of the two weight tables; features are hashed to them.
 ROW_BITS = 14
 #: Rounds of training; a document takes part in one of them.
@@ -97,9 +97,9 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
 @dataclass
 class Vocabulary:
-    """Words with their own output, most frequent first, and sums over all words of the training texts.
+    """Frequent words, most frequent first, and sums over all words of the training texts.
 
-    A word without its own output has the probability of all such words together,
+    The first ``outputs`` of the words have an output of their own. A word without its own output has the probability of all such words together,
     shared out by count plus a half; one of these shares is that of all words
     never seen.
     """
@@ -108,12 +108,13 @@ class Vocabulary:
     counts: np.ndarray
     total: int
     distinct: int
+    outputs: int
 
     def __post_init__(self) -> None:
         self.ids = {w: i for i, w in enumerate(self.words)}
-        self.other = len(self.words)
-        self.rest_total = self.total - int(self.counts.sum()) if self.words else self.total
-        self.rest_distinct = self.distinct - len(self.words)
+        self.other = min(self.outputs, len(self.words))
+        self.rest_total = self.total - int(self.counts[: self.other].sum())
+        self.rest_distinct = self.distinct - self.other
 
     def base(self, c):
         """log10 of a word's probability in the base model, by its count."""
@@ -123,28 +124,49 @@ class Vocabulary:
     def rest_mass(self) -> float:
         return self.rest_total + 0.5 * (self.rest_distinct + 1)
 
+    def within(self, c):
+        """log10 of the share that a word without its own output has of all such words, by its count."""
+        return np.log10((np.asarray(c, np.float64) + 0.5) / self.rest_mass)
 
-def learn_vocabulary(counts: DataFrame, outputs: int) -> Vocabulary:
-    """The ``outputs`` most frequent words, and the sums of the table ``word, c``."""
-    sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    top = counts.where(F.length("word") <= LONGEST).orderBy(F.desc("c"), "word").limit(outputs).collect()
-    return Vocabulary([bytes(r[0]) for r in top], np.array([r[1] for r in top], np.int64), sums[0], sums[1])
+
+def learn_vocabulary(counts: DataFrame, outputs: int, known: int | None = None) -> Vocabulary:
+    """The most frequent words of the table ``word, c``, ``known`` at most, and its sums.
+
+    How often a word occurs at least to be among them follows from a histogram
+    of the counts to 11 significant bits; words of the same bucket are in or out
+    together.
+    """
+    known = KNOWN if known is None else known
+    cut = F.greatest(F.floor(F.log2("c")).cast("int") - 10, F.lit(0))
+    bucket = F.call_function("shiftleft", F.call_function("shiftright", F.col("c"), cut), cut)
+    histogram = counts.groupBy(bucket.alias("least")).agg(F.sum("c"), F.count("*")).collect()
+    total, distinct = sum(r[1] for r in histogram), sum(r[2] for r in histogram)
+    least, held = None, 0
+    for bucket_least, _, n in sorted(histogram, reverse=True):
+        held += n
+        if held > known:
+            break
+        least = bucket_least
+    if least is None:
+        return Vocabulary([], np.empty(0, np.int64), total, distinct, outputs)
+    top = counts.where((F.col("c") >= least) & (F.length("word") <= LONGEST)).select("word", "c").toArrow()
+    top = top.sort_by([("c", "descending"), ("word", "ascending")])
+    return Vocabulary(top["word"].to_pylist(), top["c"].to_numpy(), total, distinct, outputs)
 
 
 # --- the model --------------------------------------------------------------------
 
 
 class _Numbers(dict):
-    """Number by word: its output, or beyond all outputs a number by hash."""
+    """Number by word: its rank among the known words, or beyond them a number by hash."""
 
     def __init__(self, vocabulary: Vocabulary) -> None:
         super().__init__(vocabulary.ids)
-        self.outputs = vocabulary.other
-        self.size = len(self)
+        self.mark = self.known = len(vocabulary.words)
 
     def __missing__(self, word: bytes) -> int:
-        number = self.outputs + 1 + zlib.crc32(word)
-        if len(self) < self.size + CACHED_WORDS:
+        number = self.known + 1 + zlib.crc32(word)
+        if len(self) < self.known + CACHED_WORDS:
             self[word] = number
         return number
 
@@ -171,7 +193,7 @@ class MaxEntModel:
             self.tables = [np.zeros((rows, n), np.float32) for n in (self.classes, self.width)]
         if not self.bias:
             mass = np.zeros(self.classes * self.width)
-            mass[: self.vocabulary.other] = self.vocabulary.counts + 0.5
+            mass[: self.vocabulary.other] = self.vocabulary.counts[: self.vocabulary.other] + 0.5
             mass[self.vocabulary.other] = self.vocabulary.rest_mass
             mass = mass.reshape(self.classes, self.width)
             with np.errstate(divide="ignore"):
@@ -200,13 +222,15 @@ class MaxEntModel:
     def _shares(self, of: np.ndarray, found: list[list[np.ndarray]]) -> list[np.ndarray]:
         """Softmax over classes, and over the words of the class ``of``, for each position."""
         shares = []
-        for table, bias, rows in zip(self.tables, (self.bias[0][None], self.bias[1][of]), found):
-            z = table[rows[0]] + bias
+        for table, bias, rows in zip(self.tables, (self.bias[0], self.bias[1].take(of, axis=0)), found):
+            z = table.take(rows[0], axis=0)
+            z += bias
             for more in rows[1:]:
-                z += table[more]
-            z -= z.max(axis=1, keepdims=True)
+                z += table.take(more, axis=0)
+            # Far below where the exponential of a float32 overflows; weights do not come near.
+            np.minimum(z, 60, out=z)
             np.exp(z, out=z)
-            z /= z.sum(axis=1, keepdims=True)
+            z *= (1 / (z @ np.ones(z.shape[1], np.float32)))[:, None]
             shares.append(z)
         return shares
 
@@ -241,7 +265,7 @@ def _sequences(numbers: _Numbers, texts: list[bytes | None]) -> Iterator[tuple[n
         return np.array(flat, np.int64), at, np.repeat(text, sizes), words
 
     if len(texts) == 1:
-        before = [numbers.outputs] * 3
+        before = [numbers.mark] * 3
         for part in words_of(texts[0]):
             flat = before + [numbers[w] for w in part]
             words, lengths, before = part, [len(part)], flat[-3:]
@@ -249,7 +273,7 @@ def _sequences(numbers: _Numbers, texts: list[bytes | None]) -> Iterator[tuple[n
         return
     for text in texts:
         (part,) = words_of(text)
-        flat += [numbers.outputs] * 3
+        flat += [numbers.mark] * 3
         flat += [numbers[w] for w in part]
         words += part
         lengths.append(len(part))
@@ -274,15 +298,20 @@ class Trainer:
             np.negative(share, out=share)
             share[i, target] += 1
             table, squares, hits = self.model.tables[t], self.squares[t], self.hits[t]
+            width = np.arange(share.shape[1])
             for rows in found[t]:
-                order = np.argsort(rows.astype(np.uint16) if self.model.bits <= 16 else rows, kind="stable")
-                sorted_ = rows[order]
-                first = np.flatnonzero(np.concatenate(([True], sorted_[1:] != sorted_[:-1])))
-                touched, times = sorted_[first], np.diff(np.append(first, len(order)))
-                gradient = np.add.reduceat(share[order], first, axis=0)
+                # The gradient of a row is summed over all its uses here, column by column in one count.
+                uses = np.bincount(rows, minlength=len(table))
+                touched = np.flatnonzero(uses)
+                of_row = np.empty(len(table), np.int64)
+                of_row[touched] = np.arange(0, len(touched) * len(width), len(width))
+                gradient = np.bincount((of_row.take(rows)[:, None] + width).ravel(), share.ravel(), len(touched) * len(width))
+                gradient = gradient.reshape(-1, len(width)).astype(np.float32)
                 squares[touched] += np.einsum("ij,ij->i", gradient, gradient)
-                table[touched] += gradient * (self.rate / np.sqrt(squares[touched] + 1.0))[:, None]
-                hits[touched] += times
+                gradient *= (self.rate / np.sqrt(squares[touched] + 1.0))[:, None]
+                table[touched] += gradient
+                hits += uses
+
 
     def changes(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """Number of a block of rows, how often each row was used, and its change."""
@@ -370,7 +399,7 @@ def fit(texts: DataFrame, vocabulary: Vocabulary, rate: float = RATE, rounds: in
 
 
 def _scored(docs: DataFrame, model: MaxEntModel) -> DataFrame:
-    """``doc_id``, counts and scores of the words with their own output, and the other words with how often."""
+    """``doc_id``, counts and scores as far as known words go, and the other words with how often."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = T.StructType(
         [
@@ -386,18 +415,21 @@ def _scored(docs: DataFrame, model: MaxEntModel) -> DataFrame:
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, numbers = shared.value, shared.value.numbers()
-        base = np.append(model.vocabulary.base(model.vocabulary.counts), 0.0)
+        vocabulary, known_words = model.vocabulary, len(model.vocabulary.words)
+        base = np.append(vocabulary.base(vocabulary.counts), 0.0)
+        within = np.append(vocabulary.within(vocabulary.counts), 0.0)
+        within[: vocabulary.other] = 0.0
         for rows, values in _texts(batches):
             n = len(values)
             tokens, known, sums, scores = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n), np.zeros(n)
             rest: list[Counter[bytes]] = [Counter() for _ in values]
             for sequence, at, text, words in _sequences(numbers, values):
-                own = np.minimum(sequence[at], model.vocabulary.other)
+                number = np.minimum(sequence[at], known_words)
                 tokens += np.bincount(text, minlength=n)
-                known += np.bincount(text, own < model.vocabulary.other, n).astype(np.int64)
-                sums += np.bincount(text, base[own], n)
-                scores += np.bincount(text, model.log10(sequence, at), n)
-                for i in np.flatnonzero(own == model.vocabulary.other).tolist():
+                known += np.bincount(text, number < known_words, n).astype(np.int64)
+                sums += np.bincount(text, base[number], n)
+                scores += np.bincount(text, model.log10(sequence, at) + within[number], n)
+                for i in np.flatnonzero(number == known_words).tolist():
                     rest[text[i]][words[i]] += 1
             yield pa.RecordBatch.from_arrays(
                 [
@@ -415,8 +447,8 @@ def _scored(docs: DataFrame, model: MaxEntModel) -> DataFrame:
 def score_texts(docs: DataFrame, counts: DataFrame, model: MaxEntModel) -> DataFrame:
     """``doc_id, n_tokens, n_known, base_score, score`` of every row of ``docs(doc_id, text)``.
 
-    Words without their own output, rare ones by construction, are joined to the
-    counts of all training words ``word, c``.
+    Words beyond the known ones, rare by construction, are joined to the counts of
+    all training words ``word, c``.
     """
     vocabulary = model.vocabulary
     scored = stored(_scored(docs, model).withColumn("row", F.monotonically_increasing_id()), "scored")

@@ -46,7 +46,8 @@ def same_base(df, rows):
 def model_of(texts, classes=4, width=4, bits=10, rounds=40):
     counts = Counter(w for t in texts for w in plain_words(t))
     top = sorted(counts, key=lambda w: (-counts[w], w))[: classes * width - 1]
-    vocabulary = Vocabulary(top, np.array([counts[w] for w in top], np.int64), sum(counts.values()), len(counts))
+    # The outputs alone are known here; all other words are numbered by hash.
+    vocabulary = Vocabulary(top, np.array([counts[w] for w in top], np.int64), sum(counts.values()), len(counts), len(top))
     trainer = Trainer(MaxEntModel(vocabulary, classes, width, bits))
     numbers = trainer.model.numbers()
     for _ in range(rounds):
@@ -58,7 +59,7 @@ def model_of(texts, classes=4, width=4, bits=10, rounds=40):
 def plain_log10(model, context, word):
     """One word's log10 probability among the outputs, feature by feature."""
     vocabulary, numbers = model.vocabulary, model.numbers()
-    sequence = [numbers.outputs] * 3 + [numbers[w] for w in context] + [numbers[word]]
+    sequence = [numbers.mark] * 3 + [numbers[w] for w in context] + [numbers[word]]
     of, place, rows = model.rows(np.array(sequence), np.array([len(sequence) - 1]))
     total = 0.0
     for table, bias, found, target in zip(model.tables, (model.bias[0], model.bias[1][of[0]]), rows, (of[0], place[0])):
@@ -121,12 +122,23 @@ def test_odd_rows(odd, documents):
 def test_several_tasks_are_merged(documents, prose, monkeypatch):
     monkeypatch.setattr(maxent, "TRAINER_WORDS", 100)
     monkeypatch.setattr(maxent, "FAN_IN", 2)
+    monkeypatch.setattr(maxent, "KNOWN", 150)
     rows = [(i, prose(60, i % 7)) for i in range(60)] + [(i, "word " * 3000 + "end") for i in range(60, 64)]
     ours = same_base(language_model_rows(documents(*rows).repartition(8)), rows)
     out = [r for r in ours if r["held_out"]]
     assert sum(r["score"] for r in out) > sum(r["base_score"] for r in out)
 
 
+@pytest.mark.parametrize("known", [0, 1, 3, 6, 100])
+def test_known_words_follow_the_counts(spark, known):
+    counts = {b"a": 5000, b"b": 5000, b"c": 40, b"d": 7, b"e": 7, b"x" * 2000: 9000}
+    table = spark.createDataFrame([(bytearray(w), c) for w, c in counts.items()], "word binary, c long")
+    vocabulary = maxent.learn_vocabulary(table, 3, known)
+    expected = {0: [], 1: [], 3: [b"a", b"b"], 6: [b"a", b"b", b"c", b"d", b"e"], 100: [b"a", b"b", b"c", b"d", b"e"]}[known]
+    assert vocabulary.words == expected and vocabulary.counts.tolist() == [counts[w] for w in expected]
+    assert (vocabulary.total, vocabulary.distinct) == (sum(counts.values()), 6)
+
+
 def test_query(spark):
     folder = "/root/testdata/sf0.01"
     rows = [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]
