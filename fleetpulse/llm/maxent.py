@@ -39,7 +39,7 @@ END = b"\n"
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _SALT = np.uint64(0x9E3779B97F4A7C15)
 # Positions of a feature's words before the predicted one: n-grams, then skips.
-_FEATURES = ((1,), (1, 2), (2,), (3,))
+_FEATURES = ((1,), (1, 2), (2,))
 
 
 _BLANK = re.compile(rb"[\x20\x09-\x0d]")
