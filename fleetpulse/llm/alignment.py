@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from fleetpulse.llm.common import BLOCK_CHARS, stored, text_blocks
 
 #: Segments of texts whose ids a Python worker keeps, and the longest that it keeps.
-CACHED_SEGMENTS, CACHED_CHARS = 300_000, 64
+CACHED_SEGMENTS, CACHED_CHARS = 500_000, 64
 #: Pairs that a worker counts before it hands its partial counts on.
 COUNTED_PAIRS = 1_000_000
 
@@ -92,6 +92,8 @@ class TwoTokenizers:
         ranks = {b: i for i, b in a_bytes.items()}
         self.a = tiktoken.Encoding("a", pat_str=BYTE_LEVEL_PARTS, mergeable_ranks=ranks, special_tokens={})
         self.b = SentencePieceProcessor(model_file=piece_path)
+        if not all(bytes([c]) in ranks for c in range(256)):
+            raise ValueError("every byte has to be a token")
         self.a_bytes = [a_bytes.get(i, b"") for i in range(max(a_bytes) + 1)]
         self.b_bytes = piece_bytes(piece_path)
         self.a_length, self.b_length = (pa.array([len(b) for b in t], pa.int64()) for t in (self.a_bytes, self.b_bytes))
@@ -117,20 +119,22 @@ class TwoTokenizers:
         self.b_ids: list[list[int] | None] = []
 
     def _learn(self, segments: list[str]) -> None:
-        for s in segments:
-            self.known[s] = len(self.a_ids)
-            whole = s.encode()
-            a = self.a.encode_ordinary(s)
-            if s == " ":
+        # The piece tokenizer puts its mark, a space, in front; a line feed is never joined to it.
+        pieces = self.b.encode([s[1:] if s[0] == " " else s for s in segments], num_threads=1)
+        b_bytes, first = self.b_bytes, len(self.a_ids)
+        for s, b in zip(segments, pieces):
+            if s[0] != " ":
+                b = b[1:]
+            elif s == " ":
                 b = [self.space_id]
-            elif s[0] == " ":
-                b = self.b.encode(s[1:], num_threads=1)
+            if b"".join([b_bytes[i] for i in b]) == s.encode():
+                # Byte-level ids always give the bytes back.
+                self.a_ids.append(self.a.encode_ordinary(s))
+                self.b_ids.append(b)
             else:
-                # The tokenizer puts its mark in front; a line feed is never joined to it.
-                b = self.b.encode(s, num_threads=1)[1:]
-            fit = b"".join(self.a_bytes[i] for i in a) == whole and b"".join(self.b_bytes[i] for i in b) == whole
-            self.a_ids.append(a if fit else None)
-            self.b_ids.append(b if fit else None)
+                self.a_ids.append(None)
+                self.b_ids.append(None)
+        self.known.update(zip(segments, range(first, len(self.a_ids))))
 
     def codes(self, units: list[str]) -> list[list[int]]:
         """The numbers of each unit's segments; units begin with a space or line feed, as segments do."""
@@ -200,7 +204,8 @@ class AlignedUnits:
         a = _side(tokenizers.a_ids, flat, unit_of_segment, tokenizers.a_length, "a")
         b = _side(tokenizers.b_ids, flat, unit_of_segment, tokenizers.b_length, "b")
         links = a.join(b, keys="key", join_type="inner", use_threads=False).sort_by("key")
-        ends = np.unique(links["key"].to_numpy())
+        keys = links["key"].to_numpy()
+        ends = keys[np.flatnonzero(np.diff(keys, prepend=-1))]
         self.n_a, self.n_b = (
             np.bincount(t[c].to_numpy(), minlength=n) for t, c in ((a, "a_unit"), (b, "b_unit"))
         )
