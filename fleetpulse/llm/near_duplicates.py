@@ -187,11 +187,13 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     of their texts: linked by the id, a row each. Rows with a null id are
     returned with a null component and kept. An empty table gives no rows.
 
-    Equal sets are one class and only its smallest id is compared. First all
-    members of a bucket are candidates of one hub, so a bucket of n yields n - 1
-    pairs at most; links join documents to components. In buckets that then still
-    hold several components, every pair of different components is compared:
-    see ``_left_over``. Ids are integers.
+    Equal sets are one class and only its smallest id is compared. First every
+    document is a candidate of one hub, the smallest id that shares a bucket with
+    it; then of one member for each other component of its buckets, so a bucket
+    of n yields n - 1 pairs at most. Links join the components they connect and
+    are not needed any more. In buckets that then still hold several components,
+    every pair of different components is compared: see ``_left_over``. Sets are
+    made once, of the documents that share a bucket. Ids are integers.
     """
     named = docs.select(F.col("doc_id").alias("id"), F.col("text").cast("binary").alias("text"))
     sketches = stored(_sketched(named, size), "sketches")
@@ -207,35 +209,37 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     shared = entries.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
     entries = stored(entries.join(shared, "bucket"), "buckets")
 
+    # Tables that grow with the input are merged by key whatever their size, never broadcast.
+    wanted = entries.select("id").distinct().hint("merge")
+    sets = _sets(named.join(wanted, "id", "left_semi"), size).where(F.length("shingles") > 0)
+    sets = stored(sets, "sets")
+
     # An id with several texts links their classes.
     lowest = members.groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("high")).where("a <> high")
     links = stored(members.join(lowest, "id").where("rep <> a").select("a", F.col("rep").alias("b")), "links")
-    labels, turn = components(links) if not links.isEmpty() else links.toDF("node", "component"), 0
-    while True:
-        grouped = entries.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn(
-            "component", F.coalesce("component", "id")
-        )
-        if turn == STAR_ROUNDS:
-            break
-        # The hub of a bucket is one of its lowest component, drawn by a hash for each bucket and round:
-        # the first round has one hub for most of a group, later ones show the rest many members of it.
-        # Component and hash are one number of fixed width, which a hash aggregate can hold.
-        drawn = F.pmod(F.xxhash64("id", "bucket", F.lit(turn)), F.lit(10**18)).cast("decimal(18,0)")
-        order = F.col("component").cast("decimal(19,0)") * F.lit(Decimal(10**18)) + drawn
+    labels = components(links) if not links.isEmpty() else links.toDF("node", "component")
+    for turn in range(STAR_ROUNDS):
+        grouped = _grouped(entries, labels)
+        # The hub of a bucket is one of its lowest component: the smallest id at first, later one drawn by a
+        # hash for each bucket and round, which shows the rest many members of that component.
+        # Component and draw are one number of fixed width, which a hash aggregate can hold.
+        drawn = F.pmod(F.xxhash64("id", "bucket", F.lit(turn)), F.lit(10**18)) if turn else F.lit(0)
+        order = F.col("component").cast("decimal(19,0)") * F.lit(Decimal(10**18)) + drawn.cast("decimal(18,0)")
+        hub = F.min_by("id", order) if turn else F.min("id")
         hubs = (
             grouped.groupBy("bucket")
-            .agg(F.min_by("id", order).alias("hub"), F.min("component").alias("low"), F.max("component").alias("high"))
+            .agg(hub.alias("hub"), F.min("component").alias("low"), F.max("component").alias("high"))
             .where("low <> high")
         )
-        pairs = grouped.join(hubs, "bucket").where("component <> low").select(F.col("id").alias("a"), F.col("hub").alias("b"))
-        found = _confirmed(pairs.distinct(), reps, named, size, percent)
-        if found.isEmpty():
-            break
-        links = links.union(found)
-        labels, turn = components(links), turn + 1
-    found = _left_over(grouped, reps, named, size, percent)
+        pairs = grouped.join(hubs, "bucket").where("component <> low")
+        # One pair for each document, later for each component it might join.
+        pairs = pairs.groupBy(*["id", "low"][: turn + 1]).agg(F.min("hub").alias("b"))
+        found = _confirmed(pairs.select(F.col("id").alias("a"), "b"), reps, sets, percent)
+        if not found.isEmpty():
+            labels = _contracted(labels, found)
+    found = _left_over(_grouped(entries, labels), reps, sets, percent)
     if not found.isEmpty():
-        labels = components(links.union(found))
+        labels = _contracted(labels, found)
     return (
         members.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
         .select(
@@ -252,11 +256,30 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     )
 
 
-def _confirmed(pairs: DataFrame, reps: DataFrame, named: DataFrame, size: int, percent: int) -> DataFrame:
+def _grouped(entries: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members of buckets with their present ``component``; one without a label is its own."""
+    known = labels.withColumnRenamed("node", "id")
+    return entries.join(known, "id", "left").withColumn("component", F.coalesce("component", "id"))
+
+
+def _contracted(labels: DataFrame, found: DataFrame) -> DataFrame:
+    """``labels`` after links ``a, b``: these are drawn between the components they connect, once for each two."""
+    between = found
+    for side in ("a", "b"):
+        known = labels.select(F.col("node").alias(side), F.col("component").alias("_" + side))
+        between = between.join(known, side, "left").withColumn(side, F.coalesce("_" + side, side)).drop("_" + side)
+    between = between.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
+    moved = components(between)
+    old = labels.join(moved.toDF("component", "to"), "component", "left")
+    new = moved.join(labels.select("node"), "node", "left_anti")
+    return stored(old.select("node", F.coalesce("to", "component").alias("component")).union(new), "labels")
+
+
+def _confirmed(pairs: DataFrame, reps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The candidate pairs ``a, b`` that reach the similarity on their full sets.
 
-    The signatures rule out pairs far below it. Sets are then made for the
-    documents of the remaining pairs only, and travel once for each pair.
+    The signatures rule out pairs far below it. The sets of the remaining pairs
+    travel once for each pair.
     """
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -278,14 +301,13 @@ def _confirmed(pairs: DataFrame, reps: DataFrame, named: DataFrame, size: int, p
         near, T.StructType([pairs.schema["a"], pairs.schema["b"]])
     )
     close = stored(close, "pairs")
-    wanted = close.select(F.col("a").alias("id")).union(close.select(F.col("b").alias("id"))).distinct()
-    sets = stored(_sets(named.join(wanted, "id", "left_semi"), size), "sets")
     for side in ("a", "b"):
-        close = close.join(sets.select(F.col("id").alias(side), F.col("shingles").alias("s" + side)), side)
+        known = sets.select(F.col("id").alias(side), F.col("shingles").alias("s" + side))
+        close = close.hint("merge").join(known, side)
     return stored(_linked(close, percent).distinct(), "links")
 
 
-def _left_over(grouped: DataFrame, reps: DataFrame, named: DataFrame, size: int, percent: int) -> DataFrame:
+def _left_over(grouped: DataFrame, reps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links ``a, b`` that join what belongs together among the components of each bucket.
 
     Members of one bucket, of different components and with signatures that allow
@@ -322,10 +344,9 @@ def _left_over(grouped: DataFrame, reps: DataFrame, named: DataFrame, size: int,
     if families.isEmpty():
         return families.select(F.col("a").cast(kind), F.col("b").cast(kind))
     family = components(families).select(F.col("node").alias("id"), F.col("component").alias("key"))
-    wanted = family.select(F.col("id").cast(kind))
-    sets = _sets(named.join(wanted, "id", "left_semi"), size).where(F.length("shingles") > 0)
     component = grouped.select("id", "component").distinct()
-    sets = stored(sets.join(family, "id").join(component, "id"), "families")
+    members = family.withColumn("id", F.col("id").cast(kind)).join(component, "id").hint("merge")
+    sets = stored(sets.join(members, "id"), "families")
     blocks = sets.groupBy("key").agg(
         F.ceil(F.greatest(F.count("*") / FAMILY_BLOCK, F.sum(F.length("shingles")) / FAMILY_BYTES)).cast("int").alias("blocks")
     )
