@@ -11,7 +11,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetpulse.llm.common import CodeBlock, bounded_sample, id_remainder, mix, sums_between, text_blocks, word_hashes
+from fleetpulse.llm.common import (
+    CodeBlock,
+    hash_order,
+    id_remainder,
+    labelled_sample,
+    mix,
+    sums_between,
+    text_blocks,
+    word_hashes,
+)
 
 #: Labelled documents that the classifier is fitted on, at most.
 SAMPLE_ROWS = 4000
@@ -59,14 +68,11 @@ def features(block: CodeBlock, bits: int = BUCKET_BITS) -> Iterator[tuple[np.nda
         yield _bucket(grams * _GRAM_BASE, bits), inside, np.minimum(block.first - 1, size)
 
 
-def document_features(texts: list[str], bits: int = BUCKET_BITS) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Distinct buckets of each text and their shares of all its features."""
-    found = []
-    for text in texts:
-        all_ = [buckets[counted] for buckets, counted, _ in features(CodeBlock([text]), bits)]
-        buckets, counts = np.unique(np.concatenate(all_), return_counts=True)
-        found.append((buckets, (counts / max(1, counts.sum())).astype(np.float32)))
-    return found
+def document_features(text: str, bits: int = BUCKET_BITS) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct buckets of a text and their shares of all its features."""
+    all_ = [buckets[counted] for buckets, counted, _ in features(CodeBlock([text]), bits)]
+    buckets, counts = np.unique(np.concatenate(all_), return_counts=True)
+    return buckets.astype(np.int32), (counts / max(1, counts.sum())).astype(np.float32)
 
 
 @dataclass
@@ -107,7 +113,7 @@ def fit(
     if len(texts):
         share = (sum(labels) + 0.5) / (len(labels) + 1)
         bias[:] = np.log([1 - share, share])
-    rows = document_features(texts, bits)
+    rows = [document_features(text, bits) for text in texts]
     steps, step = epochs * len(rows), 0
     for _ in range(epochs):
         for i in random.permutation(len(rows)):
@@ -129,10 +135,27 @@ def fit(
 
 
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> QualityModel:
-    """Fit on a bounded sample of the labelled documents that are not held out."""
+    """Fit on a bounded sample of the labelled documents that are not held out.
+
+    The sample, of ``sample_rows`` labels, is fitted in one task; only the weights
+    come to the driver.
+    """
     usable = labels.where(id_remainder("doc_id", 4) != 2).where("quality in (0, 1)")
-    rows = bounded_sample(docs, usable, "quality", sample_rows)
-    return fit([t for t, _ in rows], [int(y) for _, y in rows])
+    sample = labelled_sample(docs, usable, "quality", sample_rows).withColumn("doc_id", F.col("doc_id").cast("string"))
+
+    def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [row for rows in batches for row in zip(*(c.to_pylist() for c in rows.columns))]
+        found.sort(key=lambda r: (hash_order(r[0]), r[0], r[1], r[2]))
+        model = fit([r[1] for r in found], [int(r[2]) for r in found])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([model.weight.astype(np.float32).tobytes()], pa.binary()), pa.array([model.bias], pa.float64())],
+            names=["weight", "bias"],
+        )
+
+    row = sample.repartition(1).mapInArrow(fitted, "weight binary, bias double").first()
+    if row is None:
+        return fit([], [])
+    return QualityModel(np.frombuffer(row["weight"], np.float32), row["bias"])
 
 
 def score_quality(docs: DataFrame, model: QualityModel) -> DataFrame:

@@ -29,7 +29,7 @@ def test_block_words_and_features_are_those_of_single_texts():
     for text, score in zip(rows, together):
         assert abs(model.scores([text])[0] - score) < 1e-9
         if text and text.split():
-            buckets, shares = document_features([text], 10)[0]
+            buckets, shares = document_features(text, 10)
             assert abs(1 / (1 + np.exp(-(model.weight[buckets] @ shares + model.bias))) - score) < 1e-5
 
 
