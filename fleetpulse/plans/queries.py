@@ -485,6 +485,61 @@ def lag_by_turbine(spark, folder):
     return _rounded(rates.lag_by_turbine(feed.readings(spark, folder)), "lag_s")
 
 
+# --- the same lists and rates from stored tables -------------------------------
+
+
+def _now(spark, folder):
+    return feed.events(spark, folder).agg(F.max(F.col("ts").cast("timestamp"))).first()[0]
+
+
+def _stored_alerts(spark, folder) -> Store:
+    """All alerts in the alert table, in four batches of one processing time after the other."""
+    store = Store(scratch_folder(spark, "alerts"))
+    arriving = alerts(spark, folder)
+    first, last = (arriving.select(f(F.unix_micros("alert_ts"))).scalar() for f in (F.min, F.max))
+    for batch in _four_batches(arriving, F.floor((F.unix_micros("alert_ts") - first) * 4 / (last - first + 1))):
+        store.insert_alerts(batch)
+    return store
+
+
+def _stored_dlq(spark, folder) -> Store:
+    store = Store(scratch_folder(spark, "dlq"))
+    filed = checked(spark, folder).withColumn(tables.EVENT_DAY, F.to_date("timestamp"))
+    store.insert_dlq(rejected(filed, F.col("timestamp"), keep=[tables.EVENT_DAY]))
+    return store
+
+
+def alert_rate_by_rule_stored(spark, folder):
+    now = _now(spark, folder)
+    window = _stored_alerts(spark, folder).within(spark, "alerts", "alert_ts", now, DAY)
+    return rates.alert_rate(window, now, DAY)
+
+
+def dlq_rate_by_type_stored(spark, folder):
+    now = _now(spark, folder)
+    return rates.dlq_rate(_stored_dlq(spark, folder).within(spark, "dlq", "failed_at", now, DAY), now, DAY)
+
+
+def inserts_per_minute_stored(spark, folder):
+    now, store = _now(spark, folder), Store(scratch_folder(spark, "store"))
+    store.insert_telemetry(feed.readings(spark, folder).withColumns({"offset": F.col("seq"), "partition": F.lit(0)}))
+    return rates.inserts_per_minute(store.within(spark, "telemetry", "ingested_at", now, 60), now)
+
+
+def recent_alerts_stored(spark, folder):
+    """The newest alerts by event time, from as many files as it takes."""
+    return comparable(reports.recent_alerts(_stored_alerts(spark, folder).newest(spark, "alerts", "recorded_at", 50)))
+
+
+def recent_alerts_by_alert_ts_stored(spark, folder):
+    newest = _stored_alerts(spark, folder).newest(spark, "alerts", "alert_ts", 20)
+    return comparable(reports.recent_alerts_by_alert_ts(newest))
+
+
+def recent_dlq_stored(spark, folder):
+    return comparable(reports.recent_dlq(_stored_dlq(spark, folder).newest(spark, "dlq", "failed_at", 20)))
+
+
 # --- streams -------------------------------------------------------------------
 
 
@@ -618,6 +673,12 @@ QUERIES: dict[str, Query] = {
     "alert_rate_series": alert_rate_series,
     "sensor_alert_rate": sensor_alert_rate,
     "dlq_rate_by_type": dlq_rate_by_type,
+    "alert_rate_by_rule_stored": alert_rate_by_rule_stored,
+    "dlq_rate_by_type_stored": dlq_rate_by_type_stored,
+    "inserts_per_minute_stored": inserts_per_minute_stored,
+    "recent_alerts_stored": recent_alerts_stored,
+    "recent_alerts_by_alert_ts_stored": recent_alerts_by_alert_ts_stored,
+    "recent_dlq_stored": recent_dlq_stored,
     "latency_quantiles": latency_quantiles,
     "latency_quantiles_by_turbine": latency_quantiles_by_turbine,
     "lag_by_turbine": lag_by_turbine,

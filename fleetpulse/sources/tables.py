@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from fleetpulse.functions.times import instant, seconds_before
 from fleetpulse.operators.dedup import first_per_key
+from fleetpulse.sources.file_index import FileIndex
 
 EVENT_DAY = "event_date"
 BUCKET_DAY = "bucket_date"
@@ -89,13 +90,16 @@ def insert_if_absent(
     day: str = EVENT_DAY,
     span: str = "recorded_at",
     reach: Reach | None = None,
+    index: FileIndex | None = None,
 ) -> None:
     """Append the rows whose key is neither stored nor earlier in the batch.
 
     Equal keys share their day and their ``span`` value. So only the stored days
     between the first and last of the batch are read, of those only the row
     groups in its range, and of those only the key columns; the day is one of
-    the keys that are joined. Writing a batch twice changes nothing, which makes
+    the keys that are joined. With an ``index`` of ``span`` only files that reach
+    into the batch's ranges are opened, however many the day has by then, and
+    the new files are entered. Writing a batch twice changes nothing, which makes
     a restarted stream safe.
     """
     spark = batch.sparkSession
@@ -105,9 +109,16 @@ def insert_if_absent(
         return
     fresh = first_per_key(batch.select(*dict.fromkeys([*wanted, *arrival])), keys, arrival).select(*wanted)
     searched = [f for f in batch.schema if f.name in {*keys, span}] + [T.StructField(day, T.DateType())]
-    stored = read_table(spark, path, T.StructType(searched)).where(reach.covers(day, span)).select(*keys, day)
+    if index is None:
+        stored = read_table(spark, path, T.StructType(searched))
+    else:
+        days = [row[0] for row in batch.select(day).distinct().collect() if row[0] is not None]
+        stored = index.read(spark, index.touched_by(batch, span, days), T.StructType(searched))
+    stored = stored.where(reach.covers(day, span)).select(*keys, day)
     new = fresh.join(stored, [*keys, day], "left_anti").select(*wanted)
     spread_by_day(new, day).write.mode("append").option("compression", WRITTEN).partitionBy(day).parquet(path)
+    if index is not None:
+        index.update(spark, days)
 
 
 def replace_days(df: DataFrame, path: str, day: str, compression: str = WRITTEN) -> None:

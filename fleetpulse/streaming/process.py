@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 from functools import reduce
 from operator import add
 
@@ -18,6 +18,7 @@ from fleetpulse.operators.dedup import ALERT_KEY, DLQ_KEY, READING_KEY
 from fleetpulse.operators.rules import RULES, Rule, detect
 from fleetpulse.operators.validate import accepted, check_messages, rejected
 from fleetpulse.schemas import ALERT_COLUMNS, ALERT_SCHEMA, BATCH_STATS_SCHEMA, DLQ_SCHEMA, TELEMETRY_SCHEMA, with_day
+from fleetpulse.sources.file_index import FileIndex
 from fleetpulse.sources.logs import number_lines
 from fleetpulse.sources.messages import alerts_from_messages
 from fleetpulse.sources.tables import EVENT_DAY, Reach, file_by_day, insert_if_absent, read_table
@@ -26,6 +27,12 @@ from fleetpulse.sources.tables import EVENT_DAY, Reach, file_by_day, insert_if_a
 FLUSH_SECONDS = 2.0
 
 ARRIVAL = ("offset", "partition")
+# Per table its layout, and the columns whose span is kept for every file: what copies share, and processing time.
+INDEXED = {
+    "telemetry": (TELEMETRY_SCHEMA, ("recorded_at", "ingested_at")),
+    "alerts": (ALERT_SCHEMA, ("recorded_at", "alert_ts")),
+    "dlq": (DLQ_SCHEMA, ("original_offset", "failed_at")),
+}
 Sink = Callable[[DataFrame], None]
 
 
@@ -50,18 +57,44 @@ class Store:
     def batch_stats(self, spark: SparkSession) -> DataFrame:
         return read_table(spark, self.path("batch_stats"), BATCH_STATS_SCHEMA)
 
+    def index(self, table: str) -> FileIndex:
+        """What times and offsets the files of a table span."""
+        schema, columns = INDEXED[table]
+        return FileIndex(self.path(table), with_day(schema), columns)
+
+    def within(self, spark: SparkSession, table: str, column: str, as_of: datetime, seconds: float) -> DataFrame:
+        """Rows whose ``column``, a processing time for example, lies in the ``seconds`` up to ``as_of``.
+
+        Opens the files that reach into the window, not the days. The start is
+        included; operators with an open start leave it out.
+        """
+        return self.index(table).window(spark, column, as_of - timedelta(seconds=seconds), as_of)
+
+    def newest(self, spark: SparkSession, table: str, column: str, n: int, where: Column | None = None) -> DataFrame:
+        """Few rows that hold the ``n`` newest by ``column``, for the lists of recent rows."""
+        return self.index(table).newest(spark, column, n, where)
+
     def insert_telemetry(self, readings: DataFrame, reach: Reach | None = None) -> None:
         """Good readings with their message position; the first arrival is stored."""
         columns = TELEMETRY_SCHEMA.fieldNames()
-        insert_if_absent(file_by_day(readings), self.path("telemetry"), READING_KEY, ARRIVAL, columns, reach=reach)
+        insert_if_absent(
+            file_by_day(readings), self.path("telemetry"), READING_KEY, ARRIVAL, columns,
+            reach=reach, index=self.index("telemetry"),
+        )
 
     def insert_alerts(self, alerts: DataFrame, reach: Reach | None = None) -> None:
-        insert_if_absent(file_by_day(alerts), self.path("alerts"), ALERT_KEY, ("alert_ts",), ALERT_COLUMNS, reach=reach)
+        insert_if_absent(
+            file_by_day(alerts), self.path("alerts"), ALERT_KEY, ("alert_ts",), ALERT_COLUMNS,
+            reach=reach, index=self.index("alerts"),
+        )
 
     def insert_dlq(self, dlq: DataFrame, reach: Reach | None = None) -> None:
         """Dead letters with ``event_date``, the day their message arrived."""
         columns = DLQ_SCHEMA.fieldNames()
-        insert_if_absent(dlq, self.path("dlq"), DLQ_KEY, ("failed_at",), columns, span="original_offset", reach=reach)
+        insert_if_absent(
+            dlq, self.path("dlq"), DLQ_KEY, ("failed_at",), columns,
+            span="original_offset", reach=reach, index=self.index("dlq"),
+        )
 
     def append_batch_stats(self, stats: DataFrame) -> None:
         stats.write.mode("append").parquet(self.path("batch_stats"))
