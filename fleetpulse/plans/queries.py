@@ -19,6 +19,7 @@ from fleetpulse.plans import event_feed as feed
 from fleetpulse.schemas import NUMERIC_BOUNDS, READING_COLUMNS, TELEMETRY_SCHEMA, with_day
 from fleetpulse.session import scratch_folder
 from fleetpulse.sources import extracts, logs, tables
+from fleetpulse.sources.latest_table import LatestTable
 from fleetpulse.sources.messages import (
     alert_messages,
     alerts_from_messages,
@@ -28,7 +29,7 @@ from fleetpulse.sources.messages import (
 )
 from fleetpulse.sources.rollup_tables import refresh_stored_rollup, rollup_schema, store_rollup
 from fleetpulse.streaming.process import MessageProcessor, Store, process_stream
-from fleetpulse.streaming.windows import dedup_stream, rollup_stream, stream_telemetry
+from fleetpulse.streaming.windows import dedup_stream, latest_stream, rollup_stream, stream_telemetry
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -597,6 +598,27 @@ def stream_rollup_5min(spark, folder):
     return comparable(table.drop(tables.BUCKET_DAY))
 
 
+def _merged_latest(spark, folder) -> LatestTable:
+    """The table of newest readings, merged from four batches whose times are mixed, the last of them twice."""
+    base = scratch_folder(spark, "latest")
+    source, latest = f"{base}/telemetry", LatestTable(f"{base}/latest")
+    arriving = feed.readings(spark, folder)
+    for batch in _four_batches(arriving, F.xxhash64("turbine_id", "recorded_at")):
+        tables.insert_if_absent(tables.file_by_day(batch), source, READING_KEY, ["seq"], TELEMETRY_COLUMNS)
+        stream = latest_stream(stream_telemetry(spark, source), latest.path, f"{base}/checkpoint", drain=True)
+        stream.start().awaitTermination()
+    latest.merge(batch.join(tables.read_table(spark, source, with_day(TELEMETRY_SCHEMA)).select("event_id"), "event_id", "left_semi"))
+    return latest
+
+
+def latest_status_merged(spark, folder):
+    return comparable(_merged_latest(spark, folder).latest_status(spark))
+
+
+def thermal_health_merged(spark, folder):
+    return comparable(status.thermal_list(_merged_latest(spark, folder).thermal_health(spark)))
+
+
 def stream_dedup(spark, folder):
     """All columns of the first arrival, from batches in order of arrival whose times are mixed."""
     base = scratch_folder(spark, "dedup")
@@ -688,5 +710,7 @@ QUERIES: dict[str, Query] = {
     "batch_stats": batch_stats,
     "batch_metrics": batch_metrics,
     "stream_rollup_5min": stream_rollup_5min,
+    "latest_status_merged": latest_status_merged,
+    "thermal_health_merged": thermal_health_merged,
     "stream_dedup": stream_dedup,
 }

@@ -14,6 +14,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from fleetpulse.operators.dedup import READING_KEY
 from fleetpulse.operators.rollups import Rollup
 from fleetpulse.schemas import TELEMETRY_SCHEMA, with_day
+from fleetpulse.sources.latest_table import LatestTable
 from fleetpulse.sources.rollup_tables import refresh_touched
 from fleetpulse.sources.tables import file_by_day, insert_if_absent, read_table
 
@@ -54,6 +55,21 @@ def rollup_stream(
     return _writer(telemetry, write, f"rollup-{rollup.name}", checkpoint, drain, every_seconds or rollup.seconds)
 
 
+def latest_stream(
+    telemetry: DataFrame, path: str, checkpoint: str, drain: bool = False, every_seconds: float = 2.0
+) -> DataStreamWriter:
+    """Keep the newest reading of every machine at ``path`` current with the telemetry table.
+
+    ``telemetry`` is the stream of that table's new rows. Merging a batch again
+    changes nothing.
+    """
+
+    def write(changes: DataFrame, batch_id: int) -> None:
+        LatestTable(path).merge(changes)
+
+    return _writer(telemetry, write, "latest", checkpoint, drain, every_seconds)
+
+
 def dedup_stream(
     readings: DataFrame,
     path: str,
