@@ -310,12 +310,12 @@ def _confirmed(pairs: DataFrame, reps: DataFrame, sets: DataFrame, percent: int)
 def _left_over(grouped: DataFrame, reps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links ``a, b`` that join what belongs together among the components of each bucket.
 
-    Members of one bucket, of different components and with signatures that allow
-    the similarity, are of one family; a bucket yields a forest that spans its
-    families, not their pairs. Inside a family the full sets of all pairs of
-    different components are compared, but for those that links found in the
-    same task join already. Large buckets and families are cut into blocks, and
-    a task has a pair of blocks.
+    Components with members of one bucket whose signatures allow the similarity
+    are of one family; a bucket yields a forest that spans its families, so at
+    most one pair for a component, not one for a member. Inside a family the full
+    sets of all pairs of different components are compared, but for those that
+    links found in the same task join already. Large buckets and families are cut
+    into blocks, and a task has a pair of blocks.
     """
     kind = grouped.schema["id"].dataType
     several = (
@@ -324,8 +324,8 @@ def _left_over(grouped: DataFrame, reps: DataFrame, sets: DataFrame, percent: in
         .where("low <> high")
         .select("bucket", F.ceil(F.col("n") / BUCKET_BLOCK).cast("int").alias("blocks"))
     )
-    rest = grouped.join(several, "bucket").select(F.col("bucket").alias("key"), "id", "component", "blocks")
-    rest = _block_pairs(rest.join(reps.select("id", "n_shingles", "signature"), "id"))
+    mixed = grouped.join(several, "bucket").select(F.col("bucket").alias("key"), "id", "component", "blocks")
+    rest = _block_pairs(mixed.join(reps.select("id", "n_shingles", "signature"), "id"))
 
     def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def edges() -> Iterator[np.ndarray]:
@@ -336,16 +336,16 @@ def _left_over(grouped: DataFrame, reps: DataFrame, sets: DataFrame, percent: in
                 def near(x: int, others: np.ndarray) -> np.ndarray:
                     return _allowed(signatures[others], signatures[x], sizes[others], sizes[x], percent)
 
-                yield ids[_spanning(np.arange(len(ids)), component, left, right, near)]
+                labels = np.unique(component, return_inverse=True)[1]
+                yield component[_spanning(labels, component, left, right, near)]
 
         yield from _pair_batches(edges())
 
     families = stored(rest.mapInArrow(alike, "a long, b long").distinct(), "families")
     if families.isEmpty():
         return families.select(F.col("a").cast(kind), F.col("b").cast(kind))
-    family = components(families).select(F.col("node").alias("id"), F.col("component").alias("key"))
-    component = grouped.select("id", "component").distinct()
-    members = family.withColumn("id", F.col("id").cast(kind)).join(component, "id").hint("merge")
+    family = components(families).select(F.col("node").alias("component"), F.col("component").alias("key"))
+    members = mixed.select("id", "component").distinct().join(family, "component").hint("merge")
     sets = stored(sets.join(members, "id"), "families")
     blocks = sets.groupBy("key").agg(
         F.ceil(F.greatest(F.count("*") / FAMILY_BLOCK, F.sum(F.length("shingles")) / FAMILY_BYTES)).cast("int").alias("blocks")
