@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -11,57 +10,76 @@ from pyspark.sql import functions as F
 from fleetpulse.functions.times import bucket_ceil, bucket_floor, instant, seconds_before, time_range
 
 
+# How a measure follows from the readings of a bucket.
+AVG, MAX, MIN, COUNT, NOT_ONLINE = "avg", "max", "min", "count", "not online"
+
+
+@dataclass(frozen=True)
+class Measure:
+    kind: str
+    column: str | None
+    name: str
+
+    def of_readings(self) -> Column:
+        if self.kind == COUNT:
+            column = F.count(F.lit(1))
+        elif self.kind == NOT_ONLINE:
+            column = F.count_if(F.col("status") != "online")
+        else:
+            column = {AVG: F.avg, MAX: F.max, MIN: F.min}[self.kind](self.column)
+        return column.alias(self.name)
+
+
 @dataclass(frozen=True)
 class Rollup:
     """A summary table: bucket width, measures, and the range a refresh covers."""
 
     name: str
     seconds: int
-    measures: Callable[[], list[Column]]
+    spec: tuple[Measure, ...]
     start_offset: int
     end_offset: int
 
-
-def _five_minute_measures() -> list[Column]:
-    return [
-        F.avg("power_output_kw").alias("avg_power_kw"),
-        F.avg("wind_speed_ms").alias("avg_wind_speed_ms"),
-        F.avg("rotor_rpm").alias("avg_generator_speed"),
-        F.max("power_output_kw").alias("max_power_kw"),
-        F.avg("temperature_c").alias("avg_temp_c"),
-        F.max("temperature_c").alias("max_temp_c"),
-        F.avg("vibration_mms").alias("avg_vibration"),
-        F.avg("bearing_temp_c").alias("avg_bearing_temp_c"),
-        F.max("bearing_temp_c").alias("max_bearing_temp_c"),
-        F.avg("gearbox_sump_temp_c").alias("avg_gearbox_sump_temp_c"),
-        F.avg("gear_temp_c").alias("avg_gear_temp_c"),
-        F.avg("ambient_temp_c").alias("avg_ambient_temp_c"),
-        F.count(F.lit(1)).alias("sample_count"),
-    ]
-
-
-def _hourly_measures() -> list[Column]:
-    return [
-        F.avg("power_output_kw").alias("avg_power_kw"),
-        F.max("power_output_kw").alias("max_power_kw"),
-        F.min("power_output_kw").alias("min_power_kw"),
-        F.avg("wind_speed_ms").alias("avg_wind_ms"),
-        F.max("wind_speed_ms").alias("max_wind_ms"),
-        F.avg("rotor_rpm").alias("avg_rpm"),
-        F.avg("temperature_c").alias("avg_temp_c"),
-        F.max("temperature_c").alias("max_temp_c"),
-        F.avg("vibration_mms").alias("avg_vibration"),
-        F.max("vibration_mms").alias("max_vibration"),
-        F.avg("bearing_temp_c").alias("avg_bearing_temp_c"),
-        F.avg("gearbox_sump_temp_c").alias("avg_gearbox_sump_temp_c"),
-        F.count(F.lit(1)).alias("sample_count"),
-        F.count_if(F.col("status") != "online").alias("non_online_count"),
-    ]
-
+    def measures(self) -> list[Column]:
+        return [m.of_readings() for m in self.spec]
+
+
+# The measures of both summaries.
+FIVE_MINUTE_MEASURES = (
+    Measure(AVG, "power_output_kw", "avg_power_kw"),
+    Measure(AVG, "wind_speed_ms", "avg_wind_speed_ms"),
+    Measure(AVG, "rotor_rpm", "avg_generator_speed"),
+    Measure(MAX, "power_output_kw", "max_power_kw"),
+    Measure(AVG, "temperature_c", "avg_temp_c"),
+    Measure(MAX, "temperature_c", "max_temp_c"),
+    Measure(AVG, "vibration_mms", "avg_vibration"),
+    Measure(AVG, "bearing_temp_c", "avg_bearing_temp_c"),
+    Measure(MAX, "bearing_temp_c", "max_bearing_temp_c"),
+    Measure(AVG, "gearbox_sump_temp_c", "avg_gearbox_sump_temp_c"),
+    Measure(AVG, "gear_temp_c", "avg_gear_temp_c"),
+    Measure(AVG, "ambient_temp_c", "avg_ambient_temp_c"),
+    Measure(COUNT, None, "sample_count"),
+)
+HOURLY_MEASURES = (
+    Measure(AVG, "power_output_kw", "avg_power_kw"),
+    Measure(MAX, "power_output_kw", "max_power_kw"),
+    Measure(MIN, "power_output_kw", "min_power_kw"),
+    Measure(AVG, "wind_speed_ms", "avg_wind_ms"),
+    Measure(MAX, "wind_speed_ms", "max_wind_ms"),
+    Measure(AVG, "rotor_rpm", "avg_rpm"),
+    Measure(AVG, "temperature_c", "avg_temp_c"),
+    Measure(MAX, "temperature_c", "max_temp_c"),
+    Measure(AVG, "vibration_mms", "avg_vibration"),
+    Measure(MAX, "vibration_mms", "max_vibration"),
+    Measure(AVG, "bearing_temp_c", "avg_bearing_temp_c"),
+    Measure(AVG, "gearbox_sump_temp_c", "avg_gearbox_sump_temp_c"),
+    Measure(COUNT, None, "sample_count"),
+    Measure(NOT_ONLINE, None, "non_online_count"),
+)
 
 # Refresh every 5 min over [now-30 min, now-1 min], every 10 min over [now-3 h, now-10 min].
-FIVE_MINUTES = Rollup("metrics_5min", 300, _five_minute_measures, start_offset=1800, end_offset=60)
-HOURLY = Rollup("metrics_1h", 3600, _hourly_measures, start_offset=10800, end_offset=600)
+FIVE_MINUTES = Rollup("metrics_5min", 300, FIVE_MINUTE_MEASURES, start_offset=1800, end_offset=60)
+HOURLY = Rollup("metrics_1h", 3600, HOURLY_MEASURES, start_offset=10800, end_offset=600)
 
 
 def build_rollup(telemetry: DataFrame, rollup: Rollup) -> DataFrame:

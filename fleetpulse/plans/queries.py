@@ -27,9 +27,16 @@ from fleetpulse.sources.messages import (
     dlq_messages,
     reading_messages,
 )
+from fleetpulse.sources.partial_rollups import PartialRollups
 from fleetpulse.sources.rollup_tables import refresh_stored_rollup, rollup_schema, store_rollup
 from fleetpulse.streaming.process import MessageProcessor, Store, process_stream
-from fleetpulse.streaming.windows import dedup_stream, latest_stream, rollup_stream, stream_telemetry
+from fleetpulse.streaming.windows import (
+    dedup_stream,
+    latest_stream,
+    partial_rollup_stream,
+    rollup_stream,
+    stream_telemetry,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -598,6 +605,30 @@ def stream_rollup_5min(spark, folder):
     return comparable(table.drop(tables.BUCKET_DAY))
 
 
+def _partial_rollups(spark, folder) -> PartialRollups:
+    """Partial sums of four batches whose times are mixed; old days compacted after the second, which then runs again."""
+    base = scratch_folder(spark, "parts")
+    source, parts = f"{base}/telemetry", PartialRollups(f"{base}/parts")
+    for n, batch in enumerate(_four_batches(feed.readings(spark, folder), F.xxhash64("turbine_id", "recorded_at"))):
+        tables.insert_if_absent(tables.file_by_day(batch), source, READING_KEY, ["seq"], TELEMETRY_COLUMNS)
+        stream = partial_rollup_stream(stream_telemetry(spark, source), parts.path, f"{base}/checkpoint", drain=True)
+        stream.start().awaitTermination()
+        if n == 1:
+            second = tables.read_table(spark, source, with_day(TELEMETRY_SCHEMA)).join(batch.select("event_id"), "event_id", "left_semi")
+            for day in tables.stored_days(spark, source, tables.EVENT_DAY)[:2]:
+                parts.compact(spark, day)
+            parts.add(second, n)
+    return parts
+
+
+def partial_rollup_5min(spark, folder):
+    return comparable(_partial_rollups(spark, folder).read(spark, FIVE_MINUTES))
+
+
+def partial_rollup_1h(spark, folder):
+    return comparable(_partial_rollups(spark, folder).read(spark, HOURLY))
+
+
 def _merged_latest(spark, folder) -> LatestTable:
     """The table of newest readings, merged from four batches whose times are mixed, the last of them twice."""
     base = scratch_folder(spark, "latest")
@@ -710,6 +741,8 @@ QUERIES: dict[str, Query] = {
     "batch_stats": batch_stats,
     "batch_metrics": batch_metrics,
     "stream_rollup_5min": stream_rollup_5min,
+    "partial_rollup_5min": partial_rollup_5min,
+    "partial_rollup_1h": partial_rollup_1h,
     "latest_status_merged": latest_status_merged,
     "thermal_health_merged": thermal_health_merged,
     "stream_dedup": stream_dedup,

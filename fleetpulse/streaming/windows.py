@@ -15,6 +15,7 @@ from fleetpulse.operators.dedup import READING_KEY
 from fleetpulse.operators.rollups import Rollup
 from fleetpulse.schemas import TELEMETRY_SCHEMA, with_day
 from fleetpulse.sources.latest_table import LatestTable
+from fleetpulse.sources.partial_rollups import PartialRollups
 from fleetpulse.sources.rollup_tables import refresh_touched
 from fleetpulse.sources.tables import file_by_day, insert_if_absent, read_table
 
@@ -55,6 +56,22 @@ def rollup_stream(
     return _writer(telemetry, write, f"rollup-{rollup.name}", checkpoint, drain, every_seconds or rollup.seconds)
 
 
+def partial_rollup_stream(
+    telemetry: DataFrame, path: str, checkpoint: str, drain: bool = False, every_seconds: float = 60.0
+) -> DataStreamWriter:
+    """Keep the partial sums at ``path`` current; both rollups are read from them.
+
+    ``telemetry`` is the stream of the telemetry table's new rows. A batch reads
+    its own rows only, however late they are, and one that runs again writes the
+    same parts.
+    """
+
+    def write(changes: DataFrame, batch_id: int) -> None:
+        PartialRollups(path).add(changes, batch_id)
+
+    return _writer(telemetry, write, "partial-rollups", checkpoint, drain, every_seconds)
+
+
 def latest_stream(
     telemetry: DataFrame, path: str, checkpoint: str, drain: bool = False, every_seconds: float = 2.0
 ) -> DataStreamWriter:
