@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from fleetpulse.llm.common import id_remainder, mix, stored
 
 #: Classes, and words of each: the most frequent words of the corpus are outputs of their own, all others are one.
-CLASSES, CLASS_WORDS = 32, 32
+CLASSES, CLASS_WORDS = 16, 32
 #: Words that every task knows with their counts, at most, and bytes of such a word; the rest is joined.
 KNOWN, LONGEST = 1 << 17, 1024
 #: Rows of each of the two weight tables; features are hashed to them.
