@@ -146,11 +146,13 @@ def nearest(
     ties go to the smaller id. Unusable vectors (``valid_vectors``) and those not of
     the most common dimension take no part on either side. Ids are integers;
     rows that repeat an id are vectors of their own, none of which is a
-    neighbour to a query of that id. Other columns are ignored.
+    neighbour to a query of that id, and queries of their own: each gets its k
+    rows, numbered from 1, under the shared id. Other columns are ignored.
 
     Every row is encoded. Blocks of queries meet blocks of the index, one pair
-    in a task; only the k best of each pair go on. No block depends on where a
-    vector lies, so equal vectors in large number are spread like all others.
+    in a task; only the k best of each pair go on. Blocks are dealt by the
+    number of the stored row, so rows that repeat in large number are spread
+    like all others.
     """
     spark = vectors.sparkSession
     known = valid_vectors(vectors, vec_id, vector)
@@ -162,15 +164,15 @@ def nearest(
     sample = known.orderBy(F.xxhash64("vec_id")).limit(SAMPLE_ROWS).select("vector").collect()
     coder = OneBitCoder(np.array([r[0] for r in sample]).mean(axis=0))
 
-    index = stored(
-        known.mapInArrow(_encoder(coder), "vec_id long, vector binary, bits binary, factor double, error double"), "codes"
-    )
-    packed = stored(asked.mapInArrow(_packer, "vec_id long, vector binary"), "asked")
+    numbered = F.monotonically_increasing_id().alias("row")
+    codes = known.mapInArrow(_encoder(coder), "vec_id long, vector binary, bits binary, factor double, error double")
+    index = stored(codes.select("*", numbered), "codes")
+    packed = stored(asked.mapInArrow(_packer, "vec_id long, vector binary").select("*", numbered), "asked")
     n_index = max(1, -(-index.count() // index_block))
     n_query = max(1, -(-packed.count() // query_block))
 
     def blocks(df: DataFrame, own: str, own_blocks: int, other: str, other_blocks: int) -> DataFrame:
-        return df.withColumn(own, F.pmod(F.xxhash64("vec_id", "vector"), F.lit(own_blocks)).cast("int")).withColumn(
+        return df.withColumn(own, F.pmod(F.xxhash64("row"), F.lit(own_blocks)).cast("int")).withColumn(
             other, F.explode(F.sequence(F.lit(0), F.lit(other_blocks - 1)))
         )
 
@@ -179,8 +181,8 @@ def nearest(
         .groupBy("ib", "qb")
         .cogroup(blocks(packed, "qb", n_query, "ib", n_index).groupBy("ib", "qb"))
     )
-    found = pairs.applyInPandas(_searcher(coder, k), "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = pairs.applyInPandas(_searcher(coder, k), "query_row long, query_id long, vec_id long, score double")
+    order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= k)
@@ -218,13 +220,14 @@ def _matrix(packed: Iterable[bytes]) -> np.ndarray:
 def _searcher(coder: OneBitCoder, k: int) -> Callable:
     def search(index: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         if not len(index) or not len(asked):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+            return pd.DataFrame({"query_row": [], "query_id": [], "vec_id": [], "score": []})
         query_ids, ids = asked["vec_id"].to_numpy(), index["vec_id"].to_numpy()
         bits = np.frombuffer(b"".join(index["bits"]), np.uint8).reshape(len(index), -1)
         codes = (bits, index["factor"].to_numpy(), index["error"].to_numpy())
         q, v, score = nearest_in_block(
             coder, query_ids, _matrix(asked["vector"]), ids, _matrix(index["vector"]), codes, k
         )
-        return pd.DataFrame({"query_id": query_ids[q], "vec_id": ids[v], "score": score})
+        rows = asked["row"].to_numpy()[q]
+        return pd.DataFrame({"query_row": rows, "query_id": query_ids[q], "vec_id": ids[v], "score": score})
 
     return search

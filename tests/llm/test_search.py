@@ -77,6 +77,16 @@ def test_odd_vectors(spark):
     assert nearest(alone, alone).count() == 0
 
 
+def test_queries_of_one_id(spark):
+    source = np.random.default_rng(5)
+    rows = [(i, v.tolist()) for i, v in enumerate(source.standard_normal((30, 2)), 1)]
+    asked = [(0, [1.0, 0.0]), (0, [0.0, 1.0])]
+    found = nearest(frame(spark, rows), frame(spark, asked), k=4).collect()
+    expected = [i for x in asked for i, _ in brute(rows, [x], 4)[0]]
+    assert sorted(r["vec_id"] for r in found) == sorted(expected)
+    assert sorted(r["rank"] for r in found) == [1, 1, 2, 2, 3, 3, 4, 4]
+
+
 def test_query(spark, sf_dir):
     rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding").collect()]
     found = ours(QUERIES["op1_nearest"](spark, sf_dir))
