@@ -43,10 +43,10 @@ def normal(text: str) -> str:
     return _BLANKS.sub(" ", text.lower()).strip()
 
 
-def passage_keys(text: str) -> list[tuple[bytes, int]]:
-    """Hash and length of the whole passage and of each of its lines, as far as they are not blank."""
+def passage_keys(text: str) -> list[tuple[bytes, int, int]]:
+    """Hash, length and number of words of the whole passage and of each of its lines, as far as they are not blank."""
     parts = dict.fromkeys(normal(p) for p in [text, *text.split("\n")])
-    return [(hashlib.md5(p.encode()).digest(), len(p)) for p in parts if p]
+    return [(hashlib.md5(p.encode()).digest(), len(p), p.count(" ") + 1) for p in parts if p]
 
 
 def said_keys(own: str) -> list[bytes]:
@@ -56,7 +56,12 @@ def said_keys(own: str) -> list[bytes]:
     return [hashlib.md5(p.encode()).digest() for p in parts if p]
 
 
-_QUOTE = pa.struct([("level", pa.int32()), ("number", pa.int32()), ("length", pa.int32()), ("key", pa.binary())])
+#: Words of a passage that is linked to another conversation, at least.
+FAR_WORDS = 3
+
+_QUOTE = pa.struct(
+    [("level", pa.int32()), ("number", pa.int32()), ("length", pa.int32()), ("words", pa.int32()), ("key", pa.binary())]
+)
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -69,9 +74,9 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             said.append(said_keys(left))
             quoted.append(
                 [
-                    {"level": level, "number": number, "length": length, "key": key}
+                    {"level": level, "number": number, "length": length, "words": words, "key": key}
                     for number, (level, passage) in enumerate(passages)
-                    for key, length in passage_keys(passage)
+                    for key, length, words in passage_keys(passage)
                 ]
             )
         yield pa.RecordBatch.from_arrays(
@@ -86,26 +91,8 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def link_quotes(messages: DataFrame) -> DataFrame:
-    """Messages without quotes, each with the message it answers and its place in the reply order.
-
-    Takes ``conv_id, turn`` (integers), ``role, text``; other columns are
-    ignored. Returns ``conv_id, turn, role, text, n_quotes, n_linked,
-    parent_conv, parent_turn, root_conv, root_turn, depth``, a row per row.
-    Ordered by ``root_conv, root_turn, depth, conv_id, turn`` they are the
-    conversations: each message follows what it answers, and messages without
-    quotes keep the order of their turns.
-
-    The original of a passage is the first message of the same conversation
-    that says it, if it is before the quoting one; otherwise the first of all
-    conversations, if its conversation has a smaller id. So links never form a
-    circle. A passage is matched as a whole or by one of its lines, the longest
-    match counts; the parent is the original of the passage of the lowest
-    level, then of the longest match, then of the first one. ``n_linked``
-    counts the passages that have an original. Rows with a null ``conv_id`` or
-    ``turn`` are neither original nor linked. Rows of equal ``conv_id`` and
-    ``turn`` are one message of several texts. Null texts stay null.
-    """
+def parsed_messages(messages: DataFrame) -> DataFrame:
+    """``message, conv_id, turn, role, text, n_quotes, quoted, said``: own text, quoted passages, and what can be quoted."""
     keyed = messages.select(
         F.xxhash64("conv_id", "turn", "role", "text").alias("message"),
         F.col("conv_id").cast("long").alias("conv_id"),
@@ -114,23 +101,39 @@ def link_quotes(messages: DataFrame) -> DataFrame:
         "text",
     )
     schema = (
-        f"message long, conv_id long, turn long, role {messages.schema['role'].dataType.simpleString()}, text string, "
-        "n_quotes int, quoted array<struct<level:int,number:int,length:int,key:binary>>, said array<binary>"
+        f"message long, conv_id long, turn long, role {messages.schema['role'].dataType.simpleString()}, text string, n_quotes int, "
+        "quoted array<struct<level:int,number:int,length:int,words:int,key:binary>>, said array<binary>"
     )
-    rows = stored(keyed.mapInArrow(_parse, schema), "messages")
-    placed = rows.where("conv_id is not null and turn is not null")
+    return stored(keyed.mapInArrow(_parse, schema), "messages")
+
+
+def passage_links(parsed_rows: DataFrame, far_words: int = FAR_WORDS) -> DataFrame:
+    """All links of passages, and of their lines, to originals; a row per matching text.
+
+    ``message, conv_id, turn, level, number, length, parent_conv, parent_turn``
+    of ``parsed_messages``. The original is the first message of the same
+    conversation that says it, if it is before the quoting one. Otherwise it is
+    the first message of the other conversation of the smallest id, whether that
+    is smaller than the own one or not, for texts of at least ``far_words``
+    words: shorter ones are said everywhere and quote nobody.
+    """
+    placed = parsed_rows.where("conv_id is not null and turn is not null")
     quotes = placed.select("message", "conv_id", "turn", F.inline("quoted")).distinct()
     said = placed.select("conv_id", "turn", F.explode("said").alias("key"))
     # Only what is quoted at all can be an original.
     said = said.join(quotes.select("key").distinct(), "key", "left_semi")
-    nearby = said.groupBy("key", "conv_id").agg(F.min("turn").alias("near_turn"))
-    nearby = stored(nearby, "originals")
-    anywhere = nearby.groupBy("key").agg(
-        F.min("conv_id").alias("far_conv"), F.min_by("near_turn", "conv_id").alias("far_turn")
+    nearby = stored(said.groupBy("key", "conv_id").agg(F.min("turn").alias("near_turn")), "originals")
+    place = F.struct("conv_id", "near_turn")
+    first = nearby.groupBy("key").agg(F.min(place).alias("first"))
+    # A conversation is not its own other one: there the second takes the place of the first.
+    second = (
+        nearby.join(first, "key").where("conv_id != first.conv_id").groupBy("key").agg(F.min(place).alias("second"))
     )
+    anywhere = first.join(second, "key", "left")
     near = F.col("near_turn") < F.col("turn")
-    far = F.col("far_conv") < F.col("conv_id")
-    linked = (
+    other = F.when(F.col("first.conv_id") != F.col("conv_id"), F.col("first")).otherwise(F.col("second"))
+    far = F.when(F.col("words") >= far_words, other)
+    return (
         quotes.join(nearby, ["key", "conv_id"], "left")
         .join(anywhere, "key", "left")
         .select(
@@ -140,12 +143,67 @@ def link_quotes(messages: DataFrame) -> DataFrame:
             "level",
             "number",
             "length",
-            F.when(near, F.col("conv_id")).when(far, F.col("far_conv")).alias("parent_conv"),
-            F.when(near, F.col("near_turn")).when(far, F.col("far_turn")).alias("parent_turn"),
+            F.when(near, F.col("conv_id")).otherwise(far["conv_id"]).alias("parent_conv"),
+            F.when(near, F.col("near_turn")).otherwise(far["near_turn"]).alias("parent_turn"),
         )
         .where("parent_conv is not null")
     )
-    first = F.struct("level", -F.col("length"), "number")
+
+
+def without_circles(parents: DataFrame) -> DataFrame:
+    """``conv_id, turn, parent_conv, parent_turn`` without the parent of the first message of each circle.
+
+    Each round doubles the stretch of ancestors whose first message is known. A
+    message is the first of a circle if it is the first of its own ancestors.
+    Messages that reach a root drop out; the rest is settled once a round
+    changes nothing.
+    """
+    if parents.where("(parent_conv, parent_turn) >= (conv_id, turn)").isEmpty():
+        return parents  # every link goes back, so nothing comes round
+    walk = parents.select(
+        F.struct("conv_id", "turn").alias("at"),
+        F.struct(F.col("parent_conv").alias("conv_id"), F.col("parent_turn").alias("turn")).alias("to"),
+    ).withColumn("low", F.col("to"))
+    walk, left = stored(walk, "circles"), None
+    while True:
+        onward = walk.select(F.col("at").alias("to"), F.col("to").alias("next"), F.col("low").alias("more"))
+        walk = stored(
+            walk.join(onward, "to").select(
+                "at", F.col("next").alias("to"), F.least("low", "more").alias("low"), (F.col("more") < F.col("low")).alias("changed")
+            ),
+            "circles",
+        )
+        rows, changed = walk.agg(F.count("*"), F.count_if("changed")).first()
+        if not rows or (rows == left and not changed):
+            break
+        walk, left = walk.drop("changed"), rows
+    cut = walk.where("low = at").select("at.conv_id", "at.turn")
+    return stored(parents.join(cut, ["conv_id", "turn"], "left_anti"), "parents")
+
+
+def link_quotes(messages: DataFrame, far_words: int = FAR_WORDS) -> DataFrame:
+    """Messages without quotes, each with the message it answers and its place in the reply order.
+
+    Takes ``conv_id, turn`` (integers), ``role, text``; other columns are
+    ignored. Returns ``conv_id, turn, role, text, n_quotes, n_linked,
+    parent_conv, parent_turn, root_conv, root_turn, depth``, a row per row.
+    Ordered by ``root_conv, root_turn, depth, conv_id, turn`` they are the
+    conversations: each message follows what it answers, and messages without
+    quotes keep the order of their turns.
+
+    Originals are those of ``passage_links``. A passage is matched as a whole or
+    by one of its lines, the longest match counts; the parent is the original of
+    the passage of the lowest level, then of the longest match, then of the first
+    one. Where parents form a circle, which takes conversations that quote each
+    other, its first message answers nothing. ``n_linked`` counts the passages
+    that have an original, in a circle or not. Rows with a null ``conv_id`` or
+    ``turn`` are neither original nor linked. Rows of equal ``conv_id`` and
+    ``turn`` are one message of several texts. Null texts stay null.
+    """
+    rows = parsed_messages(messages)
+    linked = stored(passage_links(rows, far_words), "quote-links")
+    # Of equal lengths in one passage the earliest original counts.
+    first = F.struct("level", -F.col("length"), "number", "parent_conv", "parent_turn")
     counted = linked.groupBy("message").agg(F.count_distinct("number").alias("n_linked"))
     parents = stored(
         linked.groupBy("conv_id", "turn").agg(
@@ -153,6 +211,7 @@ def link_quotes(messages: DataFrame) -> DataFrame:
         ).select("conv_id", "turn", "parent.*"),
         "parents",
     )
+    parents = without_circles(parents)
     # Follow parents to the roots: each round doubles the distance covered.
     roots = parents.select(
         "conv_id", "turn", F.col("parent_conv").alias("root_conv"), F.col("parent_turn").alias("root_turn"),

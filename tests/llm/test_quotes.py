@@ -32,13 +32,22 @@ def brute(rows):
         for number, (level, passage) in enumerate(passages):
             for part in {normal(p) for p in [passage, *passage.split("\n")]} - {""}:
                 near = min((t2 for c2, t2 in said.get(part, []) if c2 == c), default=None)
-                far = min(said.get(part, []), default=None)
-                origin = (c, near) if near is not None and near < t else far if far and far[0] < c else None
+                far = min((at for at in said.get(part, []) if at[0] != c), default=None) if len(part.split()) >= 3 else None
+                origin = (c, near) if near is not None and near < t else far
                 if origin:
                     linked.add(number)
                     options.append((level, -len(part), number, origin))
         parents[c, t] = min(options)[3] if options else None
         out[c, t] = [own, len(passages), len(linked), parents[c, t]]
+    for start in sorted(parents):
+        at = parents[start]
+        seen = set()
+        while at and at not in seen and at != start:
+            seen.add(at)
+            at = parents[at]
+        if at == start:  # the first of a circle, as they are taken in order
+            parents[start] = None
+            out[start][3] = None
     for at, row in out.items():
         root, depth = at, 0
         while parents[root]:
@@ -73,12 +82,33 @@ def test_a_thread(spark):
         (1, 1, "> where  shall we MEET?\nAt the old bridge."),
         (1, 2, ">> Where shall we meet?\n> At the old bridge.\nFine."),
         (1, 3, "> And when?\nAt noon."),
-        (2, 0, "> Fine.\n> no such words\nForwarded."),
+        (1, 4, "> At noon.\nFine by me then."),
+        (2, 0, "> Fine by me then.\n> no such words\nForwarded."),
     ]
     found = ours(link_quotes(frame(spark, rows)))
     assert found == brute(rows)
     assert found[1, 2] == ("Fine.", 2, 2, (1, 1), (1, 0), 2)
-    assert found[2, 0][3] == (1, 2) and found[2, 0][5] == 3
+    assert found[2, 0][3] == (1, 4) and found[2, 0][5] == 3
+
+
+def test_links_to_later_conversations_and_circles(spark):
+    rows = [
+        (3, 0, "> only sentence of five\nok"),
+        (5, 0, "only sentence of five"),
+        (6, 0, "> the second of these\nthe first of these"),
+        (7, 0, "> the first of these\nthe second of these"),
+        (8, 0, "> the second of these\nhanging on the circle"),
+        (9, 0, "> ok\nshort words link within a conversation only"),
+        (10, 0, "> what I say myself\nwhat I say myself"),
+        *[(20 + i, 0, f"> part number {(i + 1) % 5} here\npart number {i} here") for i in range(5)],
+    ]
+    found = ours(link_quotes(frame(spark, rows)))
+    assert found == brute(rows)
+    assert found[3, 0][2:] == (1, (5, 0), (5, 0), 1)
+    assert found[6, 0][2:] == (1, None, (6, 0), 0) and found[7, 0][2:] == (1, (6, 0), (6, 0), 1)
+    assert found[8, 0][2:] == (1, (7, 0), (6, 0), 2)
+    assert found[9, 0][2] == found[10, 0][2] == 0
+    assert [found[20 + i, 0][5] for i in range(5)] == [0, 4, 3, 2, 1]
 
 
 def test_random_threads_against_plain_search(spark):
@@ -94,8 +124,8 @@ def test_random_threads_against_plain_search(spark):
 
 
 def test_odd_rows(spark):
-    rows = [(None, 0, "a\n> b"), (1, None, "> a"), (1, 0, None), (1, 1, ""), (1, 2, "> \n>"), (2, 0, "b"), (2, 1, "> b"), (2, 1, "> b")]
-    rows.append((3, 0, "word " * 50_000 + "\n> b"))
+    rows = [(None, 0, "a\n> b"), (1, None, "> a"), (1, 0, None), (1, 1, ""), (1, 2, "> \n>"), (2, 0, "b b b"), (2, 1, "> b b b"), (2, 1, "> b b b")]
+    rows.append((3, 0, "word " * 50_000 + "\n> b b b"))
     found = link_quotes(frame(spark, rows)).collect()
     assert len(found) == len(rows)
     by = {(r["conv_id"], r["turn"]): r for r in found}
