@@ -135,17 +135,20 @@ def sums_between(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 def labelled_sample(docs: DataFrame, labels: DataFrame, value: str, rows: int) -> DataFrame:
     """``doc_id, text, label`` of at most ``rows`` labelled documents, chosen by a hash of the id.
 
-    ``labels`` has ``doc_id`` and ``value``; rows with nulls take no part. Only
-    the chosen ids, bounded by ``rows``, are broadcast.
+    ``labels`` has ``doc_id`` and ``value``; rows with nulls take no part, and
+    repeated ones count once. Only the chosen ids, bounded by ``rows``, are
+    broadcast. A repeated id gives one of its texts, so that the bound holds.
     """
     chosen = (
         labels.select("doc_id", F.col(value).alias("label"))
         .where("doc_id is not null and label is not null")
+        .distinct()
         .orderBy(F.xxhash64("doc_id"), "doc_id", "label")
         .limit(rows)
     )
     texts = docs.select("doc_id", "text").where("text is not null")
-    return texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label")
+    found = texts.join(F.broadcast(chosen), "doc_id")
+    return found.groupBy("doc_id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("doc_id", "text", "label")
 
 
 def bounded_sample(docs: DataFrame, labels: DataFrame, value: str, rows: int) -> list[tuple]:

@@ -17,13 +17,11 @@ from fleetpulse.llm.common import id_remainder, labelled_sample, stored, text_bl
 
 #: Labelled documents that the scores are fitted on, at most.
 SAMPLE_ROWS = 20_000
-#: Tokens with their own score, at most: those of the largest z.
-LEXICON = 20_000
 #: Dirichlet prior: counts spread over the tokens as the sample uses them, and counts of each token.
 PRIOR, PRIOR_EACH = 500.0, 0.5
-#: A token's score is its log-odds less one standard deviation; it must be so large, and so must z.
-LEAST_SCORE, LEAST_Z = 3.0, 3.0
-#: Score of every other word: how soon a passage ends.
+#: Log-odds are shrunk by the factor ``1 - (this / z) ** 2``, to zero where it is negative.
+SHRINKAGE = 3.0
+#: Added to the log-odds of every word, prior odds of a word in a toxic passage: how soon one ends.
 NEUTRAL = -0.1
 #: Beginnings of words are tokens too; a word without its own score takes that of its longest one.
 STEMS = (6, 5, 4)
@@ -48,7 +46,7 @@ def stems_of(word: bytes) -> list[bytes]:
 
 
 class WordScores(dict):
-    """Score by word; what is missing is worked out from the lexicon and kept."""
+    """Score by word: its log-odds in the lexicon, or its longest known beginning's, plus the neutral score."""
 
     def __init__(self, lexicon: dict[bytes, float], neutral: float) -> None:
         super().__init__()
@@ -57,7 +55,8 @@ class WordScores(dict):
     def __missing__(self, word: bytes) -> float:
         score = self.lexicon.get(word)
         if score is None:
-            score = next((self.lexicon[s] for s in stems_of(word) if s in self.lexicon), self.neutral)
+            score = next((self.lexicon[s] for s in stems_of(word) if s in self.lexicon), 0.0)
+        score += self.neutral
         if len(self) >= CACHED_WORDS:
             self.clear()
         self[word] = score
@@ -162,22 +161,24 @@ def token_counts(sample: DataFrame) -> DataFrame:
 
 
 def scored_tokens(counts: DataFrame, prior: float = PRIOR, each: float = PRIOR_EACH) -> DataFrame:
-    """Log-odds of toxic against clean documents under the Dirichlet prior, their score and z."""
+    """Log-odds of toxic against clean documents of every token, under a Dirichlet prior.
+
+    The prior divides its counts between both sides as the sample does, so that
+    a token without counts has log-odds of zero. The score is the shrunken log-odds:
+    what is large against its standard error stays, what chance explains becomes zero.
+    """
     whole = counts.agg(F.sum("toxic").alias("n1"), F.sum("clean").alias("n0"), F.count("*").alias("n"))
-    alpha = F.lit(prior) * (F.col("toxic") + F.col("clean")) / (F.col("n1") + F.col("n0")) + each
-    mass = F.lit(prior) + F.col("n") * each
-    one, zero = F.col("toxic") + F.col("alpha"), F.col("clean") + F.col("alpha")
-    odds = F.log(one / (F.col("n1") + mass - one)) - F.log(zero / (F.col("n0") + mass - zero))
+    both = F.col("n1") + F.col("n0")
+    alpha = F.lit(2 * prior) * (F.col("toxic") + F.col("clean")) / both + 2 * each
+    mass = F.lit(2 * prior) + F.col("n") * 2 * each
+    share1, share0 = F.greatest("n1", F.lit(1)) / both, F.greatest("n0", F.lit(1)) / both
+    one, zero = F.col("toxic") + alpha * share1, F.col("clean") + alpha * share0
+    odds = F.log(one / (F.col("n1") + mass * share1 - one)) - F.log(zero / (F.col("n0") + mass * share0 - zero))
     error = F.sqrt(1 / one + 1 / zero)
-    return (
-        counts.crossJoin(F.broadcast(whole))  # a single row of sums
-        .withColumn("alpha", alpha)
-        .select(
-            "token",
-            (odds - error).alias("score"),
-            (odds / error).alias("z"),
-            (zero / (F.col("n0") + mass)).alias("clean_share"),
-        )
+    return counts.crossJoin(F.broadcast(whole)).select(  # a single row of sums
+        "token",
+        (odds * F.greatest(F.lit(0.0), 1 - F.coalesce(F.try_divide(SHRINKAGE * error, odds), F.lit(1.0e9)) ** 2)).alias("score"),
+        (zero / (F.col("n0") + mass * share0)).alias("clean_share"),
     )
 
 
@@ -214,23 +215,24 @@ def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(theta[0]), float(theta[1])
 
 
-def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, lexicon: int = LEXICON) -> ToxicModel:
+def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> ToxicModel:
     """Fit on a bounded sample of the labelled documents that are not held out.
 
-    Counts of its tokens are made by Spark; the driver gets the scoring tokens,
-    at most ``lexicon``, and one value for each sampled document.
+    Spark counts and scores every token of the sample. To the driver come the
+    tokens of the sampled documents, as Arrow, and one value for each document.
     """
     usable = labels.where(id_remainder("doc_id", 5) != 0).where("toxic in (0, 1)")
     sample = stored(labelled_sample(docs, usable, "toxic", sample_rows), "toxic-sample")
-    tokens = (
-        scored_tokens(token_counts(sample))
-        .where((F.col("score") >= LEAST_SCORE) & (F.col("z") >= LEAST_Z))
-        .orderBy(F.desc("z"), "token")
-        .limit(lexicon)
-        .collect()
-    )
-    model = ToxicModel({bytes(r["token"]): r["score"] for r in tokens})
-    whole = [(r["score"], r["clean_share"]) for r in tokens if not bytes(r["token"]).endswith(b"*")]
+    tokens = stored(scored_tokens(token_counts(sample)), "toxic-tokens")
+    telling = tokens.where("score != 0").toArrow().to_pylist()
+    lexicon = {r["token"]: r["score"] for r in telling}
+    # A word of score zero has to be known only if one of its beginnings tells something.
+    for token in tokens.where("score = 0").select("token").toArrow().column("token"):
+        word = token.as_py()
+        if any(s in lexicon for s in stems_of(word.rstrip(b"*"))):
+            lexicon[word] = 0.0
+    model = ToxicModel(lexicon)
+    whole = [(r["score"] + NEUTRAL, r["clean_share"]) for r in telling if not r["token"].endswith(b"*")]
     model.decay = decay_of(whole, model.neutral)
 
     def evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

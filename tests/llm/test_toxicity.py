@@ -6,8 +6,20 @@ import zlib
 
 import numpy as np
 
+from fleetpulse.llm.common import labelled_sample
 from fleetpulse.llm.queries import QUERIES
-from fleetpulse.llm.toxicity import ToxicModel, decay_of, maximal_segments, score_toxicity, toxicity_rows, train
+from fleetpulse.llm.toxicity import (
+    PRIOR,
+    PRIOR_EACH,
+    SHRINKAGE,
+    ToxicModel,
+    decay_of,
+    maximal_segments,
+    score_toxicity,
+    scored_tokens,
+    toxicity_rows,
+    train,
+)
 
 
 def brute_segments(scores):
@@ -44,13 +56,37 @@ def test_decay_is_the_positive_root():
 
 
 def test_passages_of_a_text():
-    model = ToxicModel({b"bad": 5.0, b"awfu*": 4.0}, neutral=-0.5, decay=1.0)
+    model = ToxicModel({b"bad": 5.5, b"awfu*": 4.5}, neutral=-0.5, decay=1.0)
     text = " ".join(["fine"] * 30 + ["bad", "AWFULLY", "bad"] + ["fine"] * 30 + ["bad"] * 4)
     _, found = model.passages(text)
     assert [(a, b) for a, b, _ in found] == [(30, 33), (63, 67)]
     assert model.passages(None) == model.passages("") == model.passages(" .!")
 
 
+def test_every_token_is_scored(spark):
+    source = random.Random(3)
+    rows = [(f"t{i}*".encode() if i % 3 == 0 else f"t{i}".encode(), source.choice([0, 1, 5, 80]), source.choice([0, 1, 9, 700])) for i in range(200)]
+    rows = [r for r in rows if r[1] + r[2]]
+    n1, n0, n = sum(r[1] for r in rows), sum(r[2] for r in rows), len(rows)
+    counts = spark.createDataFrame(rows, "token binary, toxic long, clean long")
+    found = {bytes(r["token"]): r["score"] for r in scored_tokens(counts).collect()}
+    for token, toxic, clean in rows:
+        alpha, mass = 2 * PRIOR * (toxic + clean) / (n1 + n0) + 2 * PRIOR_EACH, 2 * PRIOR + n * 2 * PRIOR_EACH
+        p, q = n1 / (n1 + n0), n0 / (n1 + n0)
+        one, zero = toxic + alpha * p, clean + alpha * q
+        odds = math.log(one / (n1 + mass * p - one)) - math.log(zero / (n0 + mass * q - zero))
+        z = odds / math.sqrt(1 / one + 1 / zero)
+        assert math.isclose(found[token], odds * max(0.0, 1 - (SHRINKAGE / z) ** 2), abs_tol=1e-9)
+    assert min(found.values()) < 0 < max(found.values()) and len(found) == len(rows)
+
+
+def test_a_repeated_id_counts_once(spark, documents):
+    docs = documents(*[(1, f"text {i % 7}") for i in range(300)], (2, "other"), (3, None))
+    labels = spark.createDataFrame([(1, 1), (1, 1), (2, 0), (3, 1)], "doc_id long, toxic int")
+    rows = labelled_sample(docs, labels, "toxic", 10).collect()
+    assert sorted((r["doc_id"], r["label"]) for r in rows) == [(1, 1), (2, 0)]
+
+
 def corpus(n, seed=1):
     source, rows = random.Random(seed), []
     for i in range(n):
