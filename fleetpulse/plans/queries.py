@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from fleetpulse.functions.times import seconds_before
 from fleetpulse.operators import dlq as letters
-from fleetpulse.operators import rates, reports, status
+from fleetpulse.operators import rates, reports, sketches, status
 from fleetpulse.operators.dedup import READING_KEY, dedup_readings
 from fleetpulse.operators.rollups import FIVE_MINUTES, HOURLY, build_rollup, refresh_rollup, rollup_coverage
 from fleetpulse.operators.rules import RULES, Rule, detect
@@ -489,6 +489,25 @@ def latency_quantiles_by_turbine(spark, folder):
     return _rounded(by_turbine, "p50", "p95", "p99")
 
 
+def latency_sketches(spark, folder):
+    """Hourly sketches per machine, merged to the whole time: exact quantiles, and that the estimates keep to their bound."""
+    arriving, quantiles = feed.readings(spark, folder), (0.5, 0.95, 0.99)
+    estimates = sketches.sketched_quantiles(sketches.latency_sketches(arriving, 3600), quantiles, ["turbine_id"])
+    timed = arriving.select("turbine_id", rates.lag_seconds(F.col("producer_ts"), F.col("recorded_at")).alias("latency_s"))
+    checked_rows = sketches.rank_errors(timed, "latency_s", estimates, quantiles, ["turbine_id"])
+    within = (F.col("rank_error") <= sketches.RANK_ERROR).alias("within_bound")
+    # Between two instants in microseconds, a hundredth of the way: nine digits are never a tie.
+    exact = [F.round(c, AVERAGE_DIGITS).alias(c) for c in ("p50", "p95", "p99")]
+    return checked_rows.select("turbine_id", "sample_count", *exact, within)
+
+
+def active_machines_series(spark, folder):
+    """Machines seen in the six hours up to every full hour, from bitmaps per hour."""
+    arriving = feed.readings(spark, folder)
+    bitmaps = sketches.machine_bitmaps(arriving, sketches.machine_numbers(arriving), 3600)
+    return comparable(sketches.active_machines_series(bitmaps, 3600, 6 * 3600))
+
+
 def lag_by_turbine(spark, folder):
     return _rounded(rates.lag_by_turbine(feed.readings(spark, folder)), "lag_s")
 
@@ -734,6 +753,8 @@ QUERIES: dict[str, Query] = {
     "recent_dlq_stored": recent_dlq_stored,
     "latency_quantiles": latency_quantiles,
     "latency_quantiles_by_turbine": latency_quantiles_by_turbine,
+    "latency_sketches": latency_sketches,
+    "active_machines_series": active_machines_series,
     "lag_by_turbine": lag_by_turbine,
     "stream_process": stream_process,
     "stream_telemetry_table": stream_telemetry_table,
