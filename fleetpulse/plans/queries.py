@@ -21,6 +21,7 @@ from fleetpulse.session import scratch_folder
 from fleetpulse.sources import extracts, logs, tables
 from fleetpulse.sources.latest_table import LatestTable
 from fleetpulse.sources.messages import (
+    JSON_OPTIONS,
     alert_messages,
     alerts_from_messages,
     dlq_from_messages,
@@ -29,6 +30,8 @@ from fleetpulse.sources.messages import (
 )
 from fleetpulse.sources.partial_rollups import PartialRollups
 from fleetpulse.sources.rollup_tables import refresh_stored_rollup, rollup_schema, store_rollup
+from fleetpulse.sources.topic_files import TopicFiles, order_report
+from fleetpulse.streaming.consume import TopicConsumer
 from fleetpulse.streaming.process import MessageProcessor, Store, process_stream
 from fleetpulse.streaming.windows import (
     dedup_stream,
@@ -609,6 +612,48 @@ def _four_batches(df: DataFrame, by: Column) -> list[DataFrame]:
     return [df.where(F.pmod(by, F.lit(4)) == part) for part in range(4)]
 
 
+def _published_readings(spark, folder) -> TopicFiles:
+    """Readings published in four batches, in the order of their instants within a batch."""
+    topic = TopicFiles(scratch_folder(spark, "topic"), "telemetry")
+    for number, batch in enumerate(_four_batches(feed.readings(spark, folder), F.col("seq"))):
+        payload = F.to_json(F.struct(*READING_COLUMNS), JSON_OPTIONS).alias("value")
+        keyed = batch.select(F.col("turbine_id").alias("key"), payload, "recorded_at", "seq")
+        topic.publish(keyed, number, ["recorded_at", "seq"])
+    return topic
+
+
+def published_readings(spark, folder):
+    """The readings of a topic with their number per machine, decoded again."""
+    sent = _published_readings(spark, folder).read(spark)
+    # The number takes the place of the offset, which the decode chain keeps.
+    numbered = sent.withColumn("offset", F.col("sequence")).drop("key", "sequence")
+    received = accepted(check_messages(numbered), keep=["offset"])
+    return comparable(received.withColumnRenamed("offset", "sequence"))
+
+
+def published_order(spark, folder):
+    """Gaps, copies and disorder per machine of a topic."""
+    return order_report(_published_readings(spark, folder).read(spark)).withColumnRenamed("key", "turbine_id")
+
+
+def _consumed(spark, folder) -> Store:
+    """Raw messages published as a topic and read from it in five batches."""
+    base = scratch_folder(spark, "consumed")
+    topic, arriving = TopicFiles(f"{base}/topic"), feed.readings(spark, folder)
+    named = feed.messages_of(arriving).select("offset", "timestamp", "value")
+    keyed = named.join(arriving.select(F.col("seq").alias("offset"), F.col("turbine_id").alias("key")), "offset")
+    topic.publish(keyed, 0, ["offset"])
+    processor = MessageProcessor(Store(f"{base}/tables"), clock=lambda: F.col("timestamp"))
+    most = -(-sum(topic.ends(spark).values()) // 5)
+    TopicConsumer(topic, f"{base}/progress", max_rows=max(1, most)).drain(spark, processor)
+    return processor.store
+
+
+def consumed_telemetry(spark, folder):
+    """Readings stored from a topic by offsets; ids made from positions are left out."""
+    return comparable(_consumed(spark, folder).telemetry(spark).drop(tables.EVENT_DAY, "event_id"))
+
+
 def stream_rollup_5min(spark, folder):
     """The rollup kept current while readings, late and future ones among them, are stored batch by batch."""
     base = scratch_folder(spark, "rollup")
@@ -761,6 +806,9 @@ QUERIES: dict[str, Query] = {
     "stream_dlq_table": stream_dlq_table,
     "batch_stats": batch_stats,
     "batch_metrics": batch_metrics,
+    "published_readings": published_readings,
+    "published_order": published_order,
+    "consumed_telemetry": consumed_telemetry,
     "stream_rollup_5min": stream_rollup_5min,
     "partial_rollup_5min": partial_rollup_5min,
     "partial_rollup_1h": partial_rollup_1h,

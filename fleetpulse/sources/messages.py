@@ -21,12 +21,19 @@ def _text(value: Column) -> Column:
 
 
 def kafka_messages(
-    spark: SparkSession, servers: str, topic: str, max_offsets: int | None = None, options: dict[str, str] | None = None
+    spark: SparkSession,
+    servers: str,
+    topic: str,
+    max_offsets: int | None = None,
+    options: dict[str, str] | None = None,
+    flush_rows: int | None = None,
+    flush_seconds: float = 2.0,
 ) -> DataFrame:
     """A topic from its earliest offset. Needs Spark's Kafka connector on the class path.
 
     ``max_offsets`` bounds a micro-batch; every topic partition is read by its
-    own task, or by several with the connector's ``minPartitions``.
+    own task, or by several with the connector's ``minPartitions``. With
+    ``flush_rows`` a batch waits for so many rows, ``flush_seconds`` at most.
     """
     reader = (
         spark.readStream.format("kafka")
@@ -37,6 +44,9 @@ def kafka_messages(
     )
     if max_offsets:
         reader = reader.option("maxOffsetsPerTrigger", max_offsets)
+    if flush_rows:
+        reader = reader.option("minOffsetsPerTrigger", flush_rows)
+        reader = reader.option("maxTriggerDelay", f"{round(flush_seconds * 1000)}ms")
     return reader.load().select("topic", "partition", "offset", "timestamp", _text(F.col("value")).alias("value"))
 
 
