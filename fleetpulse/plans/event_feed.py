@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetpulse.operators.normalise import corrected_status
-from fleetpulse.schemas import CORE_BOUNDS, EXTENDED_BOUNDS, LEGACY_NAMES
+from fleetpulse.schemas import CORE_BOUNDS, EXTENDED_BOUNDS, LEGACY_NAMES, MACHINE_ID_LENGTH, NUMERIC_BOUNDS
 from fleetpulse.session import use_utc
 from fleetpulse.sources.messages import JSON_OPTIONS
 
@@ -102,6 +102,29 @@ def messages_of(readings: DataFrame) -> DataFrame:
     )
 
 
+def variants_of(readings: DataFrame) -> DataFrame:
+    """Messages by ``seq % 5``: all numbers sent as text, a machine id amid blanks, a blank one, one too long, a number that is none."""
+    kind = F.col("seq") % 5
+    named = F.col("turbine_id")
+    changes = {
+        "turbine_id": F.when(kind == 1, F.concat(F.lit(" \t"), named, F.lit("  ")))
+        .when(kind == 2, F.lit("  \t "))
+        .when(kind == 3, F.rpad(named, MACHINE_ID_LENGTH + 1, "0"))
+        .otherwise(named),
+        "wind_speed_ms": F.when(kind == 4, F.lit("fast")).otherwise(F.col("wind_speed_ms").cast("string")),
+    }
+    fields = [c for c in readings.columns if c not in ("seq", "ingested_at")]
+    columns = {c: F.col(c).cast("string") if c in NUMERIC_BOUNDS else F.col(c) for c in fields} | changes
+    payload = F.to_json(F.struct(*[v.alias(k) for k, v in columns.items()]), JSON_OPTIONS)
+    return readings.select(
+        F.lit("raw").alias("topic"),
+        (F.col("seq") % 6).cast("int").alias("partition"),
+        F.col("seq").alias("offset"),
+        F.col("producer_ts").alias("timestamp"),
+        payload.alias("value"),
+    )
+
+
 def readings(spark: SparkSession, folder: str) -> DataFrame:
     return readings_of(events(spark, folder))
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fleetpulse.functions.text import message_id
 from fleetpulse.functions.times import seconds_before
 from fleetpulse.operators import dlq as letters
 from fleetpulse.operators import rates, reports, sketches, status
@@ -16,7 +18,8 @@ from fleetpulse.operators.rollups import FIVE_MINUTES, HOURLY, build_rollup, ref
 from fleetpulse.operators.rules import RULES, Rule, detect
 from fleetpulse.operators.validate import accepted, check_messages, ingest_summary, rejected
 from fleetpulse.plans import event_feed as feed
-from fleetpulse.schemas import NUMERIC_BOUNDS, READING_COLUMNS, TELEMETRY_SCHEMA, with_day
+from fleetpulse.plans.maintenance import replay_stored_dlq
+from fleetpulse.schemas import JSON_ERROR, NUMERIC_BOUNDS, READING_COLUMNS, SCHEMA_ERROR, TELEMETRY_SCHEMA, with_day
 from fleetpulse.session import scratch_folder
 from fleetpulse.sources import extracts, logs, tables
 from fleetpulse.sources.latest_table import LatestTable
@@ -140,8 +143,19 @@ def validation_failures(spark, folder):
 
 
 def dlq_watch(spark, folder):
-    watched = letters.watch(dlq(spark, folder))
-    return comparable(watched.withColumn("preview_length", F.length("payload_preview")).drop("payload_preview"))
+    watched = letters.watch(dlq(spark, folder)).withColumn("preview_length", F.length("payload_preview"))
+    return comparable(with_payload(watched, "payload_preview"))
+
+
+def variant_telemetry(spark, folder):
+    """Readings whose numbers came as text and whose machine ids came amid blanks."""
+    return comparable(accepted(check_messages(feed.variants_of(feed.readings(spark, folder)))))
+
+
+def variant_dlq(spark, folder):
+    """Messages refused for a machine id that is blank or too long, or for a number that is none."""
+    refused = rejected(check_messages(feed.variants_of(feed.readings(spark, folder))), F.col("timestamp"))
+    return comparable(refused.drop("raw_payload"))
 
 
 def log_lines(spark, folder):
@@ -394,6 +408,45 @@ def dlq_replay_outcome(spark, folder):
     return comparable(with_payload(outcome))
 
 
+def _old_letters(spark, folder) -> DataFrame:
+    """Dead letters of a reader that did not know the older layout: by now good, out of bounds, or no JSON."""
+    kind = F.col("offset") % 20
+    sent = feed.messages(spark, folder).where(kind.isin(3, 7, 11))
+    return sent.select(
+        message_id(sent, F.lit("dlq")).alias("dlq_id"),
+        F.col("topic").alias("original_topic"),
+        F.col("partition").alias("original_partition"),
+        F.col("offset").alias("original_offset"),
+        F.col("value").alias("raw_payload"),
+        F.when(kind == 7, F.lit(JSON_ERROR)).otherwise(F.lit(SCHEMA_ERROR)).alias("error_type"),
+        F.lit("refused").alias("error_message"),
+        F.col("timestamp").alias("failed_at"),
+        F.lit(0).alias("retry_count"),
+        F.lit(False).alias("resolved"),
+        F.lit(None).cast("timestamp").alias("resolved_at"),
+    )
+
+
+def dlq_replay_recovered(spark, folder):
+    """Readings that a replay of old dead letters finds good."""
+    replayed = letters.replay(_old_letters(spark, folder))
+    return comparable(letters.recovered_readings(replayed).drop("event_id"))
+
+
+def _replayed_store(spark, folder) -> Store:
+    store = Store(scratch_folder(spark, "replay"))
+    store.insert_dlq(_old_letters(spark, folder).withColumn(tables.EVENT_DAY, F.to_date("failed_at")))
+    replay_stored_dlq(spark, store)
+    return store
+
+
+def dlq_replay_stored(spark, folder):
+    """The dead-letter table after a replay: resolved, tried again, or left alone."""
+    after = _replayed_store(spark, folder).dlq(spark)
+    state = ("dlq_id", "original_offset", "error_type", "error_message", "failed_at", "retry_count", "resolved")
+    return comparable(after.select(*state, F.col("resolved_at").isNotNull().alias("stamped")))
+
+
 # --- rates ---------------------------------------------------------------------
 
 
@@ -603,9 +656,14 @@ def batch_stats(spark, folder):
 
 
 def batch_metrics(spark, folder):
-    """Write-time quantile and batch-size histogram per table."""
-    stats = _processed(spark, folder).batch_stats(spark)
-    return rates.write_latency(stats).join(rates.batch_sizes(stats), "table_name")
+    """Write-time quantile and batch-size histogram per table, of four batches timed by a clock that ticks when read."""
+    store, ticks = Store(scratch_folder(spark, "timed")), itertools.count()
+    processor = MessageProcessor(store, clock=lambda: F.col("timestamp"), timer=lambda: next(ticks) / 8)
+    for number, batch in enumerate(_four_batches(feed.messages(spark, folder), F.col("offset"))):
+        processor(batch, number)
+    stats = store.batch_stats(spark)
+    sizes = rates.batch_sizes(stats).withColumn("counts", F.array_join("counts", ","))
+    return _rounded(rates.write_latency(stats), "p95").join(sizes, "table_name")
 
 
 def _four_batches(df: DataFrame, by: Column) -> list[DataFrame]:
@@ -735,6 +793,8 @@ QUERIES: dict[str, Query] = {
     "decode_error_counts": decode_error_counts,
     "validation_failures": validation_failures,
     "dlq_watch": dlq_watch,
+    "variant_telemetry": variant_telemetry,
+    "variant_dlq": variant_dlq,
     "ingest_summary": log_ingest_summary,
     "log_telemetry": log_telemetry,
     "dedup_telemetry": dedup_telemetry,
@@ -775,6 +835,8 @@ QUERIES: dict[str, Query] = {
     "dlq_replay_summary": dlq_replay_summary,
     "dlq_replay_listing": dlq_replay_listing,
     "dlq_replay_outcome": dlq_replay_outcome,
+    "dlq_replay_recovered": dlq_replay_recovered,
+    "dlq_replay_stored": dlq_replay_stored,
     "events_per_minute": events_per_minute,
     "events_per_minute_series": events_per_minute_series,
     "inserts_per_minute": inserts_per_minute,

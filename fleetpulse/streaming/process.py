@@ -108,7 +108,8 @@ class MessageProcessor:
     reading alerts. All ids follow from the message position: a batch that is
     run again after a failure inserts nothing twice.
 
-    ``clock`` gives the processing time as a column of the message frame;
+    ``clock`` gives the processing time as a column of the message frame,
+    ``timer`` the seconds that write times are taken from;
     ``extra_sinks`` receive the frames named ``telemetry``, ``alerts`` and
     ``dlq`` too, for example to publish them to topics.
     """
@@ -117,6 +118,7 @@ class MessageProcessor:
     name: str = "process"
     rules: Sequence[Rule] = RULES
     clock: Callable[[], Column] = F.current_timestamp
+    timer: Callable[[], float] = time.monotonic
     extra_sinks: dict[str, Sequence[Sink]] = field(default_factory=dict)
 
     def __call__(self, messages: DataFrame, batch_id: int) -> None:
@@ -142,10 +144,10 @@ class MessageProcessor:
                 ("alerts", alerts, self.store.insert_alerts),
                 ("dlq", dlq, self.store.insert_dlq),
             ):
-                began = time.monotonic()
+                began = self.timer()
                 if rows[table]:
                     insert(frame, reach[table])
-                stats.append((table, rows[table], time.monotonic() - began))
+                stats.append((table, rows[table], self.timer() - began))
                 for sink in self.extra_sinks.get(table, ()):
                     sink(frame)
             stats.append(("messages", rows["messages"], sum(elapsed for _, _, elapsed in stats)))
