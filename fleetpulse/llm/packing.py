@@ -21,8 +21,10 @@ CAPACITY = 4096
 END_OF_TEXT = 1
 #: Pieces that one packing task takes.
 PIECES_PER_PART = 2048
-#: So many partitions put what they release into one pool.
-FAN_IN = 16
+#: A partition with a gap gives away so many of its emptiest bins for each bin above the bound ...
+BINS_FOR_GAP = 8
+#: ... that hold this share of its pieces at most.
+SHARE_GIVEN = 0.25
 #: Parts of texts whose ids a Python worker keeps.
 CACHED_WORDS = 500_000
 #: Bounds are taken over so many values of a dual-feasible function's parameter at most.
@@ -174,12 +176,26 @@ def packed(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, int]:
     return np.repeat([b for b, _ in runs], [n for _, n in runs]).astype(np.int64), plan.bins
 
 
+def given_away(filled: np.ndarray, pieces: np.ndarray, gap: int, capacity: int) -> np.ndarray:
+    """Which bins a partition gives to the next round, from their tokens and pieces.
+
+    The emptiest bin if it is not full; with a gap the emptiest ones,
+    ``BINS_FOR_GAP`` for each bin above the lower bound, as long as they hold
+    ``SHARE_GIVEN`` of all pieces at most.
+    """
+    give = np.zeros(len(filled), bool)
+    order = np.argsort(filled, kind="stable")
+    order = order[filled[order] < capacity][: max(1, BINS_FOR_GAP * gap)]
+    held = np.cumsum(pieces[order])
+    give[order[(held <= SHARE_GIVEN * pieces.sum()) | (np.arange(len(order)) == 0)]] = True
+    return give
+
+
 def pack_part(rows: pd.DataFrame, capacity: int, last: bool) -> pd.DataFrame:
-    """Pack one partition; ``__open`` marks what it gives to the next round.
+    """Pack one partition; ``__open`` marks what it gives to the next round (``given_away``).
 
-    A partition whose bins equal the lower bound is certified and gives only its
-    emptiest bin away, one with a gap all bins that are not full. If the new
-    packing needs more bins than the rows came in, they stay as they came.
+    A partition whose bins equal the lower bound is certified and has no gap. If
+    the new packing needs more bins than the rows came in, they stay as they came.
     """
     rows = rows.sort_values(["length", "doc_id", "piece", "ids_crc32"], ascending=[False, True, True, True])
     lengths = rows["length"].to_numpy()
@@ -195,11 +211,8 @@ def pack_part(rows: pd.DataFrame, capacity: int, last: bool) -> pd.DataFrame:
     offset[order] = ends - lengths[order] - (np.cumsum(filled) - filled)[bins[order]]
     give = np.zeros(n, bool)
     if not last:
-        sizes, counts = np.unique(lengths, return_counts=True)
-        if least_bins(sizes, counts, capacity) < n:
-            give = filled < capacity
-        else:
-            give[filled.argmin()] = filled.min() < capacity
+        gap = n - least_bins(*np.unique(lengths, return_counts=True), capacity)
+        give = given_away(filled, np.bincount(bins, minlength=n), gap, capacity)
     return rows.assign(__bin=bins, offset=offset, __open=give[bins])
 
 
@@ -220,16 +233,32 @@ def pack(
     Every row is a document, also with a null or repeated id; a null or empty
     text is one piece that holds the end id. An empty table gives no rows.
 
-    Each round packs partitions of pieces on their own; what they give away
-    (see ``pack_part``) is pooled, ``FAN_IN`` partitions in one, and packed
-    again until one pool is left. Rounds after the first hold a few rows of
-    each partition.
+    See ``pack_pieces`` for how it is done.
+    """
+    return pack_pieces(token_pieces(docs, tokenizer_path, capacity), capacity, pieces_per_part)
+
+
+def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, pieces_per_part: int = PIECES_PER_PART) -> DataFrame:
+    """Pack pieces of at most ``capacity`` tokens.
+
+    Each round packs partitions of about ``pieces_per_part`` pieces on their own.
+    The bins they give away (``given_away``), a part of each, are dealt whole to
+    partitions of the same size and packed again, until one partition is left.
+    So no task holds more than about one partition, however far from the bound
+    best fit stays; only a bin of more than a quarter of ``pieces_per_part``
+    pieces, all very short, lets a partition grow, to twice its size at most.
     """
-    pieces = stored(token_pieces(docs, tokenizer_path, capacity), "pieces")
-    parts = max(1, round(pieces.count() / pieces_per_part))
-    rows = pieces.withColumn(
-        "__part", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(parts))
-    ).withColumn("sequence_id", F.lit(-1).cast("long"))
+    rows = stored(
+        pieces.select("doc_id", *PIECE_SCHEMA.names).withColumn("__row", F.monotonically_increasing_id()), "pieces"
+    )
+    parts = max(1, round(rows.count() / pieces_per_part))
+    # Dealt by row, so repeated documents are spread too.
+    rows = rows.select(
+        "doc_id",
+        *PIECE_SCHEMA.names,
+        F.pmod(F.xxhash64("__row"), F.lit(parts)).alias("__part"),
+        F.lit(-1).cast("long").alias("sequence_id"),
+    )
     schema = T.StructType(
         [
             *rows.schema,
@@ -252,9 +281,13 @@ def pack(
         done.append(turned.where("not __open"))
         if last:
             break
-        parts, turn = -(-parts // FAN_IN), turn + 1
-        rows = turned.where("__open").select(
-            "doc_id", *PIECE_SCHEMA.names, F.pmod("__part", F.lit(parts)).alias("__part"), "sequence_id"
+        released = turned.where("__open")
+        parts, turn = max(1, min(-(-released.count() // pieces_per_part), parts // 2)), turn + 1
+        rows = released.select(
+            "doc_id",
+            *PIECE_SCHEMA.names,
+            F.pmod(F.xxhash64("sequence_id"), F.lit(parts)).alias("__part"),
+            "sequence_id",
         )
     whole = done[0]
     for more in done[1:]:

@@ -5,8 +5,11 @@ import zlib
 
 import numpy as np
 import pandas as pd
+import pytest
 
-from fleetpulse.llm.packing import WordTokenizer, least_bins, pack, pack_part, packed
+from fleetpulse.llm import packing
+from fleetpulse.llm.common import stored
+from fleetpulse.llm.packing import WordTokenizer, given_away, least_bins, pack, pack_part, pack_pieces, packed
 from fleetpulse.llm.queries import QUERIES, tokenizer_file
 
 ALPHABET = "abcXYZéÉß'sStTrReEvVmMlLdD019 \t\n\x0b\x1c\x1f\x85\xa0\x01²½İΣσς́è.,!-_<|>​漢字ﬁ😀"
@@ -77,6 +80,44 @@ def test_what_a_partition_gives_away():
     assert not pack_part(rows([6, 4, 5, 3], [-1] * 4), 10, True)["__open"].any()
 
 
+def test_with_a_gap_few_bins_leave():
+    filled, pieces = np.array([90, 50, 100, 60, 70, 95, 80, 85]), np.array([2] * 8)
+    assert given_away(filled, pieces, 0, 100).nonzero()[0].tolist() == [1]
+    assert given_away(filled, pieces, 1, 100).nonzero()[0].tolist() == [1, 3]
+    assert given_away(filled, np.array([1, 9, 1, 1, 1, 1, 1, 1]), 1, 100).nonzero()[0].tolist() == [1]
+    assert not given_away(np.array([100, 100]), np.array([2, 2]), 0, 100).any()
+
+
+@pytest.mark.parametrize("low, high", [(700, 1800), (1200, 1700), (500, 3000), (1, 2)])
+def test_no_pool_outgrows_a_partition(spark, monkeypatch, low, high):
+    lengths = np.random.default_rng(low).integers(low, high + 1, 6000)
+    frame = pd.DataFrame({"doc_id": range(6000), "piece": 0, "start": 0, "length": lengths, "ids_crc32": 0})
+    groups = []
+
+    def watched(df, name):
+        table = stored(df, name)
+        if name == "packed":
+            groups.append(table.groupBy("__part").count().agg({"count": "max"}).first()[0])
+        return table
+
+    monkeypatch.setattr(packing, "stored", watched)
+    rows = pack_pieces(spark.createDataFrame(frame), 4096, 250).toPandas()
+    assert max(groups) <= 2.2 * max(250, 4096 if low == 1 else 0)
+    assert sorted(rows["doc_id"]) == list(range(6000))
+    by = rows.sort_values("offset").groupby("sequence_id")["length"]
+    assert (by.cumsum() - rows["length"] == rows["offset"]).all()
+    assert by.sum().max() <= 4096
+    sizes, counts = np.unique(lengths, return_counts=True)
+    whole = packed(lengths, 4096)[1]
+    assert rows["sequence_id"].nunique() <= 1.01 * whole + 1
+
+
+def test_repeated_documents_are_spread(spark):
+    frame = pd.DataFrame({"doc_id": [7] * 900, "piece": 0, "start": 0, "length": 5, "ids_crc32": 1})
+    rows = pack_pieces(spark.createDataFrame(frame), 50, 100)
+    assert rows.count() == 900 and rows.select("sequence_id").distinct().count() == 90
+
+
 def verify(rows, texts, capacity):
     pieces, sequences = {}, {}
     for r in rows:
