@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetpulse.functions import computed_once
 from fleetpulse.schemas import LEGACY_NAMES, NUMERIC_BOUNDS
 
 MALFORMED = "_malformed"
@@ -84,9 +83,8 @@ def decode(messages: DataFrame, payload: str = "value") -> DataFrame:
 
     ``shape`` is ``document``, ``broken`` (no JSON) or ``other`` (JSON, no object).
 
-    The payload is used many times, so it is computed once, whatever expression it is.
+    The payload is used many times: a source that computes it puts ``computed_once`` around its rows.
     """
-    messages = computed_once(messages)
     raw = F.col(payload)
     misfit = F.col(f"strict.{MALFORMED}").isNotNull()
     keys = F.map_keys(F.from_json(raw, T.MapType(T.StringType(), T.StringType()), {"allowSingleQuotes": "false"}))

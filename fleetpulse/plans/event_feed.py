@@ -8,9 +8,10 @@ mix the current and the older layout with broken and invalid payloads by
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetpulse.functions import computed_once
 from fleetpulse.operators.normalise import corrected_status
 from fleetpulse.schemas import CORE_BOUNDS, EXTENDED_BOUNDS, LEGACY_NAMES, MACHINE_ID_LENGTH, NUMERIC_BOUNDS
 from fleetpulse.session import use_utc
@@ -93,12 +94,19 @@ def messages_of(readings: DataFrame) -> DataFrame:
         .when(kind == 19, F.replace(payload(), F.lit('"wind_speed_ms":'), F.lit('"wind_speed_ms":null,"was":')))
         .otherwise(payload())
     )
-    return readings.select(
-        F.lit("raw").alias("topic"),
-        (F.col("seq") % 6).cast("int").alias("partition"),
-        F.col("seq").alias("offset"),
-        F.col("producer_ts").alias("timestamp"),
-        value.alias("value"),
+    return _as_messages(readings, value)
+
+
+def _as_messages(readings: DataFrame, value: Column) -> DataFrame:
+    """Message columns; the payload is computed once, however often it is looked at."""
+    return computed_once(
+        readings.select(
+            F.lit("raw").alias("topic"),
+            (F.col("seq") % 6).cast("int").alias("partition"),
+            F.col("seq").alias("offset"),
+            F.col("producer_ts").alias("timestamp"),
+            value.alias("value"),
+        )
     )
 
 
@@ -115,14 +123,7 @@ def variants_of(readings: DataFrame) -> DataFrame:
     }
     fields = [c for c in readings.columns if c not in ("seq", "ingested_at")]
     columns = {c: F.col(c).cast("string") if c in NUMERIC_BOUNDS else F.col(c) for c in fields} | changes
-    payload = F.to_json(F.struct(*[v.alias(k) for k, v in columns.items()]), JSON_OPTIONS)
-    return readings.select(
-        F.lit("raw").alias("topic"),
-        (F.col("seq") % 6).cast("int").alias("partition"),
-        F.col("seq").alias("offset"),
-        F.col("producer_ts").alias("timestamp"),
-        payload.alias("value"),
-    )
+    return _as_messages(readings, F.to_json(F.struct(*[v.alias(k) for k, v in columns.items()]), JSON_OPTIONS))
 
 
 def readings(spark: SparkSession, folder: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fleetpulse.functions import computed_once
 from fleetpulse.schemas import ALERT_SCHEMA, DLQ_ENVELOPE_SCHEMA, MESSAGE_SCHEMA, READING_COLUMNS
 
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
@@ -47,7 +48,8 @@ def kafka_messages(
     if flush_rows:
         reader = reader.option("minOffsetsPerTrigger", flush_rows)
         reader = reader.option("maxTriggerDelay", f"{round(flush_seconds * 1000)}ms")
-    return reader.load().select("topic", "partition", "offset", "timestamp", _text(F.col("value")).alias("value"))
+    texts = reader.load().select("topic", "partition", "offset", "timestamp", _text(F.col("value")).alias("value"))
+    return computed_once(texts)
 
 
 def stream_message_files(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
