@@ -7,9 +7,14 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import functions as F
 
 from fleetpulse.operators.rules import detect
+from fleetpulse.operators.validate import check_messages, rejected
 from fleetpulse.plans import event_feed as feed
 from fleetpulse.plans import queries
-from fleetpulse.streaming.process import Store
+from fleetpulse.sources.messages import alert_messages, alerts_from_messages
+from fleetpulse.sources.topic_files import TopicFiles
+from fleetpulse.streaming import process
+from fleetpulse.streaming.consume import TopicConsumer
+from fleetpulse.streaming.process import MessageProcessor, Store
 
 
 def counted(df, counter):
@@ -63,3 +68,13 @@ def test_stored_alerts_read_the_feed_for_bounds_and_twice_per_batch(spark, sf_di
     assert counter.value <= 8 * plain(spark, sf_dir).count()
     monkeypatch.undo()
     assert stored == queries.alerts(spark, sf_dir).count()
+
+
+def test_main_stream_works_out_alerts_and_dead_letters_of_a_first_batch_once(spark, sf_dir, tmp_path, monkeypatch):
+    hits, bad = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0)
+    monkeypatch.setattr(process, "detect", lambda *a: counted(detect(*a), hits))
+    monkeypatch.setattr(process, "rejected", lambda *a, **k: counted(rejected(*a, **k), bad))
+    store = Store(str(tmp_path))
+    MessageProcessor(store, clock=lambda: F.col("timestamp"))(feed.messages(spark, sf_dir), 0)
+    assert hits.value == store.alerts(spark).count() > 0
+    assert bad.value == store.dlq(spark).count() > 0
