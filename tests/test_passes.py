@@ -78,3 +78,11 @@ def test_main_stream_works_out_alerts_and_dead_letters_of_a_first_batch_once(spa
     MessageProcessor(store, clock=lambda: F.col("timestamp"))(feed.messages(spark, sf_dir), 0)
     assert hits.value == store.alerts(spark).count() > 0
     assert bad.value == store.dlq(spark).count() > 0
+
+
+def test_stored_dead_letters_are_checked_once(spark, sf_dir, tmp_path, monkeypatch):
+    counter = spark.sparkContext.accumulator(0)
+    spark.sparkContext.setCheckpointDir(str(tmp_path))
+    monkeypatch.setattr(queries, "check_messages", lambda messages: check_messages(counted(messages, counter)))
+    assert queries._stored_dlq(spark, sf_dir).dlq(spark).count() > 0
+    assert counter.value == feed.readings(spark, sf_dir).count()
