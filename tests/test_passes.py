@@ -86,3 +86,11 @@ def test_stored_dead_letters_are_checked_once(spark, sf_dir, tmp_path, monkeypat
     monkeypatch.setattr(queries, "check_messages", lambda messages: check_messages(counted(messages, counter)))
     assert queries._stored_dlq(spark, sf_dir).dlq(spark).count() > 0
     assert counter.value == feed.readings(spark, sf_dir).count()
+
+
+def test_alert_messages_are_written_and_parsed_once(readings):
+    alerts = detect(hot(readings, 2, 3), alert_ts=F.col("producer_ts"))
+    back = alerts_from_messages(alert_messages(alerts))
+    plan = back._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json(") == plan.count("StructsToJson") == 1
+    assert sorted(back.collect()) == sorted(alerts.collect())
