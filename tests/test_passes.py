@@ -94,3 +94,11 @@ def test_alert_messages_are_written_and_parsed_once(readings):
     plan = back._jdf.queryExecution().executedPlan().toString()
     assert plan.count("from_json(") == plan.count("StructsToJson") == 1
     assert sorted(back.collect()) == sorted(alerts.collect())
+
+
+def test_batch_metrics_make_each_payload_once(spark, sf_dir, tmp_path, monkeypatch):
+    counter, plain = spark.sparkContext.accumulator(0), feed.messages_of
+    spark.sparkContext.setCheckpointDir(str(tmp_path))
+    monkeypatch.setattr(feed, "messages_of", lambda readings, *keep: plain(counted(readings, counter), *keep))
+    assert queries.batch_metrics(spark, sf_dir).count() == 4
+    assert counter.value == feed.readings(spark, sf_dir).count()
