@@ -91,7 +91,9 @@ class TopicConsumer:
                 return 0
             batch, ranges = batch + 1, {p: (begin[p], begin[p] + take[p]) for p in begin}
             version = self._enter(spark, version, batch, ranges, False)
-        write(self.topic.read(spark, ranges).select(*MESSAGE_SCHEMA.fieldNames()), batch)
+        # A range lies in few files, often in one run of them: without an exchange few tasks have all its rows.
+        rows = self.topic.read(spark, ranges).select(*MESSAGE_SCHEMA.fieldNames())
+        write(rows.repartition("partition", "offset"), batch)
         self._enter(spark, version, batch, ranges, True)
         return sum(end - first for first, end in ranges.values())
 

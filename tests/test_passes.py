@@ -88,6 +88,14 @@ def test_stored_dead_letters_are_checked_once(spark, sf_dir, tmp_path, monkeypat
     assert counter.value == feed.readings(spark, sf_dir).count()
 
 
+def test_batch_metrics_make_each_payload_once(spark, sf_dir, tmp_path, monkeypatch):
+    counter, plain = spark.sparkContext.accumulator(0), feed.messages_of
+    spark.sparkContext.setCheckpointDir(str(tmp_path))
+    monkeypatch.setattr(feed, "messages_of", lambda readings, *keep: plain(counted(readings, counter), *keep))
+    assert queries.batch_metrics(spark, sf_dir).count() == 4
+    assert counter.value == feed.readings(spark, sf_dir).count()
+
+
 def test_alert_messages_are_written_and_parsed_once(readings):
     alerts = detect(hot(readings, 2, 3), alert_ts=F.col("producer_ts"))
     back = alerts_from_messages(alert_messages(alerts))
@@ -96,9 +104,31 @@ def test_alert_messages_are_written_and_parsed_once(readings):
     assert sorted(back.collect()) == sorted(alerts.collect())
 
 
-def test_batch_metrics_make_each_payload_once(spark, sf_dir, tmp_path, monkeypatch):
-    counter, plain = spark.sparkContext.accumulator(0), feed.messages_of
+def test_batch_of_a_topic_is_spread_over_tasks(spark, tmp_path):
+    topic = TopicFiles(f"{tmp_path}/topic")
+    sent = spark.range(400).selectExpr("'m' AS key", "cast(id AS string) AS value", "id").coalesce(1)
+    topic.publish(sent, 0, ["id"])
+    tasks, offsets = [], []
+
+    def write(rows, batch):
+        found = rows.select("offset", F.spark_partition_id().alias("task")).collect()
+        tasks.append(len({r["task"] for r in found}))
+        offsets.extend(r["offset"] for r in found)
+
+    least = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    spark.conf.set(least, "1b")
+    try:
+        TopicConsumer(topic, f"{tmp_path}/progress", max_rows=200).drain(spark, write)
+    finally:
+        spark.conf.unset(least)
+    assert min(tasks) > 1 and sorted(offsets) == list(range(400))
+
+
+def test_consumed_copies_of_an_event_stay_as_many(spark, sf_dir, tmp_path, monkeypatch):
+    plain, ends = feed.readings, []
     spark.sparkContext.setCheckpointDir(str(tmp_path))
-    monkeypatch.setattr(feed, "messages_of", lambda readings, *keep: plain(counted(readings, counter), *keep))
-    assert queries.batch_metrics(spark, sf_dir).count() == 4
-    assert counter.value == feed.readings(spark, sf_dir).count()
+    monkeypatch.setattr(feed, "readings", lambda *where: plain(*where).limit(50).union(plain(*where).limit(50)))
+    publish = TopicFiles.publish
+    monkeypatch.setattr(TopicFiles, "publish", lambda self, rows, *a: ends.append(rows.count()) or publish(self, rows, *a))
+    queries._consumed(spark, sf_dir)
+    assert ends == [100]
