@@ -132,3 +132,12 @@ def test_consumed_copies_of_an_event_stay_as_many(spark, sf_dir, tmp_path, monke
     monkeypatch.setattr(TopicFiles, "publish", lambda self, rows, *a: ends.append(rows.count()) or publish(self, rows, *a))
     queries._consumed(spark, sf_dir)
     assert ends == [100]
+
+
+def tasks_of(df) -> int:
+    return df.select(F.spark_partition_id()).distinct().count()
+
+
+def test_messages_of_a_table_of_one_row_group_are_made_in_many_tasks(spark, sf_dir):
+    assert tasks_of(feed.events(spark, sf_dir)) == 1
+    assert tasks_of(feed.messages(spark, sf_dir)) > 8
