@@ -141,3 +141,11 @@ def tasks_of(df) -> int:
 def test_messages_of_a_table_of_one_row_group_are_made_in_many_tasks(spark, sf_dir):
     assert tasks_of(feed.events(spark, sf_dir)) == 1
     assert tasks_of(feed.messages(spark, sf_dir)) > 8
+
+
+def test_main_stream_checks_messages_of_one_row_group_in_many_tasks(spark, sf_dir, tmp_path, monkeypatch):
+    tasks = []
+    spark.sparkContext.setCheckpointDir(str(tmp_path))
+    monkeypatch.setattr(MessageProcessor, "store_checked", lambda self, checked, batch: tasks.append(tasks_of(checked)))
+    queries._processed(spark, sf_dir)
+    assert min(tasks) > 8
